@@ -36,14 +36,28 @@ def from_template(template: str, *cols: Column) -> Column:
     return F.format_string(template, *cols)
 
 
+def fixed_text(c: Column, digits: int) -> Column:
+    """A double with so many decimals, rounded from its exact value, ties to even.
+
+    ``format_string`` rounds ties of the shortest decimal text upward, which differs in the last
+    digit. Splitting the double into two short parts keeps the distance to the tie exact.
+    """
+    scale = 10**digits
+    coarse = c.cast("float").cast("double")
+    below = F.floor(c * scale).cast("double")
+    beyond = (coarse * (2 * scale) - (below * 2 + 1)) + (c - coarse) * (2 * scale)
+    up = (beyond > 0) | ((beyond == 0) & (below % 2 != 0))
+    return F.format_string(f"%.{digits}f", (below + up.cast("int")) / scale)
+
+
 def percent_text(c: Column) -> Column:
-    """0.123 as ``12.3%``."""
-    return F.when(c.isNotNull(), F.format_string("%.1f%%", c * 100))
+    """0.123 as ``12.3%``; null stays null."""
+    return F.when(c.isNotNull(), F.concat(fixed_text(c * 100, 1), F.lit("%")))
 
 
 def metric_text(c: Column) -> Column:
     """Three decimals, blank when absent."""
-    return F.when(c.isNotNull(), F.format_string("%.3f", c)).otherwise("")
+    return F.when(c.isNotNull(), fixed_text(c, 3)).otherwise("")
 
 
 def json_record(*cols: str) -> Column:

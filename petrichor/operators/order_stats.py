@@ -47,20 +47,22 @@ def _runs(
         names = [F.col("_s")[f"_b{i}"].alias(f"_b{i}") for i in range(len(cols))]
         rows = rows.withColumn("_s", sketch).select(*cols, *names)
 
-    def located(i: int, c: str) -> Column:
-        v, b = F.col(c), F.col(f"_b{i}")
-        ends = [(b[2 * k], b[2 * k + 1]) for k in range(len(probs))]
-        zone = reduce(add, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in ends])
-        inside = reduce(or_, [(v >= lo) & (v <= hi) for lo, hi in ends])
-        return F.struct(
-            F.lit(i).alias("item"), v.alias("v"), zone.alias("zone"), F.when(inside, v).alias("exact")
-        )
-
-    items = F.explode(F.array(*[located(i, c) for i, c in enumerate(cols)])).alias("_x")
+    cells = F.array(
+        *[
+            F.struct(F.lit(i).alias("item"), F.col(c).alias("v"), F.col(f"_b{i}").alias("b"))
+            for i, c in enumerate(cols)
+        ]
+    )
+    v, b = F.col("v"), F.col("b")
+    ends = [(b[2 * k], b[2 * k + 1]) for k in range(len(probs))]
+    # The zone number grows with the value, so what lies between two brackets shares one zone.
+    zone = reduce(add, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in ends])
+    inside = reduce(or_, [v.between(lo, hi) for lo, hi in ends])
     counted = (
-        rows.select(*group, items)
+        rows.select(*group, F.explode(cells).alias("_x"))
         .select(*group, "_x.*")
-        .where(F.col("v").isNotNull())
+        .where(v.isNotNull())
+        .select(*group, "item", v, zone.alias("zone"), F.when(inside, v).alias("exact"))
         .groupBy(*group, "item", "zone", "exact")
         .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
@@ -73,15 +75,14 @@ def _runs(
     )
 
 
-def _value_at(item: int, rank: Column) -> Column:
-    """The value at a 0-based rank of one item, as an aggregate over its runs."""
-    here = (F.col("item") == item) & (F.col("first") <= rank) & (rank <= F.col("last"))
+def _value_at(rank: Column) -> Column:
+    """The value at a 0-based rank, as an aggregate over the runs of one item."""
     value = (
         F.when((F.col("low") == F.col("high")) | (rank == F.col("first")), F.col("low"))
         .when(rank == F.col("last"), F.col("high"))
         .otherwise(F.raise_error(F.lit("rank outside its bracket: raise the accuracy")))
     )
-    return F.max(F.when(here, value))
+    return F.max(F.when(rank.between(F.col("first"), F.col("last")), value))
 
 
 def quantiles(
@@ -104,25 +105,22 @@ def quantiles(
         return doubles.groupBy(*group).agg(*aggs) if group else doubles.agg(*aggs)
     runs = _runs(doubles, cols, probs, group, accuracy)
     ends = []
-    for i in range(len(cols)):
-        for k, p in enumerate(probs):
-            at = F.col("n").cast("double") * p - p
-            ends.append(_value_at(i, F.floor(at)).alias(f"_lo{i}_{k}"))
-            ends.append(_value_at(i, F.ceil(at)).alias(f"_hi{i}_{k}"))
-            ends.append(F.max(F.when(F.col("item") == i, at - F.floor(at))).alias(f"_f{i}_{k}"))
-    picked = runs.groupBy(*group).agg(*ends) if group else runs.agg(*ends)
-
-    def interpolated(i: int, k: int) -> Column:
-        lo, hi, part = F.col(f"_lo{i}_{k}"), F.col(f"_hi{i}_{k}"), F.col(f"_f{i}_{k}")
-        return lo + (hi - lo) * part
-
-    return picked.select(
-        *group,
-        *[
-            F.array(*[interpolated(i, k) for k in range(len(probs))]).alias(c)
-            for i, c in enumerate(cols)
-        ],
+    for k, p in enumerate(probs):
+        at = F.col("n").cast("double") * p - p
+        ends += [
+            _value_at(F.floor(at)).alias(f"lo{k}"),
+            _value_at(F.ceil(at)).alias(f"hi{k}"),
+            F.max(at - F.floor(at)).alias(f"part{k}"),
+        ]
+    each = F.array(
+        *[F.expr(f"lo{k} + (hi{k} - lo{k}) * part{k}") for k in range(len(probs))]
     )
+    long = runs.groupBy(*group, "item").agg(*ends).select(*group, "item", each.alias("q"))
+    none = F.array(*[F.lit(None).cast("double")] * len(probs))
+    wide = [
+        F.coalesce(F.max(F.when(F.col("item") == i, F.col("q"))), none).alias(c) for i, c in enumerate(cols)
+    ]
+    return long.groupBy(*group).agg(*wide) if group else long.agg(*wide)
 
 
 def medians(
@@ -144,5 +142,5 @@ def value_at_rank(
     """Per group the value of ``col`` at the 0-based rank ``rank(n)``, which lies near share ``prob``."""
     group = group or []
     runs = _runs(df.select(*group, col), [col], [prob], group, accuracy)
-    picked = _value_at(0, rank(F.col("n"))).alias(col)
+    picked = _value_at(rank(F.col("n"))).alias(col)
     return runs.groupBy(*group).agg(picked) if group else runs.agg(picked)

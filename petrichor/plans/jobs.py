@@ -8,7 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from petrichor.functions.rain import percent_text, will_rain
+from petrichor.functions.rain import will_rain
+from petrichor.functions.text import percent_text
 from petrichor.operators.joins import lookup_join
 from petrichor.operators.windows import first_per_group
 from petrichor.plans.clean import Cleaned, clean
@@ -54,7 +55,7 @@ def ingest(
 def training_table(spark: SparkSession, table: str, **clean_options) -> Cleaned:
     """The whole warehouse of daily rows, cleaned and encoded for one training run."""
     daily = read_table(spark, table).drop(STAMP, "Year", "Month")
-    return clean(daily, **clean_options)
+    return clean(daily, stage_input=False, **clean_options)
 
 
 def train_and_promote(

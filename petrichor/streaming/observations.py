@@ -57,7 +57,9 @@ def current_observations(spark: SparkSession, log: str) -> DataFrame:
     return newest.drop("batch_id")
 
 
-def labelled_observations(spark: SparkSession, log: str, dim: DataFrame, label_scope: str = "file") -> DataFrame:
+def labelled_observations(
+    spark: SparkSession, log: str, dim: DataFrame, label_scope: str = "file", unknown: str = "error"
+) -> DataFrame:
     """The daily table as of now."""
-    rows = located(current_observations(spark, log), dim)
+    rows = located(current_observations(spark, log), dim, unknown)
     return label_rain(rows, label_scope).select(*DAILY_COLUMNS)
