@@ -84,12 +84,11 @@ def text_lines(c: Column) -> Column:
     return F.split(c, r"\r\n|\r|\n")
 
 
-def digest_array(lines: Column) -> Column:
-    """Data lines of a bulletin given as an array of lines.
+def data_lines(lines: Column) -> Column:
+    """The lines of a bulletin without empty lines and lines opening with a quote."""
+    return F.filter(lines, lambda x: (x != "") & ~x.startswith('"'))
 
-    Empty lines and lines opening with a quote go; so does the first line opening with a
-    comma, which is the header. Later lines opening with a comma are data.
-    """
-    kept = F.filter(lines, lambda x: (x != "") & ~x.startswith('"'))
-    header = F.array_position(F.transform(kept, lambda x: x.startswith(",")), True)
-    return F.filter(kept, lambda x, i: i + 1 != header)
+
+def header_position(lines: Column) -> Column:
+    """1-based position of the first line opening with a comma, which is the header; else 0."""
+    return F.array_position(F.transform(lines, lambda x: x.startswith(",")), True)

@@ -35,8 +35,8 @@ def _repeat(df: DataFrame, copies: Column, most: int, slot: str) -> DataFrame:
         .withColumn("_block", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {BLOCK})")))
     )
     spread = blocks.repartition(F.xxhash64(*df.columns), "_block")
-    offsets = F.expr(f"sequence(0L, least({BLOCK}L, _copies - _block * {BLOCK}) - 1)")
-    return spread.withColumn(slot, F.explode(offsets) + F.col("_block") * BLOCK).drop("_copies", "_block")
+    numbers = F.expr(f"sequence(_block * {BLOCK}, least((_block + 1) * {BLOCK}, _copies) - 1)")
+    return spread.withColumn(slot, F.explode(numbers)).drop("_copies", "_block")
 
 
 def _cycled(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int | None, slot: str) -> DataFrame:

@@ -13,6 +13,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from petrichor.session import materialize
+
 BROADCAST_ROWS = 200_000
 HOT_SHARE = 1e-3
 
@@ -68,14 +70,14 @@ def unknown_keys(facts: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame
 
 
 def _held_keys(new: DataFrame, held: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys found on both sides.
+    """Distinct keys found on both sides, written out so that the table is scanned once.
 
     Usually a small delivery meets a large table: then the table is filtered in place by the
     broadcast keys and is not shuffled.
     """
     wanted = new.select(*keys).distinct()
     side = F.broadcast(wanted) if is_small(wanted) else wanted
-    return held.select(*keys).join(side, keys, "left_semi").distinct()
+    return materialize(held.select(*keys).join(side, keys, "left_semi").distinct(), "held")
 
 
 def drop_existing(
@@ -107,7 +109,3 @@ def pending(plan: DataFrame, held: DataFrame, keys: list[str], refresh: str) ->
         drop_existing(plan.where(~F.col(refresh)), held, keys)
     )
 
-
-def left_dim(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Plain left equi-join for two tables of any size; Catalyst picks the strategy."""
-    return left.join(right, keys, "left")

@@ -1,24 +1,46 @@
-"""Exact order statistics without sorting the data and without a per-group value buffer.
+"""Exact order statistics without sorting the data and without an unbounded value buffer.
 
-Spark's ``percentile`` and ``median`` keep every distinct value of a group in one buffer. Here a
-mergeable sketch first brackets each wanted rank; values outside the brackets are only counted,
-values inside are counted one by one. Both steps combine on the map side, and the final running
-count sees about ``BRACKET / accuracy`` of the distinct values of a group.
+Spark's ``percentile`` keeps every distinct value of a group in one buffer, so it is used only
+where the counted size of the largest group bounds that buffer. For anything larger a mergeable
+sketch first brackets each wanted rank; values outside the brackets are only counted, values
+inside are counted one by one. Both steps combine on the map side, and the final running count
+sees about ``BRACKET / accuracy`` of the distinct values of a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
-from operator import add, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from petrichor.operators.joins import is_small, lookup_join
+from petrichor.operators.joins import BROADCAST_ROWS, lookup_join
 
 ACCURACY = 10_000
 BRACKET = 4.0
+BUFFERED_VALUES = 2_000_000
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Number of groups and rows of the largest one."""
+
+    groups: int
+    largest: int
+
+
+def group_sizes(df: DataFrame, group: list[str]) -> Sizes:
+    """Counted over the key columns only; rows without a key are in no group."""
+    counts = _keyed(df.select(*group), group).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    row = counts.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest")).first()
+    return Sizes(row["groups"], row["largest"] or 0)
+
+
+def _keyed(df: DataFrame, group: list[str]) -> DataFrame:
+    return df.where(reduce(and_, [F.col(g).isNotNull() for g in group])) if group else df
 
 
 def _probes(probs: list[float], accuracy: int) -> list[float]:
@@ -28,7 +50,7 @@ def _probes(probs: list[float], accuracy: int) -> list[float]:
 
 
 def _runs(
-    df: DataFrame, cols: list[str], probs: list[float], group: list[str], accuracy: int
+    df: DataFrame, cols: list[str], probs: list[float], group: list[str], accuracy: int, small: bool
 ) -> DataFrame:
     """Sorted runs of values per (group, item): columns item, low, high, first, last, n.
 
@@ -39,8 +61,7 @@ def _runs(
     brackets = [F.percentile_approx(c, probes, accuracy).alias(f"_b{i}") for i, c in enumerate(cols)]
     rows = df.select(*group, *cols)
     if group:
-        keyed = rows.where(reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in group]))
-        small = is_small(keyed.select(*group).distinct())
+        keyed = _keyed(rows, group)
         rows = lookup_join(keyed, keyed.groupBy(*group).agg(*brackets), group, "inner", small)
     else:
         sketch = rows.agg(*brackets).select(F.struct("*").alias("s")).scalar()
@@ -92,18 +113,28 @@ def quantiles(
     group: list[str] | None = None,
     accuracy: int = ACCURACY,
     exact: bool = True,
+    sizes: Sizes | None = None,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """Per group, one array per column with the linearly interpolated quantiles.
 
-    All columns are handled together. A column without values gives null elements. With
+    All columns are handled together; a group without any value has no row. ``buffered`` is the
+    most values that the columns of one group may put into aggregation buffers. With
     ``exact=False`` the sketch alone answers, in a single pass.
     """
     group = group or []
-    doubles = df.select(*group, *[F.col(c).cast("double").alias(c) for c in cols])
+    doubles = _keyed(df.select(*group, *[F.col(c).cast("double").alias(c) for c in cols]), group)
     if not exact:
         aggs = [F.percentile_approx(c, probs, accuracy).alias(c) for c in cols]
         return doubles.groupBy(*group).agg(*aggs) if group else doubles.agg(*aggs)
-    runs = _runs(doubles, cols, probs, group, accuracy)
+    if sizes is None:
+        sizes = group_sizes(df, group) if group else Sizes(1, df.count())
+    if sizes.largest * len(cols) <= buffered:
+        aggs = [F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]
+        if not group:
+            return doubles.agg(*aggs)
+        return doubles.groupBy(*group).agg(*aggs).where(F.coalesce(*cols).isNotNull())
+    runs = _runs(doubles, cols, probs, group, accuracy, sizes.groups <= BROADCAST_ROWS)
     ends = []
     for k, p in enumerate(probs):
         at = F.col("n").cast("double") * p - p
@@ -124,10 +155,16 @@ def quantiles(
 
 
 def medians(
-    df: DataFrame, cols: list[str], group: list[str], accuracy: int = ACCURACY, exact: bool = True
+    df: DataFrame,
+    cols: list[str],
+    group: list[str],
+    accuracy: int = ACCURACY,
+    exact: bool = True,
+    sizes: Sizes | None = None,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """One row per group with the median of each column."""
-    q = quantiles(df, cols, [0.5], group, accuracy, exact)
+    q = quantiles(df, cols, [0.5], group, accuracy, exact, sizes, buffered)
     return q.select(*group, *[F.col(c)[0].alias(c) for c in cols])
 
 
@@ -141,6 +178,7 @@ def value_at_rank(
 ) -> DataFrame:
     """Per group the value of ``col`` at the 0-based rank ``rank(n)``, which lies near share ``prob``."""
     group = group or []
-    runs = _runs(df.select(*group, col), [col], [prob], group, accuracy)
+    small = not group or group_sizes(df, group).groups <= BROADCAST_ROWS
+    runs = _runs(df.select(*group, col), [col], [prob], group, accuracy, small)
     picked = _value_at(rank(F.col("n"))).alias(col)
     return runs.groupBy(*group).agg(picked) if group else runs.agg(picked)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from petrichor.operators.joins import BROADCAST_ROWS, is_small, lookup_join
+from petrichor.operators.joins import BROADCAST_ROWS, lookup_join
 from petrichor.session import materialize
 
 HASH_BUCKETS = 4096
@@ -81,45 +83,54 @@ def _numbered(values: DataFrame, order: list[str], small: bool) -> DataFrame:
     return placed.select("value", F.col("code").cast("int").alias("code"))
 
 
-def _code_tables(seen: DataFrame, cols: list[str], order: list[str]) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class Codes:
+    """The (value, code) table of one column, and whether its size was found to be small."""
+
+    table: DataFrame
+    small: bool
+
+
+def _code_tables(seen: DataFrame, cols: list[str], order: list[str]) -> dict[str, Codes]:
     """Split (item, value, ...) into one numbered table per column."""
     sizes = {r["item"]: r["n"] for r in seen.groupBy("item").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {
-        c: _numbered(seen.where(F.col("item") == i), order, sizes.get(i, 0) <= BROADCAST_ROWS)
-        for i, c in enumerate(cols)
-    }
+    out = {}
+    for i, c in enumerate(cols):
+        small = sizes.get(i, 0) <= BROADCAST_ROWS
+        out[c] = Codes(_numbered(seen.where(F.col("item") == i), order, small), small)
+    return out
 
 
-def codes_by_first_seen(df: DataFrame, cols: list[str], order: list[str]) -> dict[str, DataFrame]:
-    """Per column a frame (value, code): codes count up in order of first appearance.
+def codes_by_first_seen(df: DataFrame, cols: list[str], order: list[str]) -> dict[str, Codes]:
+    """Per column its codes, counting up in order of first appearance.
 
-    ``order`` must be a total order up to equal values. ``value`` is text.
+    ``order`` must be a total order up to equal values. Values are kept as text.
     """
     seen = materialize(first_seen(df, cols, order), "codes")
     return _code_tables(seen, cols, ["first", "value"])
 
 
-def codes_alphabetical(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
+def codes_alphabetical(df: DataFrame, cols: list[str]) -> dict[str, Codes]:
     """As ``codes_by_first_seen``, but counting up in text order."""
     values = _items(df, cols).distinct()
     return _code_tables(materialize(values, "codes"), cols, ["value"])
 
 
-def encode(df: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
-    """Replace each column by its code; null becomes -1."""
-    out = df
-    for c, table in codes.items():
-        named = table.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-        keyed = out.withColumn("_value", F.col(c).cast("string"))
-        out = lookup_join(keyed, named, ["_value"], small=is_small(table.select("value")))
-        out = out.withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_value", "_code")
-    return out.select(*df.columns)
+def encode(df: DataFrame, codes: dict[str, Codes]) -> DataFrame:
+    """Replace each column by its code; null and values without a code become -1."""
+    names = [f"_v_{c}" for c in codes]
+    out = df.withColumns({n: F.col(c).cast("string") for n, c in zip(names, codes)})
+    for n, (c, code) in zip(names, codes.items()):
+        named = code.table.select(F.col("value").alias(n), F.col("code").alias(f"_c_{c}"))
+        out = lookup_join(out, named, [n], small=code.small)
+    coded = {c: F.coalesce(f"_c_{c}", F.lit(-1)) for c in codes}
+    return out.select(*[coded[c].alias(c) if c in coded else F.col(c) for c in df.columns])
 
 
 def factorize(
     df: DataFrame, cols: list[str], order: list[str], by: str = "first"
-) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The encoded frame and the code table of each column."""
+) -> tuple[DataFrame, dict[str, Codes]]:
+    """The encoded frame and the codes of each column."""
     if by == "first":
         codes = codes_by_first_seen(df, cols, order)
     elif by == "alphabet":

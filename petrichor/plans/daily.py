@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from petrichor.functions.dates import parse_day
 from petrichor.functions.rain import rain_flag
 from petrichor.functions.text import to_double
-from petrichor.operators.joins import lookup_join, unknown_keys
+from petrichor.operators.joins import lookup_join
 from petrichor.operators.windows import next_in_group
 from petrichor.schemas import DAILY_COLUMNS, KEPT_FIELDS, MEASURES
 
@@ -28,11 +28,13 @@ def typed(digest: DataFrame) -> DataFrame:
 def located(digest: DataFrame, dim: DataFrame, unknown: str = "error") -> DataFrame:
     """Attach Location by data id. An unknown id fails, or with ``unknown='drop'`` its rows go."""
     ids = dim.select("data_id", "Location").where(F.col("data_id").isNotNull())
-    if unknown == "error":
-        missing = [r["data_id"] for r in unknown_keys(digest, ids, ["data_id"]).limit(20).collect()]
-        if missing:
-            raise ValueError(f"no station for data ids {missing}")
-    return lookup_join(digest, ids, ["data_id"], "inner")
+    if unknown == "drop":
+        return lookup_join(digest, ids, ["data_id"], "inner")
+    if unknown != "error":
+        raise ValueError(f"unknown treatment of unknown ids {unknown!r}")
+    failure = F.raise_error(F.concat(F.lit("no station for data id "), F.col("data_id")))
+    found = lookup_join(digest, ids, ["data_id"])
+    return found.withColumn("Location", F.coalesce("Location", failure.cast("string")))
 
 
 def label_rain(rows: DataFrame, label_scope: str = "file") -> DataFrame:

@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrichor.functions.dates import period, recent_months
-from petrichor.functions.text import cp1252_text, digest_array, file_name, from_template, text_between, text_lines
+from petrichor.functions.text import (
+    cp1252_text,
+    data_lines,
+    file_name,
+    from_template,
+    header_position,
+    text_between,
+    text_lines,
+)
 from petrichor.operators.joins import lookup_join
 from petrichor.schemas import (
     BULLETIN_URL,
@@ -36,10 +44,16 @@ def read_bulletins(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digest(bulletins: DataFrame, content: str = "content") -> DataFrame:
-    """Data lines of each bulletin as (..., line_no, line); the text column is replaced."""
-    lines = digest_array(text_lines(F.col(content)))
+    """Data lines of each bulletin as (..., line_no, line); the text column is replaced.
+
+    Empty lines and lines opening with a quote go; so does the first line opening with a comma,
+    the header. Later comma lines are data. ``line_no`` grows with the place in the file.
+    """
     rest = [c for c in bulletins.columns if c != content]
-    return bulletins.select(*rest, F.posexplode(lines).alias("line_no", "line"))
+    kept = bulletins.select(*rest, data_lines(text_lines(F.col(content))).alias("_kept"))
+    marked = kept.withColumn("_header", header_position(F.col("_kept")))
+    lines = marked.select(*rest, "_header", F.posexplode("_kept").alias("line_no", "line"))
+    return lines.where(F.col("line_no") + 1 != F.col("_header")).drop("_header")
 
 
 def digest_lines(lines: DataFrame, file: str, line_no: str, line: str) -> DataFrame:

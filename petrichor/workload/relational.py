@@ -364,7 +364,7 @@ def w4_alphabet(spark, sf):
 )
 def i6(spark, sf):
     codes = factorize(Tables(spark, sf).part, ["p_brand", "p_type"], ["p_partkey"])[1]
-    return codes["p_brand"].select(F.col("value").alias("Location_Name"), F.col("code").alias("Location_Code"))
+    return codes["p_brand"].table.select(F.col("value").alias("Location_Name"), F.col("code").alias("Location_Code"))
 
 
 @query(

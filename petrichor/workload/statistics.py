@@ -52,6 +52,19 @@ def a2(spark, sf):
     return out.withColumn("l_extendedprice", F.round("l_extendedprice", 4))
 
 
+@query(
+    "a2_median_by_bracket",
+    """
+    SELECT l_returnflag, median(l_quantity) AS l_quantity, round(median(l_extendedprice), 4) AS l_extendedprice
+    FROM lineitem GROUP BY 1
+    """,
+)
+def a2_bracket(spark, sf):
+    """The way taken when a group is too large to buffer."""
+    out = medians(Tables(spark, sf).lineitem, ["l_quantity", "l_extendedprice"], ["l_returnflag"], buffered=0)
+    return out.withColumn("l_extendedprice", F.round("l_extendedprice", 4))
+
+
 @query("a2_median_by_many_groups", "SELECT l_partkey, median(l_quantity) AS l_quantity FROM lineitem GROUP BY 1")
 def a2_many(spark, sf):
     return medians(Tables(spark, sf).lineitem, ["l_quantity"], ["l_partkey"])
@@ -97,6 +110,25 @@ def a3(spark, sf):
     )
 
 
+@query(
+    "a3_quartiles_by_bracket",
+    """
+    SELECT round(quantile_cont(l_extendedprice, 0.25), 4) AS price_q1, round(quantile_cont(l_extendedprice, 0.75), 4) AS price_q3,
+           round(quantile_cont(l_quantity, 0.1), 4) AS quantity_d1
+    FROM lineitem
+    """,
+)
+def a3_bracket(spark, sf):
+    """The way taken when the table is too large to buffer."""
+    lines = Tables(spark, sf).lineitem
+    price = quantiles(lines, ["l_extendedprice", "l_quantity"], [0.1, 0.25, 0.75], buffered=0)
+    return price.select(
+        F.round(F.col("l_extendedprice")[1], 4).alias("price_q1"),
+        F.round(F.col("l_extendedprice")[2], 4).alias("price_q3"),
+        F.round(F.col("l_quantity")[0], 4).alias("quantity_d1"),
+    )
+
+
 @query("a3_quartiles_by_sketch")
 def a3_sketch(spark, sf):
     q = quantiles(Tables(spark, sf).lineitem, ["l_extendedprice", "l_quantity"], [0.25, 0.75], exact=False)
