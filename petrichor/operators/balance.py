@@ -20,20 +20,15 @@ def class_sizes(df: DataFrame, label: str) -> dict:
 
 
 def _repeat(df: DataFrame, copies: Column, most: int, slot: str) -> DataFrame:
-    """Repeat each row ``copies`` times, numbering the copies in ``slot``.
+    """Repeat each row ``copies`` times, at least once, numbering the copies in ``slot``.
 
     One row may need more copies than one task should write, so long runs are cut into blocks
     that are spread over the tasks before they are written out.
     """
+    counted = df.withColumn("_copies", copies)
     if most <= BLOCK:
-        return df.withColumn("_copies", copies).where("_copies > 0").withColumn(
-            slot, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))
-        ).drop("_copies")
-    blocks = (
-        df.withColumn("_copies", copies)
-        .where("_copies > 0")
-        .withColumn("_block", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {BLOCK})")))
-    )
+        return counted.withColumn(slot, F.explode(F.expr("sequence(0L, _copies - 1)"))).drop("_copies")
+    blocks = counted.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {BLOCK})")))
     spread = blocks.repartition(F.xxhash64(*df.columns), "_block")
     numbers = F.expr(f"sequence(_block * {BLOCK}, least((_block + 1) * {BLOCK}, _copies) - 1)")
     return spread.withColumn(slot, F.explode(numbers)).drop("_copies", "_block")
@@ -45,13 +40,14 @@ def _cycled(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: in
     Only the key of the last such row is looked for; the rows themselves are never shuffled.
     """
     times, rest = divmod(n_out, n_in)
-    copies = F.lit(times).cast("long")
-    if rest:
-        order = F.col(key[0]) if seed is None else row_hash(key, seed)
-        keyed = minority.withColumn("_order", order)
-        limit = value_at_rank(keyed, "_order", rest / n_in, lambda n: F.lit(rest - 1))
-        copies = copies + (order <= limit.scalar()).cast("long")
-    return _repeat(minority, copies, times + 1, slot)
+    if not rest:
+        return _repeat(minority, F.lit(times).cast("long"), times, slot)
+    order = F.col(key[0]) if seed is None else row_hash(key, seed)
+    ranked = minority.select(order.alias("_order"))
+    limit = value_at_rank(ranked, "_order", rest / n_in, lambda n: F.lit(rest - 1)).scalar()
+    if not times:
+        return minority.where(order <= limit).withColumn(slot, F.lit(0).cast("long"))
+    return _repeat(minority, (order <= limit).cast("long") + times, times + 1, slot)
 
 
 def _drawn(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:

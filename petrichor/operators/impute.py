@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from petrichor.functions.rain import cap
 from petrichor.functions.text import starts_with_letter
-from petrichor.operators.joins import BROADCAST_ROWS, lookup_join
+from petrichor.operators.joins import lookup_join
 from petrichor.operators.modes import modes
-from petrichor.operators.order_stats import ACCURACY, Sizes, group_sizes, medians, quantiles
+from petrichor.operators.order_stats import ACCURACY, medians, quantiles
 from petrichor.schemas import IQR_FACTOR
+from petrichor.session import materialize
 
 
 def with_row_of(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
@@ -38,13 +39,15 @@ def impute_group_median(
     fallback: float = 0.0,
     accuracy: int = ACCURACY,
     exact: bool = True,
-    sizes: Sizes | None = None,
 ) -> DataFrame:
-    """Fill nulls with the median of the row's group; a group without values takes ``fallback``."""
-    sizes = sizes or group_sizes(df, group)
-    found = medians(df, cols, group, accuracy, exact, sizes)
+    """Fill nulls with the median of the row's group; a group without values takes ``fallback``.
+
+    The medians are written out once: one small row per group, whose number then decides how
+    they are joined.
+    """
+    found = medians(df, cols, group, accuracy, exact)
     renamed = found.select(*group, *[F.col(c).alias(f"_med_{c}") for c in cols])
-    joined = lookup_join(df, renamed, group, "left", sizes.groups <= BROADCAST_ROWS)
+    joined = lookup_join(df, materialize(renamed, "medians"), group)
     filled = {c: F.coalesce(F.col(c), F.col(f"_med_{c}"), F.lit(fallback)) for c in cols}
     return replaced(joined, filled, [f"_med_{c}" for c in cols]).select(*df.columns)
 

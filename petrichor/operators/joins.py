@@ -52,7 +52,7 @@ def lookup_join(
         small = is_small(dim)
     if small:
         return facts.join(F.broadcast(dim), keys, how)
-    hot = hot_keys(facts, keys)
+    hot = materialize(hot_keys(facts, keys), "hot")
     hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
     keyed = facts.where(~_any_null(keys))
     warm = keyed.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_dim), keys, how)

@@ -1,10 +1,14 @@
 """Exact order statistics without sorting the data and without an unbounded value buffer.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer, so it is used only
-where the counted size of the largest group bounds that buffer. For anything larger a mergeable
-sketch first brackets each wanted rank; values outside the brackets are only counted, values
-inside are counted one by one. Both steps combine on the map side, and the final running count
-sees about ``BRACKET / accuracy`` of the distinct values of a group.
+Spark's ``percentile`` keeps every distinct value of a group in one buffer, so it only serves
+groups whose counted size bounds that buffer. Larger groups take another way:
+
+1. Each group is sketched in ``SALTS`` parts side by side, so that no task merges the sketches of
+   the whole input. A part answers with ``GRID + 1`` evenly spaced quantiles.
+2. The grids of a group, ``SALTS * (GRID + 1)`` values at most, are merged by weight. That bounds the
+   rank of every grid value, and so brackets each wanted rank for certain.
+3. Values outside the brackets are only counted, values inside are counted one by one; both
+   combine on the map side. A running count over those counts finds the exact values.
 """
 
 from __future__ import annotations
@@ -18,55 +22,113 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from petrichor.operators.joins import BROADCAST_ROWS, lookup_join
+from petrichor.session import materialize
 
-ACCURACY = 10_000
-BRACKET = 4.0
+ACCURACY = 2_000
+GRID = 500
+SALTS = 512
 BUFFERED_VALUES = 2_000_000
+WINDOWED_ROWS = 1_000_000_000
 
 
 @dataclass(frozen=True)
 class Sizes:
-    """Number of groups and rows of the largest one."""
+    """Number of groups, rows of the largest one, and groups too large to buffer."""
 
     groups: int
     largest: int
-
-
-def group_sizes(df: DataFrame, group: list[str]) -> Sizes:
-    """Counted over the key columns only; rows without a key are in no group."""
-    counts = _keyed(df.select(*group), group).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("largest")).first()
-    return Sizes(row["groups"], row["largest"] or 0)
+    too_large: int
 
 
 def _keyed(df: DataFrame, group: list[str]) -> DataFrame:
     return df.where(reduce(and_, [F.col(g).isNotNull() for g in group])) if group else df
 
 
-def _probes(probs: list[float], accuracy: int) -> list[float]:
-    """Bracket ends around each share; the sketch is off by at most 1 / accuracy."""
-    margin = BRACKET / (2 * accuracy)
-    return [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+def _counts(df: DataFrame, group: list[str]) -> DataFrame:
+    return _keyed(df.select(*group), group).groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def group_sizes(df: DataFrame, group: list[str], columns: int = 1, buffered: int = BUFFERED_VALUES) -> Sizes:
+    """Counted over the key columns only; rows without a key are in no group."""
+    row = (
+        _counts(df, group)
+        .agg(
+            F.count(F.lit(1)).alias("groups"),
+            F.max("_rows").alias("largest"),
+            F.count_if(F.col("_rows") * columns > buffered).alias("too_large"),
+        )
+        .first()
+    )
+    return Sizes(row["groups"], row["largest"] or 0, row["too_large"])
+
+
+def _brackets(
+    rows: DataFrame, cols: list[str], probs: list[float], group: list[str], accuracy: int, grid: int
+) -> DataFrame:
+    """(group..., _b0, _b1, ...): per column an array low, high, low, high, ... one pair per share.
+
+    A missing end is null and stands for no limit.
+    """
+    shares = "array(" + ",".join(f"{k / grid!r}D" for k in range(grid + 1)) + ")"
+    parts = (
+        rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        .groupBy(*group, "_salt")
+        .agg(
+            *[
+                F.struct(
+                    F.expr(f"percentile_approx(`{c}`, {shares}, {accuracy})").alias("q"), F.count(c).alias("n")
+                ).alias(f"_p{i}")
+                for i, c in enumerate(cols)
+            ]
+        )
+    )
+    items = F.array(
+        *[
+            F.struct(F.lit(i).alias("item"), F.col(f"_p{i}")["q"].alias("q"), F.col(f"_p{i}")["n"].alias("n"))
+            for i in range(len(cols))
+        ]
+    )
+    points = (
+        parts.select(*group, F.explode(items).alias("x"))
+        .select(*group, "x.item", "x.n", F.posexplode("x.q").alias("k", "v"))
+        # The first point of a grid is the lowest value: it has a place but no weight.
+        .withColumn("w", F.when(F.col("k") > 0, F.col("n") / grid).otherwise(0.0))
+    )
+    each = Window.partitionBy(*group, "item")
+    placed = (
+        points.withColumn("c", F.sum("w").over(each.orderBy("v").rangeBetween(Window.unboundedPreceding, 0)))
+        .withColumn("total", F.sum("w").over(each))
+        .withColumn("parts", F.sum(F.when(F.col("k") == 0, 1).otherwise(0)).over(each))
+    )
+    # How far the weighted place of a value can be from its rank: one grid step, the error of the
+    # sketch, and rounding in every part.
+    slack = F.col("total") * (2.0 / grid + 2.0 / accuracy) + F.col("parts") + 2
+    ends = []
+    for j, p in enumerate(probs):
+        ends.append(F.max(F.when(F.col("c") <= F.col("total") * p - slack, F.col("v"))).alias(f"lo{j}"))
+        ends.append(F.min(F.when(F.col("c") >= F.col("total") * p + slack, F.col("v"))).alias(f"hi{j}"))
+    pair = F.array(*[F.col(f"{end}{j}") for j in range(len(probs)) for end in ("lo", "hi")])
+    long = placed.groupBy(*group, "item").agg(*ends).select(*group, "item", pair.alias("b"))
+    wide = [F.max(F.when(F.col("item") == i, F.col("b"))).alias(f"_b{i}") for i in range(len(cols))]
+    return long.groupBy(*group).agg(*wide) if group else long.agg(*wide)
 
 
 def _runs(
-    df: DataFrame, cols: list[str], probs: list[float], group: list[str], accuracy: int, small: bool
+    df: DataFrame, cols: list[str], probs: list[float], group: list[str], accuracy: int, sizes: Sizes
 ) -> DataFrame:
     """Sorted runs of values per (group, item): columns item, low, high, first, last, n.
 
     ``first`` and ``last`` are 0-based ranks. A run is one distinct value or, outside the
     brackets, everything between two brackets.
     """
-    probes = _probes(probs, accuracy)
-    brackets = [F.percentile_approx(c, probes, accuracy).alias(f"_b{i}") for i, c in enumerate(cols)]
-    rows = df.select(*group, *cols)
+    rows = _keyed(df.select(*group, *cols), group)
+    brackets = _brackets(rows, cols, probs, group, accuracy, min(GRID, max(1, accuracy // 4)))
     if group:
-        keyed = _keyed(rows, group)
-        rows = lookup_join(keyed, keyed.groupBy(*group).agg(*brackets), group, "inner", small)
+        rows = lookup_join(rows, brackets, group, "inner", sizes.groups <= BROADCAST_ROWS)
     else:
-        sketch = rows.agg(*brackets).select(F.struct("*").alias("s")).scalar()
+        ends = brackets.select(F.struct("*").alias("s")).scalar()
         names = [F.col("_s")[f"_b{i}"].alias(f"_b{i}") for i in range(len(cols))]
-        rows = rows.withColumn("_s", sketch).select(*cols, *names)
+        rows = rows.withColumn("_s", ends).select(*cols, *names)
 
     cells = F.array(
         *[
@@ -75,10 +137,13 @@ def _runs(
         ]
     )
     v, b = F.col("v"), F.col("b")
-    ends = [(b[2 * k], b[2 * k + 1]) for k in range(len(probs))]
+    sides = [
+        (F.coalesce(v >= b[2 * k], F.lit(True)), F.coalesce(v > b[2 * k + 1], F.lit(False)))
+        for k in range(len(probs))
+    ]
     # The zone number grows with the value, so what lies between two brackets shares one zone.
-    zone = reduce(add, [(v >= lo).cast("int") + (v > hi).cast("int") for lo, hi in ends])
-    inside = reduce(or_, [v.between(lo, hi) for lo, hi in ends])
+    zone = reduce(add, [entered.cast("int") + left.cast("int") for entered, left in sides])
+    inside = reduce(or_, [entered & ~left for entered, left in sides])
     counted = (
         rows.select(*group, F.explode(cells).alias("_x"))
         .select(*group, "_x.*")
@@ -87,12 +152,33 @@ def _runs(
         .groupBy(*group, "item", "zone", "exact")
         .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    each = Window.partitionBy(*group, "item")
-    running = each.orderBy("low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys = [*group, "item"]
+    counted = _running(counted, keys) if sizes.largest <= WINDOWED_ROWS else _running_split(counted, keys)
+    return counted.withColumn("first", F.col("last") - F.col("cnt") + 1)
+
+
+def _running(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the running count: one sorted window per group, about one row in a hundred of it."""
+    each = Window.partitionBy(*keys)
+    up_to = each.orderBy("low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumn("n", F.sum("cnt").over(each)).withColumn("last", F.sum("cnt").over(up_to) - 1)
+
+
+def _running_split(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for huge groups: range partitions are summed side by side and then shifted."""
+    ranged = counted.repartitionByRange(*keys, "low").withColumn("_part", F.spark_partition_id())
+    split = materialize(ranged, "runs")
+    sums = split.groupBy(*keys, "_part").agg(F.sum("cnt").alias("_sum"))
+    each = Window.partitionBy(*keys)
+    before = each.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sums.select(
+        *keys, "_part", F.sum("_sum").over(each).alias("n"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_shift")
+    )
+    local = Window.partitionBy(*keys, "_part").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counted.withColumn("n", F.sum("cnt").over(each))
-        .withColumn("last", F.sum("cnt").over(running) - 1)
-        .withColumn("first", F.col("last") - F.col("cnt") + 1)
+        split.join(shifts, [*keys, "_part"])
+        .withColumn("last", F.sum("cnt").over(local) + F.col("_shift") - 1)
+        .drop("_part", "_shift")
     )
 
 
@@ -101,11 +187,37 @@ def _value_at(rank: Column) -> Column:
     value = (
         F.when((F.col("low") == F.col("high")) | (rank == F.col("first")), F.col("low"))
         .when(rank == F.col("last"), F.col("high"))
-        .otherwise(F.raise_error(F.lit("rank outside its bracket: raise the accuracy")))
+        .otherwise(F.raise_error(F.lit("rank outside its bracket")))
     )
     return F.max(F.when(rank.between(F.col("first"), F.col("last")), value))
 
 
+def _buffered_quantiles(doubles: DataFrame, cols: list[str], probs: list[float], group: list[str]) -> DataFrame:
+    shares = F.array(*[F.lit(p) for p in probs])
+    aggs = [F.percentile(c, shares).alias(c) for c in cols]
+    if not group:
+        return doubles.agg(*aggs)
+    return doubles.groupBy(*group).agg(*aggs).where(F.coalesce(*cols).isNotNull())
+
+
+def _bracketed_quantiles(
+    doubles: DataFrame, cols: list[str], probs: list[float], group: list[str], accuracy: int, sizes: Sizes
+) -> DataFrame:
+    runs = _runs(doubles, cols, probs, group, accuracy, sizes)
+    ends = []
+    for k, p in enumerate(probs):
+        at = F.col("n").cast("double") * p - p
+        ends += [
+            _value_at(F.floor(at)).alias(f"lo{k}"),
+            _value_at(F.ceil(at)).alias(f"hi{k}"),
+            F.max(at - F.floor(at)).alias(f"part{k}"),
+        ]
+    each = F.array(*[F.expr(f"lo{k} + (hi{k} - lo{k}) * part{k}") for k in range(len(probs))])
+    long = runs.groupBy(*group, "item").agg(*ends).select(*group, "item", each.alias("q"))
+    wide = [F.max(F.when(F.col("item") == i, F.col("q"))).alias(c) for i, c in enumerate(cols)]
+    return long.groupBy(*group).agg(*wide) if group else long.agg(*wide)
+
+
 def quantiles(
     df: DataFrame,
     cols: list[str],
@@ -113,45 +225,39 @@ def quantiles(
     group: list[str] | None = None,
     accuracy: int = ACCURACY,
     exact: bool = True,
-    sizes: Sizes | None = None,
     buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """Per group, one array per column with the linearly interpolated quantiles.
 
-    All columns are handled together; a group without any value has no row. ``buffered`` is the
-    most values that the columns of one group may put into aggregation buffers. With
-    ``exact=False`` the sketch alone answers, in a single pass.
+    All columns are handled together; a column without values gives null and a group without
+    any value has no row. ``buffered`` is the most values that the columns of one group may put
+    into aggregation buffers; groups beyond it are bracketed. With ``exact=False`` a sketch alone
+    answers, in a single pass.
     """
     group = group or []
     doubles = _keyed(df.select(*group, *[F.col(c).cast("double").alias(c) for c in cols]), group)
     if not exact:
         aggs = [F.percentile_approx(c, probs, accuracy).alias(c) for c in cols]
         return doubles.groupBy(*group).agg(*aggs) if group else doubles.agg(*aggs)
-    if sizes is None:
-        sizes = group_sizes(df, group) if group else Sizes(1, df.count())
-    if sizes.largest * len(cols) <= buffered:
-        aggs = [F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]
-        if not group:
-            return doubles.agg(*aggs)
-        return doubles.groupBy(*group).agg(*aggs).where(F.coalesce(*cols).isNotNull())
-    runs = _runs(doubles, cols, probs, group, accuracy, sizes.groups <= BROADCAST_ROWS)
-    ends = []
-    for k, p in enumerate(probs):
-        at = F.col("n").cast("double") * p - p
-        ends += [
-            _value_at(F.floor(at)).alias(f"lo{k}"),
-            _value_at(F.ceil(at)).alias(f"hi{k}"),
-            F.max(at - F.floor(at)).alias(f"part{k}"),
-        ]
-    each = F.array(
-        *[F.expr(f"lo{k} + (hi{k} - lo{k}) * part{k}") for k in range(len(probs))]
+    if not group:
+        rows = df.count()
+        if rows * len(cols) <= buffered:
+            return _buffered_quantiles(doubles, cols, probs, group)
+        return _bracketed_quantiles(doubles, cols, probs, group, accuracy, Sizes(1, rows, 1))
+    sizes = group_sizes(df, group, len(cols), buffered)
+    if sizes.too_large == 0:
+        return _buffered_quantiles(doubles, cols, probs, group)
+    if sizes.too_large == sizes.groups:
+        return _bracketed_quantiles(doubles, cols, probs, group, accuracy, sizes)
+    large = _counts(df, group).where(F.col("_rows") * len(cols) > buffered)
+    few = sizes.too_large <= BROADCAST_ROWS
+    marked = lookup_join(doubles, large, group, "left", few)
+    is_large = F.col("_rows").isNotNull()
+    return _buffered_quantiles(marked.where(~is_large), cols, probs, group).unionByName(
+        _bracketed_quantiles(
+            marked.where(is_large), cols, probs, group, accuracy, Sizes(sizes.too_large, sizes.largest, sizes.too_large)
+        )
     )
-    long = runs.groupBy(*group, "item").agg(*ends).select(*group, "item", each.alias("q"))
-    none = F.array(*[F.lit(None).cast("double")] * len(probs))
-    wide = [
-        F.coalesce(F.max(F.when(F.col("item") == i, F.col("q"))), none).alias(c) for i, c in enumerate(cols)
-    ]
-    return long.groupBy(*group).agg(*wide) if group else long.agg(*wide)
 
 
 def medians(
@@ -160,25 +266,35 @@ def medians(
     group: list[str],
     accuracy: int = ACCURACY,
     exact: bool = True,
-    sizes: Sizes | None = None,
     buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """One row per group with the median of each column."""
-    q = quantiles(df, cols, [0.5], group, accuracy, exact, sizes, buffered)
+    q = quantiles(df, cols, [0.5], group, accuracy, exact, buffered)
     return q.select(*group, *[F.col(c)[0].alias(c) for c in cols])
 
 
-def value_at_rank(
+def values_at_ranks(
     df: DataFrame,
     col: str,
-    prob: float,
-    rank: Callable[[Column], Column],
+    wanted: list[tuple[float, Callable[[Column], Column]]],
     group: list[str] | None = None,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """Per group the value of ``col`` at the 0-based rank ``rank(n)``, which lies near share ``prob``."""
+    """Per group an array with the value of ``col`` at each wanted 0-based rank.
+
+    Each entry of ``wanted`` is a share and a function of the group's row count giving a rank near
+    that share. All ranks are found together.
+    """
     group = group or []
-    small = not group or group_sizes(df, group).groups <= BROADCAST_ROWS
-    runs = _runs(df.select(*group, col), [col], [prob], group, accuracy, small)
-    picked = _value_at(rank(F.col("n"))).alias(col)
+    sizes = group_sizes(df, group) if group else Sizes(1, df.count(), 1)
+    runs = _runs(df.select(*group, col), [col], [p for p, _ in wanted], group, accuracy, sizes)
+    picked = F.array(*[_value_at(rank(F.col("n"))) for _, rank in wanted]).alias(col)
     return runs.groupBy(*group).agg(picked) if group else runs.agg(picked)
+
+
+def value_at_rank(
+    df: DataFrame, col: str, prob: float, rank: Callable[[Column], Column], accuracy: int = ACCURACY
+) -> DataFrame:
+    """The value of ``col`` at the 0-based rank ``rank(n)``, which lies near share ``prob``."""
+    found = values_at_ranks(df, col, [(prob, rank)], None, accuracy)
+    return found.select(F.col(col)[0].alias(col))

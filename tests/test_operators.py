@@ -85,8 +85,10 @@ def values(spark):
     return spark.createDataFrame(rows, "g string, v double, w double"), pd.DataFrame(rows, columns=["g", "v", "w"])
 
 
-@pytest.mark.parametrize("accuracy, buffered", [(10_000, 0), (30, 0), (7, 0), (10_000, 10**6)])
-def test_quantiles_by_group(values, accuracy, buffered):
+@pytest.mark.parametrize("windowed", [10**9, 0])
+@pytest.mark.parametrize("accuracy, buffered", [(10_000, 0), (100, 0), (7, 0), (10_000, 10**6), (50, 1500)])
+def test_quantiles_by_group(values, monkeypatch, accuracy, buffered, windowed):
+    monkeypatch.setattr(order_stats, "WINDOWED_ROWS", windowed)
     df, pdf = values
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = {r["g"]: r for r in order_stats.quantiles(df, ["v", "w"], probs, ["g"], accuracy, buffered=buffered).collect()}
@@ -108,6 +110,19 @@ def test_quantiles_overall(values, buffered):
         assert got[c] == pytest.approx(list(pdf[c].quantile([0.25, 0.75])), abs=1e-12)
 
 
+def test_brackets_narrow_large_groups(spark):
+    df = spark.range(0, 200_000, 1, 16).select((F.col("id") * 48_271 % 200_003).cast("double").alias("v"))
+    ends = order_stats._brackets(df, ["v"], [0.25, 0.5], [], 2000, 500).first()["_b0"]
+    ordered = sorted(r["v"] for r in df.collect())
+    for share, low, high in ((0.25, ends[0], ends[1]), (0.5, ends[2], ends[3])):
+        assert low <= ordered[int(share * 200_000)] <= high
+        assert sum(low <= x <= high for x in ordered) < 4_000
+    sorted_parts = df.orderBy("v")
+    assert order_stats.quantiles(sorted_parts, ["v"], [0.5], buffered=0).first()["v"][0] == pytest.approx(
+        (ordered[99_999] + ordered[100_000]) / 2
+    )
+
+
 def test_value_at_rank(values):
     df, pdf = values
     got = order_stats.value_at_rank(df, "w", 0.2, lambda n: F.lit(599), accuracy=40).first()["w"]
