@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from petrichor.functions.hashing import row_hash
-from petrichor.operators.order_stats import value_at_rank
+from petrichor.operators.order_stats import BUFFERED_VALUES, value_at_rank
 from petrichor.operators.positions import hashed_positions
 from petrichor.schemas import OVERSAMPLE_SEED
 
@@ -34,7 +34,9 @@ def _repeat(df: DataFrame, copies: Column, most: int, slot: str) -> DataFrame:
     return spread.withColumn(slot, F.explode(numbers)).drop("_copies", "_block")
 
 
-def _cycled(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int | None, slot: str) -> DataFrame:
+def _cycled(
+    minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int | None, slot: str, buffered: int
+) -> DataFrame:
     """Every row ``n_out // n_in`` times, and once more for the first ``n_out % n_in`` rows.
 
     Only the key of the last such row is looked for; the rows themselves are never shuffled.
@@ -44,7 +46,8 @@ def _cycled(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: in
         return _repeat(minority, F.lit(times).cast("long"), times, slot)
     order = F.col(key[0]) if seed is None else row_hash(key, seed)
     ranked = minority.select(order.alias("_order"))
-    limit = value_at_rank(ranked, "_order", rest / n_in, lambda n: F.lit(rest - 1)).scalar()
+    found = value_at_rank(ranked, "_order", rest / n_in, lambda n: F.lit(rest - 1), buffered=buffered)
+    limit = F.lit(found.first()["_order"])
     if not times:
         return minority.where(order <= limit).withColumn(slot, F.lit(0).cast("long"))
     return _repeat(minority, (order <= limit).cast("long") + times, times + 1, slot)
@@ -74,6 +77,7 @@ def oversample(
     minority: int = 1,
     copy: str | None = None,
     slot: str | None = None,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """The majority class whole, and the minority class resampled to the same number of rows.
 
@@ -92,11 +96,11 @@ def oversample(
     if method == "draw":
         copies = _drawn(pool, key, n_out, n_in, seed, number)
     elif method == "shuffled_cycle":
-        copies = _cycled(pool, key, n_out, n_in, seed, number)
+        copies = _cycled(pool, key, n_out, n_in, seed, number, buffered)
     elif method == "cycle":
         if len(key) != 1:
             raise ValueError("cycle needs a single ordered key column; take shuffled_cycle")
-        copies = _cycled(pool, key, n_out, n_in, None, number)
+        copies = _cycled(pool, key, n_out, n_in, None, number, buffered)
     else:
         raise ValueError(f"unknown method {method!r}")
     kept = kept.withColumn(number, F.lit(0).cast("long"))

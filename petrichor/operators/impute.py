@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import or_
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,19 +18,19 @@ from petrichor.schemas import IQR_FACTOR
 from petrichor.session import materialize
 
 
-def with_row_of(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
-    """Add a one-row frame as a struct column, through a scalar subquery."""
-    return df.withColumn(name, one_row.select(F.struct("*").alias("s")).scalar())
+def fitted(one_row: DataFrame) -> dict[str, Any]:
+    """The values of a one-row frame of statistics.
 
-
-def replaced(df: DataFrame, values: dict[str, Column], drop: list[str]) -> DataFrame:
-    return df.withColumns(values).drop(*drop)
+    Like the fitted state of a model these few numbers go through the driver, so that later
+    actions on the result do not compute them again.
+    """
+    return one_row.first().asDict()
 
 
 def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill nulls with the column's most frequent value."""
-    filled = {c: F.coalesce(F.col(c), F.col("_mode")[c]) for c in cols}
-    return replaced(with_row_of(df, modes(df, cols), "_mode"), filled, ["_mode"])
+    mode = fitted(modes(df, cols))
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(mode[c])) for c in cols if mode[c] is not None})
 
 
 def impute_group_median(
@@ -49,7 +50,7 @@ def impute_group_median(
     renamed = found.select(*group, *[F.col(c).alias(f"_med_{c}") for c in cols])
     joined = lookup_join(df, materialize(renamed, "medians"), group)
     filled = {c: F.coalesce(F.col(c), F.col(f"_med_{c}"), F.lit(fallback)) for c in cols}
-    return replaced(joined, filled, [f"_med_{c}" for c in cols]).select(*df.columns)
+    return joined.withColumns(filled).select(*df.columns)
 
 
 def has_word(cols: list[str]) -> Column:
@@ -94,9 +95,9 @@ def cap_iqr(
     exact: bool = True,
 ) -> DataFrame:
     """Limit each column to its IQR fences; nulls stay null."""
-    fenced = with_row_of(df, iqr_limits(df, cols, k, accuracy, exact), "_lim")
-    capped = {c: cap(F.col(c), F.col("_lim")[c]["low"], F.col("_lim")[c]["high"]) for c in cols}
-    return replaced(fenced, capped, ["_lim"])
+    limits = fitted(iqr_limits(df, cols, k, accuracy, exact))
+    known = [c for c in cols if limits[c]["low"] is not None]
+    return df.withColumns({c: cap(F.col(c), F.lit(limits[c]["low"]), F.lit(limits[c]["high"])) for c in known})
 
 
 def kinds(df: DataFrame) -> tuple[list[str], list[str]]:

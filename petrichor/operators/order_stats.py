@@ -279,22 +279,37 @@ def values_at_ranks(
     wanted: list[tuple[float, Callable[[Column], Column]]],
     group: list[str] | None = None,
     accuracy: int = ACCURACY,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """Per group an array with the value of ``col`` at each wanted 0-based rank.
 
     Each entry of ``wanted`` is a share and a function of the group's row count giving a rank near
-    that share. All ranks are found together.
+    that share. All ranks are found together: by numbering the rows while no group exceeds
+    ``buffered`` rows, by brackets beyond that.
     """
     group = group or []
-    sizes = group_sizes(df, group) if group else Sizes(1, df.count(), 1)
-    runs = _runs(df.select(*group, col), [col], [p for p, _ in wanted], group, accuracy, sizes)
-    picked = F.array(*[_value_at(rank(F.col("n"))) for _, rank in wanted]).alias(col)
-    return runs.groupBy(*group).agg(picked) if group else runs.agg(picked)
+    values = _keyed(df.select(*group, col), group).where(F.col(col).isNotNull())
+    sizes = group_sizes(values, group, 1, buffered) if group else Sizes(1, values.count(), 0)
+    if sizes.largest <= buffered:
+        each = Window.partitionBy(*group)
+        place = F.row_number().over(each.orderBy(col)) - 1
+        rows = values.withColumn("n", F.count(F.lit(1)).over(each)).withColumn("first", place)
+        picked = [F.max(F.when(F.col("first") == rank(F.col("n")), F.col(col))) for _, rank in wanted]
+    else:
+        rows = _runs(values, [col], [p for p, _ in wanted], group, accuracy, sizes)
+        picked = [_value_at(rank(F.col("n"))) for _, rank in wanted]
+    answer = F.array(*picked).alias(col)
+    return rows.groupBy(*group).agg(answer) if group else rows.agg(answer)
 
 
 def value_at_rank(
-    df: DataFrame, col: str, prob: float, rank: Callable[[Column], Column], accuracy: int = ACCURACY
+    df: DataFrame,
+    col: str,
+    prob: float,
+    rank: Callable[[Column], Column],
+    accuracy: int = ACCURACY,
+    buffered: int = BUFFERED_VALUES,
 ) -> DataFrame:
     """The value of ``col`` at the 0-based rank ``rank(n)``, which lies near share ``prob``."""
-    found = values_at_ranks(df, col, [(prob, rank)], None, accuracy)
+    found = values_at_ranks(df, col, [(prob, rank)], None, accuracy, buffered)
     return found.select(F.col(col)[0].alias(col))

@@ -379,11 +379,12 @@ def i5_draw(spark, sf):
     """,
 )
 def i5_large(spark, sf):
+    """The last row that gets one more copy is found by brackets."""
     rows = Tables(spark, sf).lineitem.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
     )
-    return oversample(rows, "y", ["id"], "cycle")
+    return oversample(rows, "y", ["id"], "cycle", buffered=0)
 
 
 @query(
@@ -412,6 +413,22 @@ def m2(spark, sf):
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
+@query(
+    "m2_stratified_split_by_bracket",
+    f"""
+    SELECT o_orderkey, o_orderstatus, CASE WHEN rn <= ceil(round(n * 0.2, 6)) THEN 'test' ELSE 'train' END AS side FROM (
+      SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderstatus) AS n,
+             row_number() OVER (PARTITION BY o_orderstatus ORDER BY {ROW_HASH_SQL.format(seed=42, key="o_orderkey")}) AS rn
+      FROM orders)
+    """,
+)
+def m2_bracket(spark, sf):
+    """The way taken when a class is too large to number."""
+    rows = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus")
+    train, test = split(rows, ["o_orderkey"], stratify="o_orderstatus", buffered=0)
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
 @query(
     "m5_stratified_folds",
     f"""

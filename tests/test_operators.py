@@ -123,10 +123,14 @@ def test_brackets_narrow_large_groups(spark):
     )
 
 
-def test_value_at_rank(values):
+@pytest.mark.parametrize("buffered", [0, 10**6])
+def test_value_at_rank(values, buffered):
     df, pdf = values
-    got = order_stats.value_at_rank(df, "w", 0.2, lambda n: F.lit(599), accuracy=40).first()["w"]
+    got = order_stats.value_at_rank(df, "w", 0.2, lambda n: F.lit(599), 40, buffered).first()["w"]
     assert got == sorted(pdf.w.dropna())[599]
+    found = order_stats.values_at_ranks(df, "v", [(0.0, lambda n: F.lit(0)), (1.0, lambda n: n - 1)], ["g"], 40, buffered)
+    ends = pdf.dropna(subset=["g", "v"]).groupby("g").v.agg(["min", "max"])
+    assert {r["g"]: tuple(r["v"]) for r in found.collect()} == {g: tuple(r) for g, r in ends.iterrows()}
 
 
 def test_sketch_is_near(values):
@@ -208,10 +212,11 @@ def classes(spark, zeros, ones):
 
 @pytest.mark.parametrize("method", ["draw", "cycle", "shuffled_cycle"])
 @pytest.mark.parametrize("zeros, ones", [(100, 7), (100, 100), (5, 60), (100, 1)])
-@pytest.mark.parametrize("block", [100_000, 3])
-def test_oversample_sizes(spark, monkeypatch, method, zeros, ones, block):
+@pytest.mark.parametrize("block, buffered", [(100_000, 10**6), (3, 0)])
+def test_oversample_sizes(spark, monkeypatch, method, zeros, ones, block, buffered):
     monkeypatch.setattr(balance, "BLOCK", block)
-    out = balance.oversample(classes(spark, zeros, ones), "y", ["id"], method, copy="c", slot="s").collect()
+    rows = classes(spark, zeros, ones)
+    out = balance.oversample(rows, "y", ["id"], method, copy="c", slot="s", buffered=buffered).collect()
     kept, copies = [r for r in out if not r["c"]], [r for r in out if r["c"]]
     assert sorted(r["id"] for r in kept) == list(range(zeros))
     assert len(copies) == zeros and {r["y"] for r in copies} == {1}
@@ -225,14 +230,15 @@ def test_oversample_without_minority(spark):
         balance.oversample(classes(spark, 5, 0), "y", ["id"])
 
 
-def test_splits(spark):
+@pytest.mark.parametrize("buffered", [0, 10**6])
+def test_splits(spark, buffered):
     df = classes(spark, 101, 33).where("y is not null")
-    train, test = split.split(df, ["id"], stratify="y")
+    train, test = split.split(df, ["id"], stratify="y", buffered=buffered)
     assert pairs(test.groupBy("y").count(), "y", "count") == [(0, 21), (1, 7)]
     assert train.count() + test.count() == 134 and not train.join(test, "id", "left_semi").count()
     train, test = split.split(df, ["id"])
     assert train.count() + test.count() == 134 and 10 < test.count() < 50
-    folds = split.with_fold(df, ["id"], "y").groupBy("y", "fold").count().collect()
+    folds = split.with_fold(df, ["id"], "y", buffered=buffered).groupBy("y", "fold").count().collect()
     assert {(r["y"], r["count"]) for r in folds} <= {(0, 20), (0, 21), (1, 6), (1, 7)} and len(folds) == 10
 
 
