@@ -19,7 +19,7 @@ from petrichor.plans.training import balanced_split, champion_metrics, compare,
 from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, FOREST, LABEL, MIN_GAIN, STATION_SCHEMA, STAMP
 from petrichor.session import materialize
 from petrichor.sources.bulletins import read_digest
-from petrichor.sources.tables import append_new, read_dim, read_table, write_csv
+from petrichor.sources.tables import append_new, read_dim, read_table, schema_report, write_csv
 
 
 def ingest(
@@ -31,18 +31,20 @@ def ingest(
     store: str = "daily",
     day: dt.date | None = None,
     mapping_path: str | None = None,
+    label_scope: str = "file",
     **clean_options,
 ) -> bool:
     """Digest files to the warehouse table; says whether rows were added.
 
     ``store='daily'`` keeps plain daily rows, keyed by location and date, and leaves balancing
-    and codes to training time. ``store='encoded'`` appends the balanced, encoded table, whose
+    and codes to training time. A day enters once its label is known: no later step uses it
+    before, and a held row is not replaced. ``store='encoded'`` appends the balanced, encoded table, whose
     codes only hold within one run, and writes the location mapping beside it.
     """
     dim = station_dim(read_dim(spark, stations_path, STATION_SCHEMA), read_dim(spark, ids_path, DATA_ID_SCHEMA))
-    daily = daily_observations(read_digest(spark, digest_path), dim)
+    daily = daily_observations(read_digest(spark, digest_path), dim, label_scope)
     if store == "daily":
-        rows = daily.withColumns({"Year": F.year("Date"), "Month": F.month("Date")})
+        rows = daily.where(F.col(LABEL).isNotNull()).withColumns({"Year": F.year("Date"), "Month": F.month("Date")})
         return append_new(rows, table, ["Location", "Date"], day, partition_by=["Year", "Month"])
     if store != "encoded":
         raise ValueError(f"unknown store {store!r}")
@@ -61,19 +63,27 @@ def training_table(spark: SparkSession, table: str, **clean_options) -> Cleaned:
 def train_and_promote(
     train: DataFrame, test: DataFrame, registry: Registry, min_gain: float = MIN_GAIN, **params
 ) -> bool:
-    """Fit, compare with the production model on the same test rows, log, register, promote."""
+    """Fit, compare with the production model on the same test rows, log, register, promote.
+
+    A failure is logged as a failed run before it is raised.
+    """
     settings = params or FOREST
-    features = features_of(train)
-    new = train_forest(train, LABEL, features, **settings)
-    models: dict[str, PipelineModel] = {"new": new}
-    production = registry.load("production")
-    if production is not None:
-        models["old"] = production
-    measured = materialize(champion_metrics(models, test), "metrics")
-    result = compare(measured, "new", "old", min_gain).first()
-    own = measured.where(F.col("model") == "new").drop("model").first().asDict()
+    try:
+        features = features_of(train)
+        new = train_forest(train, LABEL, features, **settings)
+        models: dict[str, PipelineModel] = {"new": new}
+        production = registry.load("production")
+        if production is not None:
+            models["old"] = production
+        measured = materialize(champion_metrics(models, test), "metrics")
+        result = compare(measured, "new", "old", min_gain).first()
+        own = measured.where(F.col("model") == "new").drop("model").first().asDict()
+    except Exception as error:
+        registry.log_run(settings | {"error": str(error)[:1000]}, {}, "FAILED")
+        raise
     extra = {"previous_f1": result["previous_score"], "improvement": result["improvement"]}
     run_id = registry.log_run(settings, own | extra)
+    registry.log_schema(run_id, schema_report(train, LABEL))
     version = registry.register(new, run_id)
     if result["promote"]:
         registry.promote(version)

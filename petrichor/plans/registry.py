@@ -110,6 +110,10 @@ class Registry:
         self._append("runs", RUNS, [(run_id, status, text, known, int(time.time() * 1000))])
         return run_id
 
+    def log_schema(self, run_id: str, report: DataFrame) -> None:
+        """Keep the one-row schema report of a run beside it, as JSON."""
+        report.coalesce(1).write.mode("overwrite").json(f"{self.root}/schemas/{run_id}")
+
     def register(self, model: PipelineModel, run_id: str) -> str:
         """Save a model under the next version number."""
         number = F.max(F.col("version").cast("int"))

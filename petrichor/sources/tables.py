@@ -48,6 +48,11 @@ def read_jdbc(
     )
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", connections: int = 16, **options: str) -> None:
+    """Append to or replace a database table over a bounded number of connections."""
+    df.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
+
+
 def write_table(
     df: DataFrame, target: str, mode: str = "append", partition_by: list[str] | None = None
 ) -> None:

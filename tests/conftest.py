@@ -8,7 +8,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from petrichor.session import build_session
 
     session = build_session(
@@ -18,6 +18,7 @@ def spark():
         spark__ui__enabled="false",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -44,6 +44,17 @@ def test_append_new_and_replace(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 3
 
 
+def test_catalog_tables(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    try:
+        assert tables.append_new(rows, "held_rows", ["k"], dt.date(2025, 9, 6))
+        assert not tables.append_new(rows, "held_rows", ["k"])
+        assert tables.read_table(spark, "held_rows").count() == 2
+        assert tables.run_sql(spark, "SELECT v FROM held_rows WHERE k = :k", {"k": 2}).first()["v"] == "b"
+    finally:
+        spark.sql("DROP TABLE IF EXISTS held_rows")
+
+
 def test_csv_keeps_order_and_is_created_once(spark, tmp_path):
     path = str(tmp_path / "mapping")
     rows = spark.createDataFrame([("B", 1), ("A", 0)], MAPPING_SCHEMA)
@@ -91,7 +102,13 @@ def test_ingest_train_predict(spark, places, tmp_path):
     reg = registry.Registry(spark, str(tmp_path / "registry"))
     assert jobs.ingest(spark, table=table, day=dt.date(2025, 9, 6), **places)
     assert not jobs.ingest(spark, table=table, **places)
-    assert tables.read_table(spark, table).count() == 168
+    # 168 days, of which the last of each bulletin has no label yet.
+    assert tables.read_table(spark, table).count() == 162
+    longer = wf.month("202303", 0) + [wf.line("2023-03-29", "9.0")]
+    wf.write_digest_files(places["digest_path"], {("ID1", "202303"): longer})
+    assert jobs.ingest(spark, table=table, **places)
+    late = tables.read_table(spark, table).where("Location = 'Albury' AND Date = '2023-03-28'").collect()
+    assert [r["RainTomorrow"] for r in late] == ["Yes"]
     assert jobs.train(spark, table, reg, numTrees=3, maxDepth=2, seed=42)
     cleaned = jobs.training_table(spark, table, balance=None)
     features = materialize(cleaned.table)
@@ -112,8 +129,12 @@ def test_ingest_train_predict(spark, places, tmp_path):
     out = jobs.predict_locations(features, model, cleaned.mapping, "1").collect()
     assert {r["Location_Name"] for r in out} == set(NAMES.values())
     assert {r["prediction"] for r in out} <= {0.0, 1.0} and {r["will_rain"] for r in out} <= {True, False}
+    assert spark.read.json(f"{reg.root}/schemas/*").count() == 2
     with pytest.raises(ValueError):
         training.score(first, features.where("false"))
+    with pytest.raises(ValueError):
+        jobs.train_and_promote(features.where("false"), features, reg)
+    assert reg.runs().where("status = 'FAILED'").count() == 1
 
 
 def training_counts(df):
