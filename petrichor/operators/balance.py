@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from petrichor.functions.hashing import row_hash
 from petrichor.operators.order_stats import BUFFERED_VALUES, value_at_rank
-from petrichor.operators.positions import hashed_positions
+from petrichor.operators.positions import written_positions
 from petrichor.schemas import OVERSAMPLE_SEED
 
 BLOCK = 100_000
@@ -53,7 +53,7 @@ def _cycled(
     return _repeat(minority, (order <= limit).cast("long") + times, times + 1, slot)
 
 
-def _drawn(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:
+def _drawn(minority: DataFrame, n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:
     """``n_out`` independent draws with replacement, each a hash of its number and the seed."""
     draws = (
         minority.sparkSession.range(n_out)
@@ -61,7 +61,7 @@ def _drawn(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int
         .groupBy("_pos")
         .agg(F.count(F.lit(1)).alias("_times"))
     )
-    placed = hashed_positions(minority, key, "_pos").join(draws, "_pos")
+    placed = written_positions(minority, "_pos").join(draws, "_pos")
     # Draws per row scatter around n_out / n_in; this only chooses how the copies are written.
     most = 4 * (n_out // n_in) + 100
     return _repeat(placed, F.col("_times"), most, slot).drop("_pos", "_times")
@@ -81,8 +81,8 @@ def oversample(
 ) -> DataFrame:
     """The majority class whole, and the minority class resampled to the same number of rows.
 
-    Rows of neither class go. ``key`` is unique per row. ``draw`` samples with replacement;
-    ``cycle`` goes round the rows in key order, ``shuffled_cycle`` in hash order of the key.
+    Rows of neither class go. ``draw`` samples with replacement; ``cycle`` goes round the rows in
+    key order, ``shuffled_cycle`` in hash order of the key; for these ``key`` is unique per row.
     ``copy`` and ``slot`` name optional columns that mark resampled rows and number the copies
     of a row.
     """
@@ -94,7 +94,7 @@ def oversample(
     pool = df.where(F.col(label) == minority)
     number = slot or "_slot"
     if method == "draw":
-        copies = _drawn(pool, key, n_out, n_in, seed, number)
+        copies = _drawn(pool, n_out, n_in, seed, number)
     elif method == "shuffled_cycle":
         copies = _cycled(pool, key, n_out, n_in, seed, number, buffered)
     elif method == "cycle":

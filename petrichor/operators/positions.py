@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from petrichor.operators.joins import BROADCAST_ROWS, lookup_join
 from petrichor.session import materialize
 
-HASH_BUCKETS = 4096
-
 
 def ordered_positions(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     """0-based position in a total order, for frames too long for one sorted partition.
@@ -32,20 +30,24 @@ def ordered_positions(df: DataFrame, order: list[str | Column], name: str) -> Da
     )
 
 
-def hashed_positions(df: DataFrame, keys: list[str], name: str, buckets: int = HASH_BUCKETS) -> DataFrame:
-    """0-based dense positions in hash order; ``keys`` must be unique.
+def written_positions(df: DataFrame, name: str) -> DataFrame:
+    """0-based dense positions in the order in which the rows happen to be written.
 
-    Buckets are even because the keys are unique, and the shift table has ``buckets`` rows.
+    Needs no key, no sort and no shuffle, so copies of a row do not pile up anywhere: rows are
+    numbered inside each part that is written, and shifted by the sizes of the parts before it.
     """
-    placed = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+    numbered = materialize(df.withColumn("_id", F.monotonically_increasing_id()), name)
+    # The upper bits of the generated number are the part, the lower 33 count up inside it.
+    placed = numbered.withColumns(
+        {"_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
     return (
-        placed.join(F.broadcast(shift), "_bucket")
-        .withColumn(name, local + F.col("_shift") - 1)
-        .drop("_bucket", "_shift")
+        lookup_join(placed, shift, ["_part"], "inner")
+        .withColumn(name, F.col("_place") + F.col("_shift"))
+        .drop("_id", "_part", "_place", "_shift")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from petrichor.operators.impute import drop_word_rows, kinds, word_row_count
 from petrichor.operators.joins import drop_existing, lookup_join, pending, unknown_keys
-from petrichor.operators.positions import factorize, hashed_positions, ordered_positions
+from petrichor.operators.positions import factorize, ordered_positions, written_positions
 from petrichor.operators.profile import head_and_tail
 from petrichor.operators.windows import first_per_group, next_in_group, top_rows
 from petrichor.plans.daily import station_dim
@@ -377,9 +377,9 @@ def w5(spark, sf):
     return placed.select("o_orderkey", "pos")
 
 
-@query("w5_positions_in_hash_order", "SELECT unnest(range(count(*))) AS pos FROM events")
-def w5_hash(spark, sf):
-    return hashed_positions(Tables(spark, sf).events.select("event_id"), ["event_id"], "pos").select("pos")
+@query("w5_positions_as_written", "SELECT unnest(range(count(*))) AS pos FROM events")
+def w5_written(spark, sf):
+    return written_positions(Tables(spark, sf).events.select("event_id"), "pos").select("pos")
 
 
 @query(

@@ -187,8 +187,9 @@ def test_positions(spark):
     want = sorted(r["k"] for r in df.collect())
     assert [r["k"] for r in got.orderBy("pos").collect()] == want
     assert [r["pos"] for r in got.select("pos").orderBy("pos").collect()] == list(range(5000))
-    hashed = positions.hashed_positions(df, ["id"], "pos", buckets=16)
-    assert sorted(r["pos"] for r in hashed.collect()) == list(range(5000))
+    copies = df.where("id % 7 <> 0").withColumn("k", F.lit("same"))
+    placed = positions.written_positions(copies, "pos").collect()
+    assert sorted(r["pos"] for r in placed) == list(range(len(placed))) and len({r["id"] for r in placed}) == len(placed)
 
 
 @pytest.mark.parametrize("limit", [200_000, 1])
