@@ -79,16 +79,11 @@ def cp1252_text(content: Column) -> Column:
     )
 
 
-def text_lines(c: Column) -> Column:
-    """Array of lines; every usual line end counts."""
-    return F.split(c, r"\r\n|\r|\n")
+def unix_text(c: Column) -> Column:
+    """The text with every usual line end turned into a line feed."""
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
-def data_lines(lines: Column) -> Column:
-    """The lines of a bulletin without empty lines and lines opening with a quote."""
-    return F.filter(lines, lambda x: (x != "") & ~x.startswith('"'))
-
-
-def header_position(lines: Column) -> Column:
-    """1-based position of the first line opening with a comma, which is the header; else 0."""
-    return F.array_position(F.transform(lines, lambda x: x.startswith(",")), True)
+def is_data_line(line: Column) -> Column:
+    """Neither empty nor opening with a quote."""
+    return (line != "") & ~line.startswith('"')

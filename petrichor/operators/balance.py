@@ -9,6 +9,7 @@ from petrichor.functions.hashing import row_hash
 from petrichor.operators.order_stats import BUFFERED_VALUES, value_at_rank
 from petrichor.operators.positions import written_positions
 from petrichor.schemas import OVERSAMPLE_SEED
+from petrichor.session import materialize
 
 BLOCK = 100_000
 
@@ -61,7 +62,8 @@ def _drawn(minority: DataFrame, n_out: int, n_in: int, seed: int, slot: str) ->
         .groupBy("_pos")
         .agg(F.count(F.lit(1)).alias("_times"))
     )
-    placed = written_positions(minority, "_pos").join(draws, "_pos")
+    # Written before the copies are made: later passes repeat rows without joining again.
+    placed = materialize(written_positions(minority, "_pos").join(draws, "_pos"), "drawn")
     # Draws per row scatter around n_out / n_in; this only chooses how the copies are written.
     most = 4 * (n_out // n_in) + 100
     return _repeat(placed, F.col("_times"), most, slot).drop("_pos", "_times")

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from petrichor.functions.dates import period, recent_months
 from petrichor.functions.text import (
     cp1252_text,
-    data_lines,
     file_name,
     from_template,
-    header_position,
+    is_data_line,
     text_between,
-    text_lines,
+    unix_text,
 )
 from petrichor.operators.joins import lookup_join
 from petrichor.schemas import (
@@ -50,10 +49,15 @@ def digest(bulletins: DataFrame, content: str = "content") -> DataFrame:
     the header. Later comma lines are data. ``line_no`` grows with the place in the file.
     """
     rest = [c for c in bulletins.columns if c != content]
-    kept = bulletins.select(*rest, data_lines(text_lines(F.col(content))).alias("_kept"))
-    marked = kept.withColumn("_header", header_position(F.col("_kept")))
-    lines = marked.select(*rest, "_header", F.posexplode("_kept").alias("line_no", "line"))
-    return lines.where(F.col("line_no") + 1 != F.col("_header")).drop("_header")
+    # The header is cut out of the text before it is split; plain string search, no shuffle.
+    text = bulletins.select(*rest, F.concat(F.lit("\n"), unix_text(F.col(content))).alias("_text"))
+    found = text.withColumn("_start", F.instr("_text", "\n,"))
+    ends = found.withColumn("_end", F.expr("locate('\\n', _text, _start + 1)"))
+    before = F.expr("substring(_text, 1, _start - 1)")
+    after = F.when(F.col("_end") > 0, F.expr("substring(_text, _end)")).otherwise("")
+    body = F.when(F.col("_start") == 0, F.col("_text")).otherwise(F.concat(before, after))
+    lines = ends.select(*rest, F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
+    return lines.where(is_data_line(F.col("line")))
 
 
 def digest_lines(lines: DataFrame, file: str, line_no: str, line: str) -> DataFrame:
@@ -61,7 +65,7 @@ def digest_lines(lines: DataFrame, file: str, line_no: str, line: str) -> DataFr
 
     The header is the lowest-numbered comma line of its file: one aggregated row per file.
     """
-    kept = lines.where((F.col(line) != "") & ~F.col(line).startswith('"'))
+    kept = lines.where(is_data_line(F.col(line)))
     headers = (
         kept.where(F.col(line).startswith(",")).groupBy(file).agg(F.min(line_no).alias("_header"))
     )

@@ -221,7 +221,7 @@ def m6(spark, sf):
 
 @query("m4_m5_a15_grid_scores")
 def m5(spark, sf):
-    tuned = tune_forest(_features(spark, sf), grid=[1, 5, 9], folds=3, depth=5)
+    tuned = tune_forest(_features(spark, sf), grid=[1, 5], folds=3, depth=5)
     return tuned["scores"]
 
 
