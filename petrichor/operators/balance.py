@@ -46,12 +46,27 @@ def _cycled(
     if not rest:
         return _repeat(minority, F.lit(times).cast("long"), times, slot)
     order = F.col(key[0]) if seed is None else row_hash(key, seed)
-    ranked = minority.select(order.alias("_order"))
-    found = value_at_rank(ranked, "_order", rest / n_in, lambda n: F.lit(rest - 1), buffered=buffered)
-    limit = F.lit(found.first()["_order"])
+    marked = _first_rows(minority.withColumn("_order", order), rest, rest / n_in, buffered)
     if not times:
-        return minority.where(order <= limit).withColumn(slot, F.lit(0).cast("long"))
-    return _repeat(minority, (order <= limit).cast("long") + times, times + 1, slot)
+        return marked.where("_more").drop("_more").withColumn(slot, F.lit(0).cast("long"))
+    return _repeat(marked, F.col("_more").cast("long") + times, times + 1, slot).drop("_more")
+
+
+def _first_rows(ordered: DataFrame, wanted: int, share: float, buffered: int) -> DataFrame:
+    """Mark the first ``wanted`` rows by ``_order`` in ``_more``, and drop ``_order``.
+
+    Copies that tie for the last place are numbered as written, so exactly ``wanted`` are marked.
+    """
+    found = value_at_rank(ordered, "_order", share, lambda n: F.lit(wanted - 1), buffered=buffered)
+    limit = F.lit(found.first()["_order"])
+    sooner, tied = F.col("_order") < limit, F.col("_order") == limit
+    n = ordered.agg(F.count_if(sooner).alias("sooner"), F.count_if(tied).alias("tied")).first()
+    if n["sooner"] + n["tied"] == wanted:
+        return ordered.withColumn("_more", F.col("_order") <= limit).drop("_order")
+    others = ordered.where(~tied).withColumn("_more", sooner)
+    numbered = written_positions(ordered.where(tied), "_place")
+    chosen = numbered.withColumn("_more", F.col("_place") < wanted - n["sooner"]).drop("_place")
+    return others.unionByName(chosen).drop("_order")
 
 
 def _drawn(minority: DataFrame, n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:
@@ -84,7 +99,8 @@ def oversample(
     """The majority class whole, and the minority class resampled to the same number of rows.
 
     Rows of neither class go. ``draw`` samples with replacement; ``cycle`` goes round the rows in
-    key order, ``shuffled_cycle`` in hash order of the key; for these ``key`` is unique per row.
+    key order, ``shuffled_cycle`` in hash order of the key. The key is never null; rows that share
+    one are copied in no particular order, but the sizes still match.
     ``copy`` and ``slot`` name optional columns that mark resampled rows and number the copies
     of a row.
     """

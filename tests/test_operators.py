@@ -226,6 +226,15 @@ def test_oversample_sizes(spark, monkeypatch, method, zeros, ones, block, buffer
         assert sorted(r["id"] for r in copies) == sorted(1000 + i % ones for i in range(zeros))
 
 
+@pytest.mark.parametrize("method", ["draw", "cycle", "shuffled_cycle"])
+@pytest.mark.parametrize("zeros", [100, 17, 25])
+def test_oversample_with_copies_of_a_row(spark, method, zeros):
+    rows = [(i, 0) for i in range(zeros)] + [(1000, 1)] * 12 + [(1000 + i, 1) for i in range(1, 18)]
+    df = spark.createDataFrame(rows, "id long, y int")
+    out = balance.oversample(df, "y", ["id"], method)
+    assert pairs(out.groupBy("y").count(), "y", "count") == [(0, zeros), (1, zeros)]
+
+
 def test_oversample_without_minority(spark):
     with pytest.raises(ValueError):
         balance.oversample(classes(spark, 5, 0), "y", ["id"])
