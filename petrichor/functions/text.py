@@ -60,11 +60,6 @@ def metric_text(c: Column) -> Column:
     return F.when(c.isNotNull(), fixed_text(c, 3)).otherwise("")
 
 
-def json_record(*cols: str) -> Column:
-    """One row as a JSON object."""
-    return F.to_json(F.struct(*(cols or ("*",))), {"ignoreNullFields": "false"})
-
-
 def cp1252_text(content: Column) -> Column:
     """Windows-1252 bytes as text.
 
