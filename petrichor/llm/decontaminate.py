@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,23 +21,21 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _BLANKS))
 
 
-def shingles(found: str, size: int) -> Column:
-    """All runs of ``size`` words of the column ``found``, joined by blanks; a shorter text is one
-    shingle as a whole, no words give none. The column must be computed beforehand: an expression
-    would be evaluated anew for each shingle."""
-    return F.when(F.size(found) > 0, F.transform(_starts(found, size), lambda i: F.array_join(F.slice(found, i, size), " "))).otherwise(
-        F.array().cast("array<string>")
-    )
+def _each(found: str, size: int, made: Callable[[list[Column]], Column], kind: str) -> Column:
+    """What ``made`` makes of every run of ``size`` words of the column ``found``. A shorter text is
+    one run as a whole, its missing words null; no words give none. The column must be computed
+    beforehand: an expression would be evaluated anew for each run."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(found) - size, F.lit(0)))
+    runs = F.transform(starts, lambda i: made([F.get(F.col(found), i + k) for k in range(size)]))
+    return F.when(F.size(found) > 0, runs).otherwise(F.array().cast(f"array<{kind}>"))
 
 
-def _hashes(found: str, size: int) -> Column:
-    return F.when(F.size(found) > 0, F.transform(_starts(found, size), lambda i: F.xxhash64(F.slice(found, i, size)))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def shingles(found: str, size: int) -> Column:
+    return _each(found, size, lambda run: F.concat_ws(" ", *run), "string")
 
 
-def _starts(found: str, size: int) -> Column:
-    return F.sequence(F.lit(1), F.greatest(F.size(found) - size + 1, F.lit(1)))
+def _hashes(found: str, size: int) -> Column:
+    return _each(found, size, lambda run: F.xxhash64(*run), "bigint")
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -68,20 +68,23 @@ def containments(
     """
     missed = round((1 - threshold) * 1_000_000)
     wanted = items.select(F.xxhash64(items[item_id], items[item_text]).alias("item"), items[item_id].alias("item_id"), words(items[item_text]).alias("words"))
+    wanted = materialize(wanted, "item_words").where(F.size("words") > 0)
     wanted = wanted.select("item", "item_id", F.array_distinct(shingles("words", size)).alias("shingles"), _hashes("words", size).alias("hashes"))
-    wanted = wanted.where(F.size("shingles") > 0)
     wanted = wanted.withColumn("n", F.size("shingles"))
     widest = F.pow(F.lit(2), F.length(F.bin("n"))) - 1
     k = F.floor(widest * missed / 1_000_000).cast("int") + 1
     hashes = F.array_sort(F.array_distinct("hashes"))
     least = F.ceil(F.col("n") * (1_000_000 - missed) / 1_000_000)
-    wanted = materialize(wanted.select("*", least.alias("least"), F.slice(hashes, F.lit(1), k).alias("sketch")), "items")
+    wanted = materialize(wanted.select("item", "item_id", "shingles", "n", least.alias("least"), F.slice(hashes, F.lit(1), k).alias("sketch")), "items")
     keys = _bounded(wanted.select("item", "least", F.explode("sketch").alias("key")))
 
     texts = docs.select(docs[doc_id].alias("doc_id"), docs[doc_text].alias("text"))
     held = texts.select(F.xxhash64("doc_id", "text").alias("row"), words(F.col("text")).alias("words"))
     # Repeated shingles of a document may count twice here: this bound only leaves out documents that are too short.
-    held = held.select("row", _hashes("words", size).alias("keys")).select("row", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
+    # The size is taken from the words: from the array of keys it would keep that array beside each of its
+    # elements. The outer explode keeps Spark from testing the array first, which would compute it once more.
+    n_keys = F.greatest(F.size("words") - size + 1, F.lit(1)).alias("n_keys")
+    held = held.select("row", n_keys, _hashes("words", size).alias("keys")).select("row", "n_keys", F.explode_outer("keys").alias("key"))
     pairs = held.join(keys, "key").where(F.col("n_keys") >= F.col("least")).select("row", "item").distinct()
     pairs = materialize(pairs, "candidates")
 

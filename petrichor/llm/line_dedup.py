@@ -9,7 +9,7 @@ from petrichor.session import materialize
 
 #: Tables of line numbers are broadcast up to so many rows (of about 40 bytes); beyond, the join is shuffled.
 BROADCAST_ROWS = 300_000
-_BLANKS = r"[\x20\x09-\x0D]+"
+BLANKS, _BLANKS = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 #: Stands for a null id: smaller than all ids.
 _NO_ID = -(1 << 63)
 
@@ -20,7 +20,7 @@ def _bounded(df: DataFrame) -> DataFrame:
 
 def line_words(line: Column) -> Column:
     """The words of a line; one empty word if it has none."""
-    return F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), _BLANKS)
+    return F.split(F.btrim(line, F.lit(BLANKS)), _BLANKS)
 
 
 def _identified(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -33,7 +33,7 @@ def _identified(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def _lines(rows: DataFrame) -> DataFrame:
     """Every line: doc, part, no, line."""
-    return rows.select("doc", "part", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    return rows.select("doc", "part", F.posexplode_outer(F.split("text", "\n", -1)).alias("no", "line"))
 
 
 def removed_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,8 +51,7 @@ def removed_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", te
     key's earliest line is verified against it, word by word.
     """
     lines = _lines(_identified(docs, id, text))
-    keyed = lines.select("doc", "part", "no", line_words(F.col("line")).alias("words"))
-    keyed = keyed.where((F.size("words") > 1) | (F.element_at("words", 1) != ""))
+    keyed = lines.where(F.btrim("line", F.lit(BLANKS)) != "").select("doc", "part", "no", line_words(F.col("line")).alias("words"))
     whole, n = F.array_join("words", " "), F.size("words")
     keyed = keyed.select(
         "doc", "part", "no", F.xxhash64(whole).alias("k1"), F.xxhash64(whole, F.lit(7)).alias("k2"),
@@ -156,7 +155,7 @@ def dedup_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", text
     joined = docs.join(gone, match, "left")
     lines = F.split(body, "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    full = F.size(F.filter(lines, lambda line: F.btrim(line, F.lit(" \t\n\x0b\x0c\r")) != "")).cast("long")
+    full = F.size(F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")).cast("long")
     columns = [F.when(F.col("_gone").isNull(), docs[text]).otherwise(kept).alias(text) if c == text else docs[c] for c in docs.columns]
     removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
     return joined.select(*columns, full.alias("n_lines_with_words"), F.when(F.col("_gone").isNull(), F.lit(0).cast("long")).otherwise(removed).alias("n_lines_removed"))
