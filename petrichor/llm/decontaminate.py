@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from petrichor.llm.sides import bounded
 from petrichor.session import materialize
 
-#: Sketch keys and candidate ids are broadcast up to so many rows (of 24 bytes); beyond, the join is shuffled.
-BROADCAST_ROWS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -38,10 +37,6 @@ def _hashes(found: str, size: int) -> Column:
     return _each(found, size, lambda run: F.xxhash64(*run), "bigint")
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def containments(
     docs: DataFrame,
     items: DataFrame,
@@ -76,7 +71,7 @@ def containments(
     hashes = F.array_sort(F.array_distinct("hashes"))
     least = F.ceil(F.col("n") * (1_000_000 - missed) / 1_000_000)
     wanted = materialize(wanted.select("item", "item_id", "shingles", "n", least.alias("least"), F.slice(hashes, F.lit(1), k).alias("sketch")), "items")
-    keys = _bounded(wanted.select("item", "least", F.explode("sketch").alias("key")))
+    keys = bounded(wanted.select("item", "least", F.explode("sketch").alias("key")))
 
     texts = docs.select(docs[doc_id].alias("doc_id"), docs[doc_text].alias("text"))
     held = texts.select(F.xxhash64("doc_id", "text").alias("row"), words(F.col("text")).alias("words"))
@@ -88,7 +83,7 @@ def containments(
     pairs = held.join(keys, "key").where(F.col("n_keys") >= F.col("least")).select("row", "item").distinct()
     pairs = materialize(pairs, "candidates")
 
-    rows = _bounded(pairs.select("row").distinct())
+    rows = bounded(materialize(pairs.select("row").distinct(), "candidate_rows"))
     texts = texts.withColumn("row", F.xxhash64("doc_id", "text")).join(rows, "row", "left_semi").dropDuplicates(["row"])
     owned = texts.select("row", "doc_id", words(F.col("text")).alias("words")).select("row", "doc_id", shingles("words", size).alias("found"))
     shared = F.size(F.array_intersect("shingles", "found"))
@@ -105,4 +100,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", **s
     """The rows of ``docs`` whose id is in no pair, with all their columns."""
     found = containments(docs, items, doc_id=id, **settings).select(F.col("doc_id").alias("_leaky")).distinct()
     found = materialize(found, "leaky")
-    return docs.join(_bounded(found), docs[id].eqNullSafe(found["_leaky"]), "left_anti")
+    return docs.join(bounded(found), docs[id].eqNullSafe(found["_leaky"]), "left_anti")

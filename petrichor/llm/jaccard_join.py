@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from petrichor.llm.arrow import gram_hashes, mixed, slices, split_words
 from petrichor.llm.components import components
-from petrichor.llm.runs import bounded
+from petrichor.llm.sides import bounded
 from petrichor.session import materialize
 
 #: Shingles of a region that one task joins, and pivots into which a larger one is split.
@@ -254,7 +254,7 @@ def jaccard_components(
             k2 = np.array([x >> 64 for x in names], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(blobs, pa.binary())], ["k1", "k2", "shingles"])
 
-    owners = bounded(wanted.select("first_id").distinct())
+    owners = bounded(materialize(wanted.select("first_id").distinct(), "owners"))
     held = texts.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("first_id"), "text").join(owners, "first_id", "left_semi")
     held = held.select("first_id", "text").mapInArrow(collect, "k1 long, k2 long, shingles binary")
     regions = held.join(wanted.select("k1", "k2", "set", F.col("family").alias("region")), ["k1", "k2"]).dropDuplicates(["set"])
@@ -282,5 +282,5 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", **settin
         docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
         return keep_first(docs, "_row", text, **settings).drop("_row")
     found = materialize(jaccard_components(docs, id=id, text=text, **settings), "components")
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
+    gone = materialize(found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")), "gone")
     return docs.join(bounded(gone), docs[id] == F.col("_gone"), "left_anti")

@@ -5,19 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from petrichor.llm.sides import bounded
 from petrichor.session import materialize
 
-#: Tables of line numbers are broadcast up to so many rows (of about 40 bytes); beyond, the join is shuffled.
-BROADCAST_ROWS = 300_000
 BLANKS, _BLANKS = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 #: Stands for a null id: smaller than all ids.
 _NO_ID = -(1 << 63)
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def line_words(line: Column) -> Column:
     """The words of a line; one empty word if it has none."""
     return F.split(F.btrim(line, F.lit(BLANKS)), _BLANKS)
@@ -32,8 +27,8 @@ def _identified(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """Every line: doc, part, no, line."""
-    return rows.select("doc", "part", F.posexplode_outer(F.split("text", "\n", -1)).alias("no", "line"))
+    """Every line: doc, part, no, line_text."""
+    return rows.select("doc", "part", F.posexplode_outer(F.split("text", "\n", -1)).alias("no", "line_text"))
 
 
 def removed_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,7 +46,7 @@ def removed_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", te
     key's earliest line is verified against it, word by word.
     """
     lines = _lines(_identified(docs, id, text))
-    keyed = lines.where(F.btrim("line", F.lit(BLANKS)) != "").select("doc", "part", "no", line_words(F.col("line")).alias("words"))
+    keyed = lines.where(F.btrim("line_text", F.lit(BLANKS)) != "").select("doc", "part", "no", line_words(F.col("line_text")).alias("words"))
     whole, n = F.array_join("words", " "), F.size("words")
     keyed = keyed.select(
         "doc", "part", "no", F.xxhash64(whole).alias("k1"), F.xxhash64(whole, F.lit(7)).alias("k2"),
@@ -59,21 +54,22 @@ def removed_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", te
     )
     keyed = materialize(keyed, "lines")
     place = F.struct("doc", "part", "no")
-    distinct = keyed.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.first("halves").alias("halves"))
-    distinct = materialize(distinct, "distinct_lines")
-    halves = distinct.where("halves is not null").select("k1", "k2", F.explode("halves").alias("half"))
+    distinct = keyed.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("held"))
+    distinct = materialize(distinct.withColumn("line", F.monotonically_increasing_id()), "distinct_lines")
+    halves = distinct.where("halves is not null").select("line", F.explode_outer("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("held")).where("held > 1").select("half")
-    near = halves.join(shared, "half", "left_semi").select("k1", "k2").distinct()
-    near = materialize(distinct.select("k1", "k2", "first").join(near, ["k1", "k2"], "left_semi").select("k1", "k2", "first.*"), "halves")
-
-    found = lines.join(_bounded(near), ["doc", "part", "no"]).dropDuplicates(["k1", "k2"])
-    texts = found.select(
-        F.monotonically_increasing_id().alias("row"), "k1", "k2", F.struct("doc", "part", "no").alias("first"),
-        line_words(F.col("line")).alias("words"),
-    )
-    texts = materialize(texts, "neighbours")
-    losers = texts.select("row", "k1", "k2").join(_near_losers(texts), "row").select("k1", "k2", F.lit(True).alias("near"))
-    verdict = distinct.select("k1", "k2", "first").join(losers, ["k1", "k2"], "left")
+    near = halves.join(bounded(materialize(shared, "halves")), "half", "left_semi").select("line").distinct()
+    near = distinct.select("line", "first.*").join(near, "line", "left_semi")
+
+    found = lines.join(bounded(materialize(near, "near")), ["doc", "part", "no"]).dropDuplicates(["line"])
+    # Numbered in the order of their first places, so that a smaller number is an earlier line.
+    found = found.repartitionByRange("doc", "part", "no").sortWithinPartitions("doc", "part", "no")
+    texts = materialize(
+        found.select(F.monotonically_increasing_id().alias("row"), F.col("line").alias("of"), line_words(F.col("line_text")).alias("words")), "neighbours"
+    )
+    losers = texts.select("row", F.col("of").alias("line")).join(_near_losers(texts), "row").select("line", F.lit(True).alias("near"))
+    verdict = distinct.select("line", "k1", "k2", "first", "held").join(losers, "line", "left").where("held > 1 or near")
+    verdict = bounded(materialize(verdict.select("k1", "k2", "first", "near"), "verdicts"))
     judged = keyed.select("doc", "part", "no", "k1", "k2").join(verdict, ["k1", "k2"])
     reason = F.when(place != F.col("first"), "copy").when(F.col("near"), "near")
     return judged.select("doc", "part", "no", reason.alias("reason")).where("reason is not null")
@@ -91,8 +87,8 @@ def _halves(words: Column, n: Column) -> list[Column]:
 
 def _near_losers(texts: DataFrame) -> DataFrame:
     """The rows of lines that an earlier line is one edit away from."""
-    word = texts.select("row", "first", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
-    word = word.select("row", "first", "n", "i", F.xxhash64("word", F.col("i")).alias("here"), F.xxhash64("word", F.col("i") - 1).alias("left"))
+    word = texts.select("row", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    word = word.select("row", "n", "i", F.xxhash64("word", F.col("i")).alias("here"), F.xxhash64("word", F.col("i") - 1).alias("left"))
     line = Window.partitionBy("row")
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     before, before_left = (F.coalesce(F.bit_xor(c).over(upto), F.lit(0)) for c in ("here", "left"))
@@ -104,16 +100,16 @@ def _near_losers(texts: DataFrame) -> DataFrame:
     dropped = F.xxhash64(F.lit("d"), F.col("n") - 1, F.col("before").bitwiseXOR(rest))
     itself = F.when(F.col("i") == 0, F.xxhash64(F.lit("d"), F.col("n"), F.col("all_here")))
     keys = [F.struct(k.alias("key"), F.lit(whole).alias("whole")) for k, whole in ((exchanged, False), (dropped, False), (itself, True))]
-    variants = word.select("row", "first", F.explode(F.array(*keys)).alias("v")).select("row", "first", "v.key", "v.whole")
-    variants = materialize(variants.where("key is not null").distinct(), "variants")
-    me = F.struct("first", "row")
+    variants = word.select("row", F.explode(F.array(*keys)).alias("v")).select("row", "v.key", "v.whole")
+    variants = materialize(variants.where("key is not null"), "variants")
     # Lines that lost a word are compared with the one line that is what they have left, and that line
     # with the earliest of them; exchanged words are compared with the earliest line of their key.
     best = variants.groupBy("key").agg(
-        F.min(me).alias("earliest"), F.min(F.when(F.col("whole"), me)).alias("rest"), F.count("*").alias("held")
-    ).where("held > 1")
-    pairs = variants.join(best, "key").select("row", "first", F.explode(F.array("earliest", "rest")).alias("other"))
-    pairs = pairs.where(F.col("other.first") < F.col("first")).select("row", F.col("other.row").alias("other")).distinct()
+        F.min("row").alias("earliest"), F.min(F.when(F.col("whole"), F.col("row"))).alias("rest"), F.max("row").alias("latest")
+    )
+    best = materialize(best.where("earliest < latest").select("key", F.array("earliest", "rest").alias("others")), "keys")
+    pairs = variants.join(bounded(best, "others"), "key").select("row", F.explode("others").alias("other"))
+    pairs = pairs.where("other < row").distinct()
     mine = texts.select("row", F.col("words").alias("a"))
     theirs = texts.select(F.col("row").alias("other"), F.col("words").alias("b"))
     checked = pairs.join(mine, "row").join(theirs, "other")
@@ -152,7 +148,7 @@ def dedup_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", text
     gone = materialize(gone.select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), F.col("gone").alias("_gone")), "gone")
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     match = (F.coalesce(docs[id].cast("long"), F.lit(_NO_ID)) == F.col("_doc")) & (F.xxhash64(body) == F.col("_part"))
-    joined = docs.join(gone, match, "left")
+    joined = docs.join(bounded(gone, "_gone"), match, "left")
     lines = F.split(body, "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
     full = F.size(F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")).cast("long")

@@ -19,8 +19,6 @@ from petrichor.llm.arrow import gather, gram_hashes, mixed, slices
 
 #: Stands for a null id: smaller than all ids.
 NO_ID = -(1 << 63)
-#: Tables with one row per document are broadcast up to so many rows; beyond, the texts are shuffled to them.
-BROADCAST_ROWS = 400_000
 _BASE = 0xD6E8FEB86659FD93
 _RUNS = "anchor long, content long, doc long, part long, place long, copy boolean, loops boolean"
 #: A run's place is its start times this, plus its number of windows.
@@ -148,11 +146,6 @@ def repeated_runs(rows: DataFrame, symbols: Symbols, window: int, gram: int, wit
     return found.where("kind is not null")
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast if its counted rows are few; else Spark shuffles both sides."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def merged_spans(spans: DataFrame) -> DataFrame:
     """doc, part, starts, ends: the maximal spans that the given ones (doc, part, start, end) cover."""
     lists = spans.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "end")).alias("spans"))

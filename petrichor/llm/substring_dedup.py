@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from petrichor.llm.arrow import gather, gram_hashes, mixed, slices, split_words
-from petrichor.llm.runs import bounded, identified, merged_spans, own_id, repeated_runs
+from petrichor.llm.runs import identified, merged_spans, own_id, repeated_runs
+from petrichor.llm.sides import bounded
 from petrichor.session import materialize
 
 
@@ -33,6 +34,7 @@ def _levels(window: int) -> list[int]:
 def _windows(rows: DataFrame, firsts: DataFrame, lengths: list[int], window: int) -> DataFrame:
     """Every window of the given runs, with the hashes of its first and last ``length`` words at each level."""
     lists = firsts.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    lists = bounded(materialize(lists, "run_lists"), "runs")
     columns = [f"{side}{k}" for k in lengths[:-1] for side in ("head", "tail")] + ["whole"]
     schema = "doc long, part long, start long, " + ", ".join(f"{c} long" for c in columns)
 
@@ -54,7 +56,7 @@ def _windows(rows: DataFrame, firsts: DataFrame, lengths: list[int], window: int
             for low in range(0, len(at), 100_000):
                 yield pa.RecordBatch.from_arrays([x.slice(low, 100_000) for x in out], ["doc", "part", "start", *columns])
 
-    return rows.join(bounded(lists), ["doc", "part"]).select("doc", "part", "text", "runs").mapInArrow(cut, schema)
+    return rows.join(lists, ["doc", "part"]).select("doc", "part", "text", "runs").mapInArrow(cut, schema)
 
 
 def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
@@ -114,7 +116,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, id: str = "doc_id", text:
                 ["doc", "n_words", "n_removed", "kept_text"],
             )
 
-    joined = rows.join(bounded(spans), ["doc", "part"], "left").select("doc", "text", "starts", "ends")
+    joined = rows.join(bounded(spans, "starts", "ends"), ["doc", "part"], "left").select("doc", "text", "starts", "ends")
     out = joined.mapInArrow(cut, "doc long, n_words long, n_removed long, kept_text string")
     return out.select(own_id(F.col("doc")).alias("doc_id"), "n_words", "n_removed", "kept_text")
 
