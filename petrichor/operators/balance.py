@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from petrichor.functions.hashing import row_hash
 from petrichor.operators.order_stats import BUFFERED_VALUES, value_at_rank
-from petrichor.operators.positions import written_positions
+from petrichor.operators.positions import ordered_positions, written_positions
 from petrichor.schemas import OVERSAMPLE_SEED
 from petrichor.session import materialize
 
@@ -69,8 +69,12 @@ def _first_rows(ordered: DataFrame, wanted: int, share: float, buffered: int) ->
     return others.unionByName(chosen).drop("_order")
 
 
-def _drawn(minority: DataFrame, n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:
-    """``n_out`` independent draws with replacement, each a hash of its number and the seed."""
+def _drawn(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:
+    """``n_out`` independent draws with replacement, each a hash of its number and the seed.
+
+    Rows are drawn by their position in the order of a hash of the key, so that the sample does
+    not depend on how the rows are partitioned.
+    """
     draws = (
         minority.sparkSession.range(n_out)
         .select(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n_in)).alias("_pos"))
@@ -78,7 +82,8 @@ def _drawn(minority: DataFrame, n_out: int, n_in: int, seed: int, slot: str) ->
         .agg(F.count(F.lit(1)).alias("_times"))
     )
     # Written before the copies are made: later passes repeat rows without joining again.
-    placed = materialize(written_positions(minority, "_pos").join(draws, "_pos"), "drawn")
+    numbered = ordered_positions(minority.withColumn("_order", row_hash(key, seed)), ["_order", *key], "_pos").drop("_order")
+    placed = materialize(numbered.join(draws, "_pos"), "drawn")
     # Draws per row scatter around n_out / n_in; this only chooses how the copies are written.
     most = 4 * (n_out // n_in) + 100
     return _repeat(placed, F.col("_times"), most, slot).drop("_pos", "_times")
@@ -112,7 +117,7 @@ def oversample(
     pool = df.where(F.col(label) == minority)
     number = slot or "_slot"
     if method == "draw":
-        copies = _drawn(pool, n_out, n_in, seed, number)
+        copies = _drawn(pool, key, n_out, n_in, seed, number)
     elif method == "shuffled_cycle":
         copies = _cycled(pool, key, n_out, n_in, seed, number, buffered)
     elif method == "cycle":

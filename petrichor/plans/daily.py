@@ -21,7 +21,7 @@ def station_dim(stations: DataFrame, ids: DataFrame) -> DataFrame:
 def typed(digest: DataFrame) -> DataFrame:
     """The kept fields with a date and doubles; wind speeds stay text, they may hold a word."""
     cast = {"Date": parse_day(F.col("Date"))} | {c: to_double(F.col(c)) for c in MEASURES}
-    extra = [c for c in ("data_id", "period") if c in digest.columns]
+    extra = [c for c in ("data_id", "period", "issue", "arrived") if c in digest.columns]
     return digest.select(*extra, *[cast.get(c, F.col(c)).alias(c) for c in KEPT_FIELDS])
 
 

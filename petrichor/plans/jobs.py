@@ -79,7 +79,7 @@ def train_and_promote(
         result = compare(measured, "new", "old", min_gain).first()
         own = measured.where(F.col("model") == "new").drop("model").first().asDict()
     except Exception as error:
-        registry.log_run(settings | {"error": str(error)[:1000]}, {}, "FAILED")
+        registry.log_run(settings | {"error": str(error)}, {}, "FAILED")
         raise
     extra = {"previous_f1": result["previous_score"], "improvement": result["improvement"]}
     run_id = registry.log_run(settings, own | extra)

@@ -49,10 +49,15 @@ def run_listing(runs: DataFrame) -> DataFrame:
     return runs.select("run_id", "status", F.explode_outer("metrics").alias("metric", "value"))
 
 
-def ranked_runs(runs: DataFrame, limit: int = 1000) -> DataFrame:
-    """Runs that have an F1 score, best first."""
+def scored_runs(runs: DataFrame) -> DataFrame:
+    """Runs that have an F1 score, with it."""
     scored = runs.withColumn("f1_score", F.try_element_at("metrics", F.lit("f1_score")))
-    return scored.where(F.col("f1_score").isNotNull()).orderBy(F.desc("f1_score"), "run_id").limit(limit)
+    return scored.where(F.col("f1_score").isNotNull())
+
+
+def ranked_runs(runs: DataFrame, limit: int = 1000) -> DataFrame:
+    """The ``limit`` runs with the highest F1 score, best first: a report."""
+    return scored_runs(runs).orderBy(F.desc("f1_score"), "run_id").limit(limit)
 
 
 def latest_per_stage(versions: DataFrame) -> DataFrame:
@@ -71,7 +76,7 @@ def pick_version(
     elif by == "version":
         own = own.where(F.col("version") == version)
     elif by == "best":
-        best = own.join(ranked_runs(runs).select("run_id", "f1_score"), "run_id")
+        best = own.join(scored_runs(runs).select("run_id", "f1_score"), "run_id")
         return best.orderBy(F.desc("f1_score"), number.desc()).limit(1).select(*versions.columns)
     elif by != "latest":
         raise ValueError(f"unknown choice {by!r}")

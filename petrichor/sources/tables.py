@@ -50,7 +50,7 @@ def read_jdbc(
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", connections: int = 16, **options: str) -> None:
     """Append to or replace a database table over a bounded number of connections."""
-    df.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
+    df.repartition(connections).write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
 
 
 def write_table(
@@ -63,13 +63,20 @@ def write_table(
     writer.save(target) if is_path(target) else writer.saveAsTable(target)
 
 
+def _absent(error: AnalysisException) -> bool:
+    """There is no such path, or nothing in it; any other failure is not taken for absence."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def table_exists(spark: SparkSession, source: str) -> bool:
     if not is_path(source):
         return spark.catalog.tableExists(source)
     try:
         spark.read.parquet(source)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if _absent(error):
+            return False
+        raise
     return True
 
 
@@ -118,7 +125,9 @@ def read_or_create(
     """The CSV table at ``path``; it is built and written first if it is not there."""
     try:
         return read_dim(spark, path, schema)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
         write_csv(build(), path, mode="ignore")
         return read_dim(spark, path, schema)
 

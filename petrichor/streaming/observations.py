@@ -26,7 +26,13 @@ def digest_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
-    return files.select("*", *name_parts(F.col("_metadata.file_name")))
+    third = F.split_part(F.col("_metadata.file_name"), F.lit("."), F.lit(3))
+    return files.select(
+        "*",
+        *name_parts(F.col("_metadata.file_name")),
+        F.when(third == "csv", "").otherwise(third).alias("issue"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+    )
 
 
 def write_log(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
@@ -50,11 +56,17 @@ def write_log(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
 
 
 def current_observations(spark: SparkSession, log: str) -> DataFrame:
-    """The newest row of each station and day."""
+    """The newest row of each station and day.
+
+    A refreshed bulletin carries a stamp in its name; the later stamp counts, then the later file,
+    then the later batch. So a bulletin and its refresh may arrive together, and all days of a
+    bulletin come from one file.
+    """
     rows = spark.read.parquet(log)
-    measures = [c for c in rows.columns if c not in ("data_id", "period", "Date", "batch_id")]
-    newest = first_per_group(rows, ["data_id", "period", "Date"], [F.desc("batch_id"), *measures])
-    return newest.drop("batch_id")
+    ages = [c for c in ("issue", "arrived", "batch_id") if c in rows.columns]
+    measures = [c for c in rows.columns if c not in ("data_id", "period", "Date", *ages)]
+    newest = first_per_group(rows, ["data_id", "period", "Date"], [*[F.desc(c) for c in ages], *measures])
+    return newest.drop(*ages)
 
 
 def labelled_observations(

@@ -159,7 +159,7 @@ def w3(spark, sf):
     SELECT 'production' AS choice, max(version::INTEGER)::VARCHAR AS version FROM own WHERE status = 'Production'
     UNION ALL SELECT 'latest', max(version::INTEGER)::VARCHAR FROM own
     UNION ALL (SELECT 'best', version FROM own JOIN (
-                   SELECT * FROM runs WHERE f1_score IS NOT NULL ORDER BY f1_score DESC, run_id LIMIT 1000) r USING (run_id)
+                   SELECT * FROM runs WHERE f1_score IS NOT NULL) r USING (run_id)
                ORDER BY f1_score DESC, version::INTEGER DESC LIMIT 1)
     """,
 )

@@ -13,7 +13,7 @@ from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, MAPPING_SCHEMA, STATIO
 from petrichor.session import materialize, scratch_path, shared_dir
 from petrichor.sources import tables
 from petrichor.sources.bulletins import read_digest
-from petrichor.streaming.observations import digest_stream, labelled_observations, write_log
+from petrichor.streaming.observations import current_observations, digest_stream, labelled_observations, write_log
 
 NAMES = {"ID1": "Albury", "ID2": "Ballarat"}
 PERIODS = ("202301", "202302", "202303")
@@ -189,3 +189,12 @@ def test_stream_survives_restart_and_refresh(spark, places, tmp_path):
     run()
     rows = labelled_observations(spark, log, dim).where("Location = 'Albury'").orderBy(F.desc("Date")).collect()
     assert len(rows) == 85 and rows[0]["RainTomorrow"] is None and rows[1]["RainTomorrow"] == "Yes"
+
+
+def test_stream_takes_the_refresh_of_one_batch(spark, places, tmp_path):
+    log, checkpoint, folder = str(tmp_path / "log"), str(tmp_path / "cp"), places["digest_path"]
+    refreshed = [wf.line("2023-03-01", "8.0"), wf.line("2023-03-02", "9.0")]
+    wf.write_digest_files(folder, {("ID1", "202303.refresh1"): refreshed})
+    write_log(digest_stream(spark, folder), log, checkpoint).awaitTermination()
+    rows = current_observations(spark, log).where("data_id = 'ID1' and Date in ('2023-03-01', '2023-03-02')")
+    assert [r["Rainfall"] for r in rows.orderBy("Date").collect()] == [8.0, 9.0]

@@ -290,3 +290,14 @@ def test_correlations_skip_unknown_pairs(spark):
 def test_head_and_tail(spark):
     got = pairs(head_and_tail(spark.range(50).toDF("id"), ["id"], 2), "part", "id")
     assert got == [("head", 0), ("head", 1), ("tail", 48), ("tail", 49)]
+
+
+def test_draw_does_not_depend_on_the_partitioning(spark):
+    rows = classes(spark, 40, 15)
+    drawn = [pairs(balance.oversample(rows.repartition(n), "y", ["id"], "draw"), "id", "y") for n in (1, 7)]
+    assert drawn[0] == drawn[1]
+
+
+def test_rows_without_a_class_are_not_split_silently(spark):
+    with pytest.raises(ValueError):
+        split.with_fold(classes(spark, 20, 10), ["id"], "y")
