@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,13 +30,16 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     Words are taken with A-Z in lower case; a text of fewer words is one shingle.
     """
     codes, offsets, words = split_words(texts)
-    plain = [w.encode().lower() for w in words.to_pylist()]  # bytes.lower changes A-Z alone
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in plain), np.uint64, len(plain))[codes]
+    plain = pc.ascii_lower(words).cast(pa.binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, plain), np.uint64, len(plain))[codes]
     grams = mixed(gram_hashes(hashes, size))
     out = []
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         if b - a >= size:
-            out.append(np.unique(grams[a : b - size + 1]))
+            own = np.sort(grams[a : b - size + 1])
+            fresh = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=fresh[1:])
+            out.append(own[fresh])
         elif b > a:
             out.append(mixed(gram_hashes(hashes[a:b], b - a) + np.uint64(b - a)))
         else:
@@ -43,6 +47,12 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
+def _names(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two halves of a 128-bit hash of each set."""
+    names = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in sets), ">i8").astype(np.int64).reshape(-1, 2)
+    return [pa.array(names[:, 1]), pa.array(names[:, 0])]
+
+
 def _prefix(n: int, percent: int) -> int:
     """Elements of which two sets that are similar enough share one, in any common order."""
     return n - -(-percent * n // 100) + 1
@@ -58,17 +68,22 @@ def _described(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            rows = []
-            for key, found in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), size)):
-                blob, n = found.tobytes(), len(found)
+            sets = shingle_sets(part.column(1), size)
+            chosen, n_common = [], []
+            for found in sets:
                 inside = found % np.uint64(classes) == 0
-                common, rest = found[inside], found[~inside]
-                chosen = np.concatenate((common, rest[: max(0, _prefix(n, percent) - len(common))])) if n else common
-                name = xxhash.xxh3_128_intdigest(blob)
-                k1, k2 = (np.array([name & (2**64 - 1), name >> 64], np.uint64).view(np.int64)).tolist()
-                rows.append((key, n, k1, k2, chosen.view(np.int64), len(common)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in _SETS.split(", ")])
+                common = found[inside]
+                more = max(0, _prefix(len(found), percent) - len(common)) if len(found) else 0
+                chosen.append(common)
+                if more:
+                    chosen.append(found[~inside][:more])
+                n_common.append((len(common), more))
+            counts = np.array(n_common, np.int64).reshape(-1, 2)
+            ends = pa.array(np.concatenate(([0], np.cumsum(counts.sum(axis=1)))).astype(np.int32))
+            flat = np.concatenate(chosen) if chosen else np.empty(0, np.uint64)
+            columns = [part.column(0), pa.array([len(x) for x in sets], pa.int64()), *_names(sets)]
+            columns += [pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64))), pa.array(counts[:, 0])]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SETS.split(", ")])
 
     return docs.mapInArrow(describe, _SETS)
 
@@ -248,11 +263,9 @@ def jaccard_components(
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            blobs = [s.tobytes() for s in shingle_sets(part.column(1), size)]
-            names = [xxhash.xxh3_128_intdigest(b) for b in blobs]
-            k1 = np.array([x & (2**64 - 1) for x in names], np.uint64).view(np.int64)
-            k2 = np.array([x >> 64 for x in names], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(blobs, pa.binary())], ["k1", "k2", "shingles"])
+            sets = shingle_sets(part.column(1), size)
+            blobs = pa.array([x.tobytes() for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*_names(sets), blobs], ["k1", "k2", "shingles"])
 
     owners = bounded(materialize(wanted.select("first_id").distinct(), "owners"))
     held = texts.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("first_id"), "text").join(owners, "first_id", "left_semi")

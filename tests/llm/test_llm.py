@@ -8,6 +8,7 @@ import pytest
 from petrichor.llm import (
     attention_quality,
     chat_format,
+    components,
     decontaminate,
     fertility,
     jaccard_join,
@@ -97,6 +98,13 @@ def test_jaccard(docs, size, percent, most):
     assert rows_of(got) == brute.jaccard_components(DOCS, size, percent)
 
 
+def test_components(spark):
+    links = [(i, i + 1) for i in range(300) if i % 100 != 99] + [(1000 + i, 1000 + i // 3) for i in range(50)] + [(7, 7)]
+    edges = spark.createDataFrame(links, "a long, b long").repartition(5)
+    found = {r["node"]: r["root"] for r in components.components(edges).collect()}
+    assert found == {i: i // 100 * 100 for i in range(300)} | {1000 + i: 1000 for i in range(50)}
+
+
 def test_jaccard_edges(none, odd):
     assert jaccard_join.jaccard_components(none).count() == 0
     pairs = [(r.doc_id, r.text) for r in odd.collect()]
