@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from petrichor.functions.rain import will_rain
 from petrichor.functions.text import percent_text
-from petrichor.operators.joins import lookup_join
+from petrichor.operators.joins import drop_existing, lookup_join
 from petrichor.operators.windows import first_per_group
 from petrichor.plans.clean import Cleaned, clean
 from petrichor.plans.daily import daily_observations, station_dim
@@ -19,7 +19,16 @@ from petrichor.plans.training import balanced_split, champion_metrics, compare,
 from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, FOREST, LABEL, MIN_GAIN, STATION_SCHEMA, STAMP
 from petrichor.session import materialize
 from petrichor.sources.bulletins import read_digest
-from petrichor.sources.tables import append_new, read_dim, read_table, schema_report, write_csv
+from petrichor.sources.tables import (
+    append_new,
+    read_dim,
+    read_table,
+    schema_report,
+    stamped,
+    table_exists,
+    write_csv,
+    write_table,
+)
 
 
 def ingest(
@@ -38,8 +47,10 @@ def ingest(
 
     ``store='daily'`` keeps plain daily rows, keyed by location and date, and leaves balancing
     and codes to training time. A day enters once its label is known: no later step uses it
-    before, and a held row is not replaced. ``store='encoded'`` appends the balanced, encoded table, whose
-    codes only hold within one run, and writes the location mapping beside it.
+    before, and a held row is not replaced. ``store='encoded'`` appends the balanced, encoded rows of
+    the days not loaded so far, and writes the location mapping beside it. Its codes only hold within
+    one run, so the loaded days are kept by location name in a table of their own, ``{table}_days``;
+    it is written last, and a run that fails before that loads its days again.
     """
     dim = station_dim(read_dim(spark, stations_path, STATION_SCHEMA), read_dim(spark, ids_path, DATA_ID_SCHEMA))
     daily = daily_observations(read_digest(spark, digest_path), dim, label_scope)
@@ -48,10 +59,19 @@ def ingest(
         return append_new(rows, table, ["Location", "Date"], day, partition_by=["Year", "Month"])
     if store != "encoded":
         raise ValueError(f"unknown store {store!r}")
-    cleaned = clean(daily, **clean_options)
+    loaded, days = f"{table.rstrip('/')}_days", ["Location", "Date"]
+    fresh = daily.where(F.col(LABEL).isNotNull())
+    if table_exists(spark, loaded):
+        fresh = drop_existing(materialize(fresh, "delivery"), read_table(spark, loaded), days)
+    fresh = materialize(fresh, "fresh")
+    if fresh.isEmpty():
+        return False
+    cleaned = clean(fresh, stage_input=False, **clean_options)
     if mapping_path:
         write_csv(cleaned.mapping, mapping_path, ["Location_Code"])
-    return append_new(cleaned.table, table, CLEAN_KEYS, day)
+    write_table(stamped(cleaned.table, day), table)
+    write_table(fresh.select(*days), loaded)
+    return True
 
 
 def training_table(spark: SparkSession, table: str, **clean_options) -> Cleaned:

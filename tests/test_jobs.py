@@ -152,6 +152,23 @@ def test_encoded_store(spark, places, tmp_path):
     assert not jobs.ingest(spark, table=table, store="encoded", **places)
 
 
+def test_encoded_store_takes_a_new_location_once(spark, tmp_path):
+    digest, table = tmp_path / "digest", str(tmp_path / "encoded")
+    stations, ids = wf.write_dims(tmp_path / "dims", NAMES)
+    paths = dict(digest_path=str(digest), stations_path=stations, ids_path=ids, table=table, store="encoded", balance=None)
+    wf.write_digest_files(digest, {("ID2", p): wf.month(p, 1) for p in PERIODS})
+    assert jobs.ingest(spark, day=dt.date(2025, 9, 6), **paths)
+    alone = tables.read_table(spark, table).count()
+    wf.write_digest_files(digest, {("ID1", p): wf.month(p, 0) for p in PERIODS})
+    assert jobs.ingest(spark, day=dt.date(2025, 9, 7), **paths)
+    assert not jobs.ingest(spark, **paths)
+    # Both locations have code 0 in their own runs; neither is taken for the other.
+    days = {r["ingestion_date"].day: r["n"] for r in tables.read_table(spark, table).groupBy("ingestion_date").agg(F.count("*").alias("n")).collect()}
+    dim = station_dim(tables.read_dim(spark, stations, STATION_SCHEMA), tables.read_dim(spark, ids, DATA_ID_SCHEMA))
+    whole = clean(daily_observations(read_digest(spark, str(digest)), dim), balance=None)
+    assert days[6] == alone and days[6] + days[7] == whole.table.count()
+
+
 def test_latest_and_first_rows(spark):
     rows = spark.createDataFrame(
         [(0, 2023, 1, 5, 1.0), (0, 2023, 2, 1, 2.0), (0, 2022, 12, 31, 3.0), (1, 2023, 1, 1, 4.0)],
