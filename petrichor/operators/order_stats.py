@@ -206,13 +206,19 @@ def _bracketed_quantiles(
     runs = _runs(doubles, cols, probs, group, accuracy, sizes)
     ends = []
     for k, p in enumerate(probs):
-        at = F.col("n").cast("double") * p - p
+        at = (F.col("n") - 1).cast("double") * p
         ends += [
             _value_at(F.floor(at)).alias(f"lo{k}"),
             _value_at(F.ceil(at)).alias(f"hi{k}"),
-            F.max(at - F.floor(at)).alias(f"part{k}"),
+            F.max(at).alias(f"at{k}"),
         ]
-    each = F.array(*[F.expr(f"lo{k} + (hi{k} - lo{k}) * part{k}") for k in range(len(probs))])
+    # Weighed as by ``percentile``, so that both ways agree to the last bit.
+    each = F.array(
+        *[
+            F.expr(f"if(lo{k} = hi{k}, lo{k}, (ceil(at{k}) - at{k}) * lo{k} + (at{k} - floor(at{k})) * hi{k})")
+            for k in range(len(probs))
+        ]
+    )
     long = runs.groupBy(*group, "item").agg(*ends).select(*group, "item", each.alias("q"))
     wide = [F.max(F.when(F.col("item") == i, F.col("q"))).alias(c) for i, c in enumerate(cols)]
     return long.groupBy(*group).agg(*wide) if group else long.agg(*wide)

@@ -102,6 +102,15 @@ def test_quantiles_by_group(values, monkeypatch, accuracy, buffered, windowed):
                 assert row[c] is None or set(row[c]) == {None}
 
 
+def test_both_ways_give_the_same_bits(spark):
+    # Numbers that are not exact in binary, in groups of many sizes.
+    rows = spark.range(4000).selectExpr("cast(sqrt(id) as int) as g", "pmod(hash(id), 100000) / 700D as v")
+    probs = [0.1, 0.25, 1 / 3, 0.5, 0.75, 0.9]
+    ways = [order_stats.quantiles(rows, ["v"], probs, ["g"], buffered=most) for most in (0, 10**6)]
+    one, other = [{r["g"]: [x.hex() for x in r["v"]] for r in way.collect()} for way in ways]
+    assert one == other and len(one) == 64
+
+
 @pytest.mark.parametrize("buffered", [0, 10**6])
 def test_quantiles_overall(values, buffered):
     df, pdf = values
