@@ -17,6 +17,8 @@ from petrichor.llm.arrow import slices, split_words
 
 #: Words of a passage, buckets of hashed words, widths of the encoder and of the attention.
 PASSAGE, BUCKETS, HIDDEN, GATE = 100, 48, 24, 12
+#: Text that is measured at once: its arrays take some twenty times as much, and a worker keeps what it took.
+MEASURED_BYTES = 2 << 20
 #: What is counted in each word, as RE2 patterns.
 COUNTED = (r"\p{Lu}", r"\p{L}", r"\p{N}", "[.,;:]", "[!?]", "[#*$%&|<>]", r"[^\x00-\x7F]", r"[/@_=\\{}()\[\]]")
 WIDTH = len(COUNTED) + 6 + BUCKETS
@@ -157,7 +159,7 @@ def train(
     texts = docs.select(docs[id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, most=MEASURED_BYTES):
             x, doc = passages(part.column(1))
             cuts = np.searchsorted(doc, np.arange(len(part) + 1))
             blobs = [x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
@@ -187,7 +189,7 @@ def score(docs: DataFrame, model: GatedAttention, id: str = "doc_id", text: str
     """
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, most=MEASURED_BYTES):
             x, doc = passages(part.column(1))
             found = model.scores(x, np.searchsorted(doc, np.arange(len(part))), doc)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
@@ -218,7 +220,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id: st
             at = batch.schema.get_field_index(text)
             thin = pa.RecordBatch.from_arrays([pa.array(range(len(batch))), batch.column(at)], ["at", "text"])
             good: list[int] = []
-            for part in slices([thin]):
+            for part in slices([thin], most=MEASURED_BYTES):
                 x, doc = passages(part.column(1))
                 found = model.scores(x, np.searchsorted(doc, np.arange(len(part))), doc)
                 good += part.column(0).filter(pa.array(found >= threshold)).to_pylist()

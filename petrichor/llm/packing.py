@@ -17,6 +17,8 @@ from petrichor.llm.arrow import gather, slices, split_words
 from petrichor.session import materialize
 
 CACHED_WORDS = 300_000
+#: Text whose ids are looked up at once; the arrays of a slice take many times as much.
+ENCODED_BYTES = 3 << 20
 #: Latin letters whose lower case and normal form are single letters, and marks that follow a word.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 _PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -79,7 +81,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, most: int, end_id: int, id: s
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordIds(vocabulary)
-        for part in slices(batches):
+        for part in slices(batches, most=ENCODED_BYTES):
             codes, offsets, words = split_words(part.column(2))
             ids = encode(words.to_pylist())
             sizes = np.array([len(x) for x in ids], np.int64)
