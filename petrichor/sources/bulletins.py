@@ -26,6 +26,9 @@ from petrichor.schemas import (
     MONTHS_BACK,
 )
 
+#: CSV options under which a line of the wrong number of fields is an error; a reader that prunes columns counts none.
+WHOLE_LINES = {"mode": "FAILFAST", "columnPruning": "false"}
+
 
 def name_parts(name: Column) -> list[Column]:
     """data_id and period out of ``{data_id}.{period}.csv``."""
@@ -74,10 +77,13 @@ def digest_lines(lines: DataFrame, file: str, line_no: str, line: str) -> DataFr
 
 
 def parse_digest(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Split digest lines into the 22 text fields; a single blank stays a value."""
+    """Split digest lines into the 22 text fields; a single blank stays a value.
+
+    A line with fewer or more fields fails the job.
+    """
     ddl = ", ".join(f"`{n}` string" for n in DIGEST_FIELDS)
     rest = [c for c in lines.columns if c != line]
-    fields = F.from_csv(F.col(line), ddl, {"mode": "PERMISSIVE"})
+    fields = F.from_csv(F.col(line), ddl, {"mode": "FAILFAST"})
     return lines.withColumn("_f", fields).select(*rest, "_f.*")
 
 
@@ -91,9 +97,9 @@ def write_digest(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_digest(spark: SparkSession, path: str) -> DataFrame:
     """All digest files below ``path`` as (22 text fields, data_id, period).
 
-    Station and period come from the file name.
+    Station and period come from the file name. A line that has not 22 fields fails the job.
     """
-    files = spark.read.schema(DIGEST_SCHEMA).option("pathGlobFilter", "*.csv").csv(path)
+    files = spark.read.schema(DIGEST_SCHEMA).options(**WHOLE_LINES).option("pathGlobFilter", "*.csv").csv(path)
     return files.select("*", *name_parts(F.col("_metadata.file_name")))
 
 

@@ -15,13 +15,17 @@ from pyspark.sql.streaming.query import StreamingQuery
 from petrichor.operators.windows import first_per_group
 from petrichor.plans.daily import label_rain, located, typed
 from petrichor.schemas import DAILY_COLUMNS, DIGEST_SCHEMA
-from petrichor.sources.bulletins import name_parts
+from petrichor.sources.bulletins import WHOLE_LINES, name_parts
 
 
 def digest_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
-    """New digest files ``{data_id}.{period}[.stamp].csv`` as they arrive."""
+    """New digest files ``{data_id}.{period}[.stamp].csv`` as they arrive.
+
+    A line that has not 22 fields fails the query until its file is mended.
+    """
     files = (
         spark.readStream.schema(DIGEST_SCHEMA)
+        .options(**WHOLE_LINES)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)

@@ -66,6 +66,19 @@ def test_raw_bulletins_give_the_digest(spark, folder, tmp_path):
     assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
 
 
+@pytest.mark.parametrize("n", [3, 22, 24])
+def test_lines_of_the_wrong_size_fail(spark, tmp_path, n):
+    line = ",".join(["", "2024-1-2", "5.0", *["1"] * 21][:n])
+    (tmp_path / "A1.202401.csv").write_text(line + "\n")
+    readers = [b.read_digest(spark, str(tmp_path)), b.parse_digest(spark.createDataFrame([(line,)], "line string"))]
+    for rows in readers:
+        if n == 22:
+            assert rows.select("Date").first()[0] == "2024-1-2"
+        else:
+            with pytest.raises(Exception, match="(?i)malformed"):
+                rows.select("Date").collect()
+
+
 def test_station_codes_keep_their_zeros(dim):
     assert {r["station_id"] for r in dim.collect()} == {"000", "001", "002"}
     assert dim.columns == ["station_id", "Location", "Climat", "data_id"]
