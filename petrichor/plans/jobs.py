@@ -18,7 +18,7 @@ from petrichor.plans.registry import Registry
 from petrichor.plans.training import balanced_split, champion_metrics, compare, features_of, score, train_forest
 from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, FOREST, LABEL, MIN_GAIN, STATION_SCHEMA, STAMP
 from petrichor.session import materialize
-from petrichor.sources.bulletins import read_digest
+from petrichor.sources.bulletins import READERS
 from petrichor.sources.tables import (
     append_new,
     read_dim,
@@ -41,9 +41,13 @@ def ingest(
     day: dt.date | None = None,
     mapping_path: str | None = None,
     label_scope: str = "file",
+    layout: str = "digest",
     **clean_options,
 ) -> bool:
-    """Digest files to the warehouse table; says whether rows were added.
+    """Bulletins to the warehouse table; says whether rows were added.
+
+    ``layout`` names what ``digest_path`` holds: ``digest`` files, ``raw`` bulletins, or the
+    ``folders`` that ``write_digest`` makes.
 
     ``store='daily'`` keeps plain daily rows, keyed by location and date, and leaves balancing
     and codes to training time. A day enters once its label is known: no later step uses it
@@ -53,7 +57,7 @@ def ingest(
     it is written last, and a run that fails before that loads its days again.
     """
     dim = station_dim(read_dim(spark, stations_path, STATION_SCHEMA), read_dim(spark, ids_path, DATA_ID_SCHEMA))
-    daily = daily_observations(read_digest(spark, digest_path), dim, label_scope)
+    daily = daily_observations(READERS[layout](spark, digest_path), dim, label_scope)
     if store == "daily":
         rows = daily.where(F.col(LABEL).isNotNull()).withColumns({"Year": F.year("Date"), "Month": F.month("Date")})
         return append_new(rows, table, ["Location", "Date"], day, partition_by=["Year", "Month"])

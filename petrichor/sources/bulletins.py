@@ -109,6 +109,16 @@ def read_digest_folders(spark: SparkSession, path: str) -> DataFrame:
     return parse_digest(lines.withColumnRenamed("value", "line"))
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Raw bulletins below ``path`` as the rows of ``read_digest``, with nothing written between."""
+    fields = parse_digest(digest(read_bulletins(spark, path)))
+    return fields.select(*DIGEST_FIELDS, *name_parts(F.col("file_name")))
+
+
+#: What a folder of bulletins may hold: raw files, digest files, or the folders of ``write_digest``.
+READERS = {"raw": read_raw, "digest": read_digest, "folders": read_digest_folders}
+
+
 def data_id_of_page(page: Column) -> Column:
     """The data id named in a station's redirect page, '' if there is none."""
     return text_between(page, ID_PAGE_START, ID_PAGE_END)

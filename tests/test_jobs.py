@@ -12,7 +12,7 @@ from petrichor.plans.daily import daily_observations, station_dim
 from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, MAPPING_SCHEMA, STATION_SCHEMA
 from petrichor.session import materialize, scratch_path, shared_dir
 from petrichor.sources import tables
-from petrichor.sources.bulletins import read_digest
+from petrichor.sources.bulletins import digest, read_bulletins, read_digest, write_digest
 from petrichor.streaming.observations import current_observations, digest_stream, labelled_observations, write_log
 
 NAMES = {"ID1": "Albury", "ID2": "Ballarat"}
@@ -169,6 +169,22 @@ def test_encoded_store_takes_a_new_location_once(spark, tmp_path):
     assert days[6] == alone and days[6] + days[7] == whole.table.count()
 
 
+def test_every_layout_fills_the_same_warehouse(spark, tmp_path):
+    stations, ids = wf.write_dims(tmp_path / "dims", NAMES)
+    months = {(i, p): wf.month(p, k) for k, i in enumerate(("ID1", "ID2")) for p in PERIODS}
+    wf.write_digest_files(tmp_path / "digest", months)
+    wf.write_bulletins(tmp_path / "raw", months)
+    write_digest(digest(read_bulletins(spark, str(tmp_path / "raw"))), str(tmp_path / "folders"))
+    stored = {}
+    for layout in ("digest", "raw", "folders"):
+        paths = dict(digest_path=str(tmp_path / layout), stations_path=stations, ids_path=ids, table=str(tmp_path / f"table_{layout}"))
+        assert jobs.ingest(spark, layout=layout, day=dt.date(2025, 9, 6), **paths)
+        assert not jobs.ingest(spark, layout=layout, **paths)
+        rows = tables.read_table(spark, paths["table"])
+        stored[layout] = sorted(map(tuple, rows.select(sorted(rows.columns)).collect()), key=repr)
+    assert stored["digest"] and stored["raw"] == stored["digest"] and stored["folders"] == stored["digest"]
+
+
 def test_latest_and_first_rows(spark):
     rows = spark.createDataFrame(
         [(0, 2023, 1, 5, 1.0), (0, 2023, 2, 1, 2.0), (0, 2022, 12, 31, 3.0), (1, 2023, 1, 1, 4.0)],
