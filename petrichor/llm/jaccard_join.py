@@ -17,10 +17,12 @@ from petrichor.llm.components import components
 from petrichor.llm.sides import bounded
 from petrichor.session import materialize
 
-#: Shingles of a region that one task joins, and pivots into which a larger one is split.
+#: Shingles that one task joins at most, and pivots that tell the sets of a larger region apart.
 REGION_SHINGLES, PIVOTS = 8_000_000, 16
-#: Times that a region is split at most; what does not get smaller is joined as it is.
-SPLITS = 6
+#: Times that the sets of large families are first tied to one set of each of their shingles.
+TIES = 2
+#: Members that meet their pivots in one part, and the distance up to which a set belongs to its nearest pivot.
+MEMBERS, NEAR = 4096, 0.5
 _SETS = "doc_id long, n long, k1 long, k2 long, chosen array<long>, n_common long"
 
 
@@ -88,8 +90,8 @@ def _described(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(describe, _SETS)
 
 
-def _families(classes: DataFrame, percent: int) -> DataFrame:
-    """set, family: sets that may have a partner, and what they may be linked with.
+def _families(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """set, family: sets that may have a partner, and what they may be linked with; shingle, set: by which shingles.
 
     In the order (rarer shingles first) two similar sets share a shingle of their prefixes. A
     shingle that no other set has needs no region, and it still counts in the prefix: a set whose
@@ -112,7 +114,7 @@ def _families(classes: DataFrame, percent: int) -> DataFrame:
     shared = materialize(shared.select("shingle", "set"), "prefixes")
     least = shared.groupBy("shingle").agg(F.min("set").alias("b"), F.count("*").alias("held")).where("held > 1").select("shingle", "b")
     edges = shared.join(least, "shingle").where(F.col("set") != F.col("b")).select(F.col("set").alias("a"), "b").distinct()
-    return components(edges).select(F.col("node").alias("set"), F.col("root").alias("family"))
+    return components(edges).select(F.col("node").alias("set"), F.col("root").alias("family")), shared
 
 
 class Region:
@@ -134,9 +136,12 @@ class Region:
         parts = [self._holders[self._starts[s] : self._starts[s + 1]] for s in own]
         return np.bincount(np.concatenate(parts), minlength=len(self.sizes))
 
-    def roots(self, percent: int) -> np.ndarray:
+    def roots(self, percent: int, known: np.ndarray | None = None, side: np.ndarray | None = None) -> np.ndarray:
         """For each set the smallest set that links reach.
 
+        Sets that are equal in ``known`` are connected already. If ``side`` is given, only sets of
+        different sides are compared.
+
         Sets become pivots one after the other. A pivot is compared with those that are not yet
         known to be connected with it and that no earlier pivot rules out: by the triangle
         inequality two sets within the radius differ in their distance to any third by no more
@@ -144,11 +149,16 @@ class Region:
         """
         n, sizes = len(self.sizes), self.sizes
         root = np.arange(n)
+        if known is not None:
+            _, first, at = np.unique(known, return_index=True, return_inverse=True)
+            root = first[at]
         radius = 1 - percent / 100 + 1e-9
         seen: list[np.ndarray] = []
         for i in range(n):
             other = root != root[i]
             other &= (100 * sizes >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes)
+            if side is not None:
+                other &= side != side[i]
             for distance in seen:
                 if not other.any():
                     break
@@ -170,59 +180,155 @@ def _joined(percent: int):
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("set", kind="stable").reset_index(drop=True)
         region = Region([np.frombuffer(b, np.uint64) for b in rows.shingles])
-        return pd.DataFrame({"a": rows.set, "b": rows.set.to_numpy()[region.roots(percent)]})
+        known = rows.known.to_numpy() if "known" in rows else None
+        side = rows.side.to_numpy() if "side" in rows and rows.side.nunique() > 1 else None
+        return pd.DataFrame({"a": rows.set, "b": rows.set.to_numpy()[region.roots(percent, known, side)]})
 
     return join
 
 
-def _split(regions: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each region's sets again, by the region of the nearest pivot and of those that are nearly as near.
+def _distances(members: DataFrame, pivots: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """region, set, linked, distance: the pivots of its region that a set is linked with, and how far each is.
 
-    If x and y are within the radius r, then d(x, q) <= d(x, p) + 2 r for the pivot q nearest to
-    y and p nearest to x. So a set that also goes to the region of every pivot within that window
-    meets each partner in the region that is the partner's own. Pivots go to the members of their
-    region in salted parts, so that one large region is not one task.
+    Pivots go to the members of their region in parts of a bounded number, so that a large region
+    is not one task.
     """
-    window = 2 * (1 - percent / 100) + 1e-9
-    salts = 64
-    order = Window.partitionBy("region").orderBy(F.xxhash64("set", F.lit(turn)), "set")
-    pivots = regions.withColumn("nr", F.row_number().over(order)).where(F.col("nr") <= PIVOTS)
-    pivots = pivots.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("nr", "shingles"))).alias("pivots"))
-    pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    members = regions.withColumn("salt", F.pmod(F.xxhash64("set"), F.lit(salts)).cast("int")).join(pivots, ["region", "salt"])
-
-    def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = members.groupBy("region").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
+    counts = bounded(materialize(counts, "parts"))
+    pivots = pivots.join(held, "set").groupBy("region").agg(F.sort_array(F.collect_list(F.struct("nr", "set", "shingles"))).alias("pivots"))
+    pivots = pivots.join(counts, "region").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    members = members.join(counts, "region").withColumn("salt", F.pmod(F.xxhash64("set"), "parts").cast("int"))
+    members = members.select("region", "set", "salt").join(held, "set")
+    both = members.join(pivots.select("region", "salt", "pivots"), ["region", "salt"]).select("region", "set", "shingles", "pivots")
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            linked, distances = [], []
             for at in range(len(batch)):
                 own = np.frombuffer(batch.column(2)[at].as_py(), np.uint64)
-                distances = []
+                linked.append([])
+                distances.append([])
                 for pivot in batch.column(3)[at].as_py():
                     other = np.frombuffer(pivot["shingles"], np.uint64)
                     shared = len(np.intersect1d(own, other, assume_unique=True))
-                    distances.append(1 - shared / (len(own) + len(other) - shared))
-                cells = np.flatnonzero(np.array(distances) <= min(distances) + window).tolist()
-                row = batch.slice(at, 1)
-                yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), row.column(2), pa.array([cells], pa.list_(pa.int64()))], ["region", "set", "shingles", "cells"])
-
-    cells = members.select("region", "set", "shingles", "pivots").mapInArrow(assign, "region long, set long, shingles binary, cells array<long>")
-    cells = cells.select("region", "set", "shingles", F.explode("cells").alias("cell"))
-    return cells.select(F.xxhash64("region", "cell", F.lit(turn)).alias("region"), "set", "shingles")
-
-
-def _links(regions: DataFrame, percent: int, most: int) -> DataFrame:
-    """a, b: edges that connect the same sets as all links of all regions."""
-    edges, last = [], None
-    for turn in range(SPLITS + 1):
-        sizes = regions.groupBy("region").agg(F.sum(F.length("shingles") / 8).alias("weight"))
-        large = materialize(sizes.where(F.col("weight") > most).select("region"), "large")
-        weight = sizes.agg(F.max("weight")).first()[0]
-        if not weight or weight <= most or turn == SPLITS or (last is not None and weight > 0.9 * last):
-            edges.append(regions.groupBy("region").applyInPandas(lambda rows: _joined(percent)(rows), "a long, b long"))
-            break
-        small = regions.join(large, "region", "left_anti")
-        edges.append(small.groupBy("region").applyInPandas(lambda rows: _joined(percent)(rows), "a long, b long"))
-        regions = materialize(_split(regions.join(large, "region", "left_semi"), percent, turn), "regions")
-        last = weight
+                    union = len(own) + len(other) - shared
+                    distances[-1].append(1 - shared / union)
+                    if 100 * shared >= percent * union:
+                        linked[-1].append(pivot["set"])
+            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.list_(pa.int64())), pa.array(distances, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["region", "set", "linked", "distance"])
+
+    return both.mapInArrow(measure, "region long, set long, linked array<long>, distance array<double>")
+
+
+def _linked(found: DataFrame) -> DataFrame:
+    return found.select(F.col("set").alias("a"), F.explode("linked").alias("b")).where("a != b")
+
+
+def _open(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` with the root of each set, without regions whose sets are all connected."""
+    roots = components(edges)
+    rows = rows.drop("known").join(roots, F.col("set") == F.col("node"), "left")
+    rows = rows.select("region", "set", "weight", F.coalesce("root", "set").alias("known"))
+    some = rows.groupBy("region").agg(F.min("known").alias("x"), F.max("known").alias("y")).where("x != y").select("region")
+    return materialize(rows.join(some, "region", "left_semi"), "open")
+
+
+def _block_pairs(rows: DataFrame, found: DataFrame, percent: int, most: int) -> DataFrame:
+    """task, side, set, known: pairs of blocks of a region, each pair of at most ``most`` shingles.
+
+    A block holds sets that are nearest to the same pivot, or near none. It is paired with itself
+    and with each other block of its region, unless all sets of both are connected, their sizes
+    rule all links out, or the triangle inequality does: linked sets differ in their distance to
+    any pivot by no more than the radius. Only a set of over a quarter of ``most`` may exceed it.
+    """
+    nearest = F.array_min("distance")
+    placed = rows.join(found.select("region", "set", "distance"), ["region", "set"])
+    placed = placed.withColumn("cell", F.when(nearest <= NEAR, F.array_position("distance", nearest)).otherwise(F.lit(0)).cast("long"))
+    placed = materialize(placed, "placed")
+    cells = placed.groupBy("region", "cell").agg(F.ceil(F.sum("weight") / most).alias("buckets"), F.max("weight").alias("widest"))
+    placed = placed.join(bounded(materialize(cells, "cells")), ["region", "cell"])
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("set"), "buckets"))
+    before = Window.partitionBy("region", "cell", "bucket").orderBy("weight", "set").rowsBetween(Window.unboundedPreceding, -1)
+    step = F.greatest(F.lit(most / 2) - F.col("widest"), F.lit(most / 4))
+    part = F.floor(F.coalesce(F.sum("weight").over(before), F.lit(0)) / step)
+    placed = placed.withColumn("block", F.struct("cell", "bucket", part.alias("part")))
+    placed = materialize(placed.select("region", "block", "set", "weight", "known", "distance"), "blocks")
+
+    ranges = {"n": F.col("weight"), "root": F.col("known")} | {f"d{k}": F.get("distance", F.lit(k)) for k in range(PIVOTS)}
+    blocks = placed.groupBy("region", "block").agg(*[f(c).alias(f"{k}_{end}") for k, c in ranges.items() for f, end in ((F.min, "low"), (F.max, "high"))])
+    blocks = materialize(blocks, "ranges")
+    x, y, radius = blocks.alias("x"), blocks.alias("y"), 1 - percent / 100 + 1e-9
+    near = (F.col("x.region") == F.col("y.region")) & (F.col("x.block") <= F.col("y.block"))
+    near &= F.least("x.root_low", "y.root_low") != F.greatest("x.root_high", "y.root_high")
+    near &= (100 * F.col("x.n_high") >= percent * F.col("y.n_low")) & (100 * F.col("y.n_high") >= percent * F.col("x.n_low"))
+    for k in range(PIVOTS):  # a region of fewer pivots has no distance to the others
+        apart = F.greatest(F.col(f"x.d{k}_low") - F.col(f"y.d{k}_high"), F.col(f"y.d{k}_low") - F.col(f"x.d{k}_high"))
+        near &= F.coalesce(apart <= radius, F.lit(True))
+    pairs = x.join(y, near).select(F.col("x.region").alias("region"), F.col("x.block").alias("x"), F.col("y.block").alias("y"))
+    pairs = materialize(pairs.withColumn("task", F.monotonically_increasing_id()), "pairs")
+    sides = pairs.select("region", F.col("x").alias("block"), "task", F.lit(0).alias("side"))
+    sides = sides.unionAll(pairs.where("x != y").select("region", F.col("y").alias("block"), "task", F.lit(1).alias("side")))
+    return placed.join(sides, ["region", "block"]).select("task", "side", "set", "known")
+
+
+def _large_links(held: DataFrame, rows: DataFrame, percent: int, most: int) -> list[DataFrame]:
+    """Tables of a, b: edges that connect the same sets as all links of the sets in ``held``.
+
+    Two linked sets share a shingle of their prefixes (``rows``), so each shingle is a region;
+    shingles of the same sets are one. First every set is compared with one set of each of its
+    regions, the same one for many regions of a dense family, and regions whose sets are then
+    all connected are settled. What is left is joined in one task per region, or per pair of
+    blocks of a region that is too large for that.
+    """
+    held = materialize(held, "held")
+    hashes = (F.xxhash64("set"), F.xxhash64("set", F.lit(1)))
+    named = rows.join(held.select("set"), "set", "left_semi").groupBy("shingle").agg(
+        F.count("*").alias("n"), *[F.bit_xor(h).alias(f"h{k}") for k, h in enumerate(hashes)]
+    )
+    named = named.where("n > 1").groupBy("n", "h0", "h1").agg(F.min("shingle").alias("shingle")).select("shingle")
+    rows = rows.join(named, "shingle", "left_semi").join(held.select("set", (F.length("shingles") / 8).cast("long").alias("weight")), "set")
+    rows = materialize(rows.select(F.col("shingle").alias("region"), "set", "weight", F.col("set").alias("known")), "members")
+    edges = held.sparkSession.createDataFrame([], "a long, b long")
+    for turn in range(TIES):
+        first = F.min(F.struct(F.xxhash64("set", F.lit(turn)), "set", "known")).alias("p")
+        pivots = rows.groupBy("region").agg(first).select("region", F.col("p.set").alias("pivot"), F.col("p.known").alias("own"))
+        pairs = rows.join(pivots, "region").where("known != own").select(F.col("pivot").alias("region"), "set").distinct()
+        pairs = materialize(pairs, "pairs")
+        pivots = pairs.select("region").distinct().select("region", F.lit(1).alias("nr"), F.col("region").alias("set"))
+        edges = materialize(edges.unionAll(_linked(_distances(pairs, pivots, held, percent))), "ties")
+        rows = _open(rows, edges)
+        if rows.isEmpty():
+            return [edges]
+    large = rows.groupBy("region").agg(F.sum("weight").alias("held")).where(F.col("held") > most).select("region")
+    large = bounded(materialize(large, "large"))
+    out = [edges, _tasks(rows.join(large, "region", "left_anti").select(F.col("region").alias("task"), "set", "known").join(held, "set"), percent)]
+    rows = materialize(rows.join(large, "region", "left_semi"), "rest")
+    if not rows.isEmpty():
+        order = Window.partitionBy("region").orderBy(F.xxhash64("set", F.lit(TIES)), "set")
+        pivots = rows.withColumn("nr", F.row_number().over(order)).where(F.col("nr") <= PIVOTS).select("region", "nr", "set")
+        found = materialize(_distances(rows.select("region", "set"), pivots, held, percent), "distances")
+        more = materialize(edges.unionAll(_linked(found)), "ties")
+        rows = _open(rows, more)
+        out += [_linked(found), _tasks(_block_pairs(rows, found, percent, most).join(held, "set"), percent)]
+    return out
+
+
+def _tasks(rows: DataFrame, percent: int) -> DataFrame:
+    return rows.groupBy("task").applyInPandas(lambda rows: _joined(percent)(rows), "a long, b long")
+
+
+def _links(regions: DataFrame, prefixes: DataFrame, percent: int, most: int) -> DataFrame:
+    """a, b: edges that connect the same sets as all links of all families."""
+    sizes = regions.groupBy("region").agg(F.sum(F.length("shingles") / 8).alias("weight"))
+    large = materialize(sizes.where(F.col("weight") > most).select("region"), "large")
+    tasks = regions.select(F.col("region").alias("task"), "set", "shingles")
+    if large.isEmpty():
+        edges = [_tasks(tasks, percent)]
+    else:
+        large = large.withColumnRenamed("region", "task")
+        edges = [_tasks(tasks.join(large, "task", "left_anti"), percent)]
+        edges += _large_links(tasks.join(large, "task", "left_semi").select("set", "shingles"), prefixes, percent, most)
     out = edges[0]
     for more in edges[1:]:
         out = out.unionAll(more)
@@ -240,12 +346,13 @@ def jaccard_components(
 
     Equal sets are one set. In sparse text the Jaccard distance from nearly every document to any
     other is one, so documents as pivots would tell nothing apart; the first regions therefore
-    hang on single shingles, the rarest first, and every set is replicated to the regions of its
-    prefix, which no partner can miss. Within these families the metric does distinguish, and the
-    pivots are documents: a region beyond ``region_shingles`` is split among pivots, with the
-    boundary replicated by the triangle inequality, again and again; the others are joined in one
-    task each, exactly, pivot by pivot. Links are not listed as pairs: each set is tied to the
-    root of its region, and components are taken over these ties.
+    hang on single shingles, the rarest first, and a set belongs to those of its prefix, which no
+    partner can miss. Sets that such shingles chain are a family. Families of up to
+    ``region_shingles`` are joined in one task each, exactly, pivot by pivot. In a larger family
+    every set goes to the regions of its own shingles instead, and a region that is still larger
+    is joined by pairs of bounded blocks, which the distances to pivots spare by the triangle
+    inequality. No task holds more. Links are not listed as pairs: each set is tied to the root of
+    its task's sets, and components are taken over these ties.
 
     Texts without words (or null) have no shingles, no links and their own id. A null id names no
     component unless all its members' ids are null. Repeated rows get equal results. Shingles are
@@ -257,7 +364,8 @@ def jaccard_components(
         F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("n_common").alias("n_common"), F.first("chosen").alias("chosen")
     )
     classes = materialize(classes.withColumn("set", F.monotonically_increasing_id()), "classes")
-    families = materialize(_families(classes, percent), "families")
+    families, prefixes = _families(classes, percent)
+    families = materialize(families, "families")
     wanted = classes.join(families, "set").select("set", "family", "k1", "k2", F.coalesce("first_id", F.lit(-(1 << 63))).alias("first_id"))
     wanted = materialize(wanted, "wanted")
 
@@ -272,7 +380,7 @@ def jaccard_components(
     held = held.select("first_id", "text").mapInArrow(collect, "k1 long, k2 long, shingles binary")
     regions = held.join(wanted.select("k1", "k2", "set", F.col("family").alias("region")), ["k1", "k2"]).dropDuplicates(["set"])
     regions = materialize(regions.select("region", "set", "shingles"), "regions")
-    roots = components(_links(regions, percent, region_shingles))
+    roots = components(_links(regions, prefixes, percent, region_shingles))
 
     tied = classes.select("k1", "k2", "set", "first_id").join(roots, F.col("set") == F.col("node"), "left")
     tied = tied.select("k1", "k2", "first_id", F.coalesce("root", "set").alias("root"))

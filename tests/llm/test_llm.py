@@ -98,6 +98,39 @@ def test_jaccard(docs, size, percent, most):
     assert rows_of(got) == brute.jaccard_components(DOCS, size, percent)
 
 
+@pytest.mark.parametrize(("size", "percent", "most"), [(3, 90, 1500), (3, 80, 1500), (3, 90, 6000)])
+def test_jaccard_large_families(spark, monkeypatch, size, percent, most):
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    dense, apart, common = [word() for _ in range(110)], [word() for _ in range(100)], [word() for _ in range(6)]
+    texts = []
+    for _ in range(120):  # near copies
+        copy = list(dense)
+        for at in rng.sample(range(110), rng.randint(1, 3)):
+            copy[at] = word()
+        texts.append(copy)
+    chain = [word() for _ in range(110)]
+    for _ in range(40):  # linked in a chain, the ends of which are not
+        chain = chain[5:] + [word() for _ in range(5)]
+        texts.append(list(chain))
+    texts += [[*common, word(), word()] for _ in range(150)]  # not linked, by shingles of all
+    texts += [[*dense[:55], *apart[at : at + 50]] for at in range(0, 50, 2)]
+    texts = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    joined = jaccard_join._joined
+
+    def checked(percent):
+        def join(rows):
+            if sum(map(len, rows.shingles)) / 8 > most:
+                raise ValueError("a task holds too many shingles")
+            return joined(percent)(rows)
+
+        return join
+
+    monkeypatch.setattr(jaccard_join, "_joined", checked)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"), size, percent, region_shingles=most)
+    assert rows_of(got) == brute.jaccard_components(texts, size, percent)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(300) if i % 100 != 99] + [(1000 + i, 1000 + i // 3) for i in range(50)] + [(7, 7)]
     edges = spark.createDataFrame(links, "a long, b long").repartition(5)
