@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrichor.operators.metrics import classification_metrics, regression_metrics
-from petrichor.plans.clean import clean
+from petrichor.plans.clean import Cleaned, clean
 from petrichor.plans.jobs import predict_locations, train_and_promote
 from petrichor.plans.registry import (
     Registry,
@@ -30,7 +30,7 @@ from petrichor.plans.training import (
     tune_forest,
 )
 from petrichor.operators.split import split
-from petrichor.schemas import CLEAN_KEYS, LABEL
+from petrichor.schemas import BASELINE_FOREST, CLEAN_KEYS, FOLDS, FOREST, LABEL, TREE_GRID
 from petrichor.session import materialize, scratch_path
 from petrichor.workload.base import Tables, query
 from petrichor.workload.weather import weather
@@ -200,42 +200,42 @@ def m8(spark, sf):
     )
 
 
-def _features(spark, sf) -> DataFrame:
-    """The clean weather table, not balanced, written once for the models to read."""
-    return materialize(clean(weather(spark, sf), balance=None).table, "features")
+def _features(spark, sf) -> Cleaned:
+    """The clean weather table, balanced as in training and written once for the models to read."""
+    cleaned = clean(weather(spark, sf))
+    return Cleaned(materialize(cleaned.table, "features"), cleaned.mapping)
 
 
 @query("m3_p9_forest_metrics")
 def m3(spark, sf):
-    train, test = split(_features(spark, sf), CLEAN_KEYS)
-    model = train_forest(train)
+    train, test = split(_features(spark, sf).table, CLEAN_KEYS)
+    model = train_forest(train, **FOREST)
     return champion_metrics({"forest": model}, test)
 
 
 @query("m6_regression_forest")
 def m6(spark, sf):
-    train, test = split(_features(spark, sf), CLEAN_KEYS)
-    model = train_regressor(train, numTrees=20, maxDepth=5, seed=42)
+    train, test = split(_features(spark, sf).table, CLEAN_KEYS)
+    model = train_regressor(train, **FOREST)
     return regression_metrics(score(model, test), LABEL, "prediction")
 
 
 @query("m4_m5_a15_grid_scores")
 def m5(spark, sf):
-    tuned = tune_forest(_features(spark, sf), grid=[1, 5], folds=3, depth=5)
+    tuned = tune_forest(_features(spark, sf).table, grid=TREE_GRID, folds=FOLDS, depth=BASELINE_FOREST["maxDepth"])
     return tuned["scores"]
 
 
 @query("m7_k4_w2_predictions")
 def k4(spark, sf):
-    cleaned = clean(weather(spark, sf), balance=None)
-    rows = materialize(cleaned.table, "features")
-    return predict_locations(rows, train_forest(rows, numTrees=20, maxDepth=5, seed=42), cleaned.mapping, "1")
+    cleaned = _features(spark, sf)
+    return predict_locations(cleaned.table, train_forest(cleaned.table, **FOREST), cleaned.mapping, "1")
 
 
 @query("k2_m12_train_and_promote")
 def k2(spark, sf):
     registry = Registry(spark, scratch_path(spark, "registry"))
-    train, test = split(_features(spark, sf), CLEAN_KEYS)
-    train_and_promote(train, test, registry, numTrees=5, maxDepth=2, seed=42)
-    train_and_promote(train, test, registry, numTrees=20, maxDepth=5, seed=42)
+    train, test = split(_features(spark, sf).table, CLEAN_KEYS)
+    train_and_promote(train, test, registry, **FOREST)
+    train_and_promote(train, test, registry, **FOREST)
     return registry.listing()

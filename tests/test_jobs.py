@@ -231,3 +231,30 @@ def test_stream_takes_the_refresh_of_one_batch(spark, places, tmp_path):
     write_log(digest_stream(spark, folder), log, checkpoint).awaitTermination()
     rows = current_observations(spark, log).where("data_id = 'ID1' and Date in ('2023-03-01', '2023-03-02')")
     assert [r["Rainfall"] for r in rows.orderBy("Date").collect()] == [8.0, 9.0]
+
+
+@pytest.mark.parametrize("name", ["m3_p9_forest_metrics", "m4_m5_a15_grid_scores", "m6_regression_forest", "m7_k4_w2_predictions", "k2_m12_train_and_promote"])
+def test_model_queries_use_production_settings(spark, monkeypatch, name):
+    from petrichor.workload import QUERIES, models
+
+    fitted, balances, fit, clean = [], [], training._fit, models.clean
+
+    def fit_small(estimator, train, label, features):
+        found = {p: estimator.getOrDefault(p) for p in ("numTrees", "maxDepth", "seed", "impurity")}
+        fitted.append(tuple(found.values()))
+        return fit(estimator.copy().setNumTrees(1).setMaxDepth(1), train, label, features)
+
+    def cleaned(daily, **options):
+        balances.append(options.get("balance", "before"))
+        return clean(daily, **options)
+
+    monkeypatch.setattr(training, "_fit", fit_small)
+    monkeypatch.setattr(models, "clean", cleaned)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    forest = (100, 5, 42, "variance" if name.startswith("m6") else "gini")
+    want = {forest}
+    if name.startswith("m4"):
+        grid = [1, 5, 9, 13, 15, 19, 22]
+        want = {(40, 30, 42, "entropy")} | {(n, 30, 42, "gini") for n in grid}
+        assert len(fitted) == 1 + 5 * len(grid) + 1
+    assert set(fitted) == want and set(balances) == {"before"}
