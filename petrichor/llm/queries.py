@@ -12,13 +12,16 @@ from petrichor.llm import (
     attention_quality,
     chat_format,
     decontaminate,
+    exact_dedup,
     fertility,
     jaccard_join,
     line_dedup,
     packing,
+    spelling,
     substring_dedup,
     suffix_dedup,
     token_counts,
+    whitening,
 )
 from petrichor.llm.sql import ORACLES
 
@@ -125,4 +128,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@_query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and whether it is the one that stays."""
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every frequent word of all documents."""
+    return spelling.spelling_forms(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the first four components."""
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 __all__ = ["ORACLES", "QUERIES", "vocabulary"]

@@ -90,9 +90,17 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+#: Documents by their text, each run of blanks as one space.
+_COPIES = r"""
+WITH told AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM told WINDOW same AS (PARTITION BY body)
+"""
+
 ORACLES = {
     "op5_line_dedup": _LINES,
     "op6_benchmark_decontamination": _DECONTAMINATION,
     "op8_substring_dedup": _SUBSTRINGS,
     "op9_chat_formatting": _CHATS,
+    "op11_exact_dedup": _COPIES,
 }

@@ -180,3 +180,64 @@ def pieces_of(docs, tokenizer, most=4096, end_id=1):
 def entropy(tokens):
     n = len(tokens)
     return -sum(c / n * math.log2(c / n) for c in Counter(tokens).values()) if n else 0.0
+
+
+def exact_groups(rows):
+    """(doc_id, keep_id, group_size, kept, sha256) of each (doc_id, text); rows without an id come last."""
+    told = [(i, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for i, t in rows]
+    out = []
+    for at, (i, body) in enumerate(told):
+        group = sorted((j is None, j or 0, k) for k, (j, other) in enumerate(told) if other == body)
+        keep = told[group[0][2]][0]
+        out.append((i, keep, len(group), group[0][2] == at, sha(body)))
+    return out
+
+
+def spelling_forms(docs, least_letters=6, least_count=5, factor=5):
+    """(word, form, root, n, n_near, form_n) of each frequent word, over all pairs of words."""
+    counts = Counter()
+    for i, text in docs:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    kept = {w: n for w, n in counts.items() if len(w) >= least_letters and n >= least_count}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+    form, n_near = {}, {}
+    for w, n in kept.items():
+        found = sorted((-m, v) for v, m in kept.items() if near(v, w))
+        n_near[w] = len(found)
+        form[w] = found[0][1] if found and -found[0][0] >= factor * n else None
+    out = []
+    for w, n in kept.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, n_near[w], kept[form[w]] if form[w] else None))
+    return out
+
+
+def whitened(rows, components=4, scale=256):
+    """n, rows that stay as (vec_id, x, deviation), eigenvalues, vectors, trace: by a full decomposition of the covariance."""
+    import numpy as np
+
+    whole = [(i, tuple(math.floor(scale * c) for c in v)) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    if not whole:
+        return 0, [], None, None, 0.0
+    usual = min(Counter(len(x) for _, x in whole).items(), key=lambda m: (-m[1], m[0]))[0]
+    whole = [(i, x) for i, x in whole if len(x) == usual]
+    fit = sorted({x for _, x in whole})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    told = [(i, x, sum((n * c - s) ** 2 for c, s in zip(x, sums))) for i, x in whole]
+    centred = np.array(fit, float) - np.array(sums, float) / n
+    cov = centred.T @ centred / n
+    values, vectors = np.linalg.eigh(cov)
+    return n, told, values[::-1][:components], vectors[:, ::-1][:, :components], np.trace(cov)
