@@ -70,14 +70,14 @@ def _first_rows(ordered: DataFrame, wanted: int, share: float, buffered: int) ->
 
 
 def _drawn(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int, slot: str) -> DataFrame:
-    """``n_out`` independent draws with replacement, each a hash of its number and the seed.
+    """``n_out`` independent draws with replacement, each an md5 of its number and the seed.
 
     Rows are drawn by their position in the order of a hash of the key, so that the sample does
     not depend on how the rows are partitioned.
     """
     draws = (
         minority.sparkSession.range(n_out)
-        .select(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n_in)).alias("_pos"))
+        .select(F.pmod(row_hash(["id"], seed), F.lit(n_in)).alias("_pos"))
         .groupBy("_pos")
         .agg(F.count(F.lit(1)).alias("_times"))
     )

@@ -80,6 +80,32 @@ def _held_keys(new: DataFrame, held: DataFrame, keys: list[str]) -> DataFrame:
     return materialize(held.select(*keys).join(side, keys, "left_semi").distinct(), "held")
 
 
+def touched_partitions(held: DataFrame, new: DataFrame, cols: list[str], most: int = 1000) -> DataFrame:
+    """``held`` in the partitions (by ``cols``) that ``new`` has rows in.
+
+    The partition values of a delivery become literals of the scan, so other partitions are not even
+    listed. A delivery of more than ``most`` partitions is bounded by the least and the greatest
+    value of the first column instead.
+    """
+    values = new.select(*cols).distinct().limit(most + 1).collect()
+    if len(values) > most:
+        first = F.col(cols[0])
+        low, high, gaps = new.agg(F.min(first), F.max(first), F.count_if(first.isNull())).first()
+        wanted = first.between(low, high)
+        return held.where(wanted | first.isNull() if gaps else wanted)
+    groups: dict[tuple, list] = {}
+    for row in values:
+        groups.setdefault(tuple(row)[:-1], []).append(row[-1])
+    tests = [F.lit(False)]
+    for lead, last in groups.items():
+        known = [v for v in last if v is not None]
+        inside = F.col(cols[-1]).isin(known) if known else F.lit(False)
+        if len(known) < len(last):
+            inside |= F.col(cols[-1]).isNull()
+        tests.append(reduce(and_, [*[F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(cols, lead)], inside]))
+    return held.where(reduce(or_, tests))
+
+
 def drop_existing(
     new: DataFrame, held: DataFrame, keys: list[str], match: str = "pair"
 ) -> DataFrame:

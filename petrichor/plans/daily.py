@@ -37,16 +37,16 @@ def located(digest: DataFrame, dim: DataFrame, unknown: str = "error") -> DataFr
     return found.withColumn("Location", F.coalesce("Location", failure.cast("string")))
 
 
-def label_rain(rows: DataFrame, label_scope: str = "file") -> DataFrame:
+def label_rain(rows: DataFrame, label_scope: str = "file", file_keys: tuple[str, ...] = ("data_id", "period")) -> DataFrame:
     """RainToday from the rainfall, RainTomorrow from the next row.
 
-    ``file``: the next row of the same bulletin, none on its last day. ``location``: the next
+    ``file``: the next row of the same bulletin, which ``file_keys`` tell apart, none on its last day. ``location``: the next
     calendar day of the location, across bulletins, null when that day is missing.
     """
     today = rows.withColumn("RainToday", rain_flag(F.col("Rainfall")))
     if label_scope == "file":
         # A bulletin covers one month, so these groups are at most 31 rows long.
-        return next_in_group(today, ["data_id", "period"], ["Date"], "RainToday", "RainTomorrow")
+        return next_in_group(today, list(file_keys), ["Date"], "RainToday", "RainTomorrow")
     if label_scope != "location":
         raise ValueError(f"unknown label scope {label_scope!r}")
     dated = today.withColumn("_day", F.struct("Date", "RainToday"))

@@ -10,22 +10,23 @@ from pyspark.sql import functions as F
 
 from petrichor.functions.rain import will_rain
 from petrichor.functions.text import percent_text
+from petrichor.operators.dictionary import CodeBook
 from petrichor.operators.joins import drop_existing, lookup_join
 from petrichor.operators.windows import first_per_group
 from petrichor.plans.clean import Cleaned, clean
-from petrichor.plans.daily import daily_observations, station_dim
+from petrichor.plans.daily import daily_observations, label_rain, station_dim
 from petrichor.plans.registry import Registry
 from petrichor.plans.training import balanced_split, champion_metrics, compare, features_of, score, train_forest
-from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, FOREST, LABEL, MIN_GAIN, STATION_SCHEMA, STAMP
+from petrichor.schemas import CLEAN_KEYS, DAILY_COLUMNS, DATA_ID_SCHEMA, FOREST, LABEL, MIN_GAIN, STATION_SCHEMA, STAMP
 from petrichor.session import materialize
-from petrichor.sources.bulletins import READERS
+from petrichor.sources.bulletins import READERS, quarantine
+from petrichor.sources.ledger import LOAD, Conflict, Ledger
 from petrichor.sources.tables import (
     append_new,
     read_dim,
     read_table,
     schema_report,
     stamped,
-    table_exists,
     write_csv,
     write_table,
 )
@@ -42,46 +43,108 @@ def ingest(
     mapping_path: str | None = None,
     label_scope: str = "file",
     layout: str = "digest",
+    rejects_path: str | None = None,
+    unknown: str = "error",
     **clean_options,
 ) -> bool:
     """Bulletins to the warehouse table; says whether rows were added.
 
     ``layout`` names what ``digest_path`` holds: ``digest`` files, ``raw`` bulletins, or the
-    ``folders`` that ``write_digest`` makes.
-
-    ``store='daily'`` keeps plain daily rows, keyed by location and date, and leaves balancing
-    and codes to training time. A day enters once its label is known: no later step uses it
-    before, and a held row is not replaced. ``store='encoded'`` appends the balanced, encoded rows of
-    the days not loaded so far, and writes the location mapping beside it. Its codes only hold within
-    one run, so the loaded days are kept by location name in a table of their own, ``{table}_days``;
-    it is written last, and a run that fails before that loads its days again.
+    ``folders`` that ``write_digest`` makes. Of a bulletin and its refreshes the newest counts.
+    With ``rejects_path`` lines that have not 22 fields are appended there instead of failing the load.
+
+    ``store='daily'`` keeps all plain daily rows, keyed by location and date, and leaves labels,
+    balancing and codes to reading (``warehouse``). ``store='encoded'`` appends the balanced, encoded rows
+    of the labelled days not loaded so far; see ``EncodedStore``.
     """
     dim = station_dim(read_dim(spark, stations_path, STATION_SCHEMA), read_dim(spark, ids_path, DATA_ID_SCHEMA))
-    daily = daily_observations(READERS[layout](spark, digest_path), dim, label_scope)
+    if rejects_path:
+        read = quarantine(READERS[layout](spark, digest_path, bad="keep"))
+        if read.rejected:
+            write_table(stamped(read.rejects, day), rejects_path)
+        fields = read.kept
+    else:
+        fields = READERS[layout](spark, digest_path)
+    daily = daily_observations(fields, dim, label_scope, unknown)
     if store == "daily":
-        rows = daily.where(F.col(LABEL).isNotNull()).withColumns({"Year": F.year("Date"), "Month": F.month("Date")})
-        return append_new(rows, table, ["Location", "Date"], day, partition_by=["Year", "Month"])
+        rows = daily.drop(LABEL).withColumns({"Year": F.year("Date"), "Month": F.month("Date")})
+        months = ["Year", "Month"]
+        return append_new(rows, table, ["Location", "Date"], day, partition_by=months, prune_by=months)
     if store != "encoded":
         raise ValueError(f"unknown store {store!r}")
-    loaded, days = f"{table.rstrip('/')}_days", ["Location", "Date"]
-    fresh = daily.where(F.col(LABEL).isNotNull())
-    if table_exists(spark, loaded):
-        fresh = drop_existing(materialize(fresh, "delivery"), read_table(spark, loaded), days)
-    fresh = materialize(fresh, "fresh")
-    if fresh.isEmpty():
+    held = EncodedStore(spark, table)
+    added = held.load(daily.where(F.col(LABEL).isNotNull()), day, **clean_options)
+    if added and mapping_path:
+        write_csv(held.mapping(), mapping_path, ["Location_Code"])
+    return added
+
+
+class EncodedStore:
+    """Encoded rows of many loads under codes that never change their meaning.
+
+    Beside ``{table}`` lie ``_codes`` (the growing code table), ``_days`` (which days are loaded,
+    by location name) and ``_loads`` (the ledger). A load writes new codes, its rows and its days,
+    and enters the ledger last. A run that fails on the way has written nothing that anyone sees;
+    its days are loaded again. If another writer was faster, the load starts over from what that
+    one has left. Medians, fences and class sizes are those of one load.
+    """
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark, self.path = spark, table.rstrip("/")
+        self.ledger = Ledger(spark, f"{self.path}_loads")
+        self.book = CodeBook(spark, f"{self.path}_codes", self.ledger)
+
+    def _read(self, path: str) -> DataFrame:
+        return self.ledger.visible(read_table(self.spark, path)).drop(LOAD)
+
+    def rows(self) -> DataFrame:
+        """The encoded rows of all complete loads."""
+        return self._read(self.path)
+
+    def codes(self) -> DataFrame:
+        """column, value, code."""
+        return self.book.table()
+
+    def mapping(self) -> DataFrame:
+        own = self.codes().where(F.col("column") == "Location")
+        return own.select(F.col("value").alias("Location_Name"), F.col("code").alias("Location_Code"))
+
+    def load(self, daily: DataFrame, day: dt.date | None = None, attempts: int = 5, **clean_options) -> bool:
+        """Add the days that are not loaded yet; says whether there were any."""
+        daily = materialize(daily, "delivery")
+        for left in reversed(range(attempts)):
+            try:
+                return self._load(daily, day, clean_options)
+            except Conflict:
+                if not left:
+                    raise
         return False
-    cleaned = clean(fresh, stage_input=False, **clean_options)
-    if mapping_path:
-        write_csv(cleaned.mapping, mapping_path, ["Location_Code"])
-    write_table(stamped(cleaned.table, day), table)
-    write_table(fresh.select(*days), loaded)
-    return True
-
-
-def training_table(spark: SparkSession, table: str, **clean_options) -> Cleaned:
-    """The whole warehouse of daily rows, cleaned and encoded for one training run."""
-    daily = read_table(spark, table).drop(STAMP, "Year", "Month")
-    return clean(daily, stage_input=False, **clean_options)
+
+    def _load(self, daily: DataFrame, day: dt.date | None, clean_options: dict) -> bool:
+        seen, load = self.ledger.begin()
+        keys, days = ["Location", "Date"], f"{self.path}_days"
+        fresh = daily
+        if seen:
+            fresh = materialize(drop_existing(daily, self._read(days), keys), "fresh")
+        if fresh.isEmpty():
+            return False
+        encoder = lambda rows, cols, order, by: self.book.encode(rows, cols, order, load, by)
+        cleaned = clean(fresh, stage_input=False, encoder=encoder, **clean_options)
+        write_table(stamped(cleaned.table, day).withColumn(LOAD, F.lit(load)), self.path, partition_by=[LOAD])
+        write_table(fresh.select(*keys).withColumn(LOAD, F.lit(load)), days, partition_by=[LOAD])
+        self.ledger.commit(seen, load)
+        return True
+
+
+def warehouse(spark: SparkSession, table: str, label_scope: str = "file") -> DataFrame:
+    """The daily table of all days held, labelled by the days that are held now."""
+    held = read_table(spark, table).drop(STAMP, "RainToday", LABEL)
+    return label_rain(held, label_scope, ("Location", "Year", "Month")).select(*DAILY_COLUMNS)
+
+
+def training_table(spark: SparkSession, table: str, label_scope: str = "file", **clean_options) -> Cleaned:
+    """The whole warehouse of daily rows, labelled, cleaned and encoded for one training run."""
+    return clean(materialize(warehouse(spark, table, label_scope), "labelled"), stage_input=False, **clean_options)
 
 
 def train_and_promote(

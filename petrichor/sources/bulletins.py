@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from petrichor.functions.dates import period, recent_months
@@ -16,7 +19,8 @@ from petrichor.functions.text import (
     text_between,
     unix_text,
 )
-from petrichor.operators.joins import lookup_join
+from petrichor.operators.joins import is_small, lookup_join
+from petrichor.operators.windows import first_per_group
 from petrichor.schemas import (
     BULLETIN_URL,
     DIGEST_FIELDS,
@@ -24,10 +28,23 @@ from petrichor.schemas import (
     ID_PAGE_END,
     ID_PAGE_START,
     MONTHS_BACK,
+    text_schema,
 )
+from petrichor.session import scratch_path
 
 #: CSV options under which a line of the wrong number of fields is an error; a reader that prunes columns counts none.
 WHOLE_LINES = {"mode": "FAILFAST", "columnPruning": "false"}
+#: Where such a line is kept as it is, and the options for that.
+CORRUPT = "_corrupt"
+KEPT_LINES = {"mode": "PERMISSIVE", "columnPruning": "false", "columnNameOfCorruptRecord": CORRUPT}
+#: Most rows of a file that ``write_digest`` writes.
+FILE_ROWS = 5_000_000
+
+
+def _line_options(bad: str) -> dict[str, str]:
+    if bad not in ("error", "keep"):
+        raise ValueError(f"unknown treatment of malformed lines {bad!r}")
+    return WHOLE_LINES if bad == "error" else KEPT_LINES
 
 
 def name_parts(name: Column) -> list[Column]:
@@ -35,6 +52,32 @@ def name_parts(name: Column) -> list[Column]:
     return [F.split_part(name, F.lit("."), F.lit(i)).alias(n) for i, n in ((1, "data_id"), (2, "period"))]
 
 
+def issue_of(name: Column) -> Column:
+    """The stamp of a refresh, ``{data_id}.{period}.{stamp}.csv``; '' for a first issue."""
+    third = F.split_part(name, F.lit("."), F.lit(3))
+    return F.when(third == "csv", "").otherwise(third)
+
+
+def newest_first(issue: str) -> list[Column]:
+    """Order by stamp, the newest first; a longer stamp is newer, so refresh10 comes before refresh9."""
+    return [F.desc(F.length(issue)), F.desc(issue)]
+
+
+def newest_files(spark: SparkSession, path: str) -> DataFrame:
+    """file_name: of each station and month the newest file below ``path``. Files are listed, not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    files = listed.select(name.alias("file_name"), "modificationTime")
+    files = files.select("*", *name_parts(F.col("file_name")), issue_of(F.col("file_name")).alias("issue"))
+    order = [*newest_first("issue"), F.desc("modificationTime"), "file_name"]
+    return first_per_group(files, ["data_id", "period"], order).select("file_name")
+
+
+def _of_newest(rows: DataFrame, path: str) -> DataFrame:
+    newest = newest_files(rows.sparkSession, path)
+    return rows.join(F.broadcast(newest) if is_small(newest) else newest, "file_name", "left_semi")
+
+
 def read_bulletins(spark: SparkSession, path: str) -> DataFrame:
     """Raw Windows-1252 bulletins as (file_name, content); content is decoded text.
 
@@ -45,6 +88,26 @@ def read_bulletins(spark: SparkSession, path: str) -> DataFrame:
     return files.select(name.alias("file_name"), cp1252_text(F.col("content")).alias("content"))
 
 
+def write_files(files: DataFrame, path: str) -> int:
+    """Each row (file_name, content as bytes) as one file below ``path``; returns how many.
+
+    The tasks write side by side, and a repeated task writes the same file again.
+    """
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with store.open_output_stream(f"{root}/{name}") as out:
+                    out.write(content)
+            yield batch.select([0])
+
+    return files.select("file_name", "content").mapInArrow(write, "file_name string").count()
+
+
 def digest(bulletins: DataFrame, content: str = "content") -> DataFrame:
     """Data lines of each bulletin as (..., line_no, line); the text column is replaced.
 
@@ -76,43 +139,76 @@ def digest_lines(lines: DataFrame, file: str, line_no: str, line: str) -> DataFr
     return flagged.where(F.col("_header").isNull() | (F.col(line_no) != F.col("_header"))).drop("_header")
 
 
-def parse_digest(lines: DataFrame, line: str = "line") -> DataFrame:
+def parse_digest(lines: DataFrame, line: str = "line", bad: str = "error") -> DataFrame:
     """Split digest lines into the 22 text fields; a single blank stays a value.
 
-    A line with fewer or more fields fails the job.
+    A line with fewer or more fields fails the job, or with ``bad='keep'`` is kept whole in
+    column ``_corrupt``, which is null for all others.
     """
-    ddl = ", ".join(f"`{n}` string" for n in DIGEST_FIELDS)
+    options = {k: v for k, v in _line_options(bad).items() if k != "columnPruning"}
+    names = DIGEST_FIELDS if bad == "error" else [*DIGEST_FIELDS, CORRUPT]
     rest = [c for c in lines.columns if c != line]
-    fields = F.from_csv(F.col(line), ddl, {"mode": "FAILFAST"})
+    fields = F.from_csv(F.col(line), ", ".join(f"`{n}` string" for n in names), options)
     return lines.withColumn("_f", fields).select(*rest, "_f.*")
 
 
-def write_digest(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Digest lines as UTF-8 text, one folder per station and month, in line order."""
+@dataclass(frozen=True)
+class Quarantined:
+    """Whole lines and rejected ones (data_id, period, line), and how many of each there are."""
+
+    kept: DataFrame
+    rejects: DataFrame
+    n_kept: int
+    rejected: int
+
+
+def quarantine(fields: DataFrame) -> Quarantined:
+    """Part rows that were read with ``bad='keep'``, and count both sides, in one pass over the source."""
+    spark, path, counts = fields.sparkSession, scratch_path(fields.sparkSession, "quarantine"), Observation()
+    marked = fields.withColumn("rejected", F.col(CORRUPT).isNotNull())
+    told = marked.observe(counts, F.count_if(~F.col("rejected")).alias("kept"), F.count_if("rejected").alias("rejected"))
+    told.write.partitionBy("rejected").parquet(path)
+    found = spark.read.schema(marked.schema).parquet(path)
+    names = [c for c in ("file_name", "data_id", "period") if c in fields.columns]
+    return Quarantined(
+        found.where(~F.col("rejected")).drop(CORRUPT, "rejected"),
+        found.where("rejected").select(*names, F.col(CORRUPT).alias("line")),
+        counts.get["kept"],
+        counts.get["rejected"],
+    )
+
+
+def write_digest(lines: DataFrame, path: str, mode: str = "overwrite", file_rows: int = FILE_ROWS) -> None:
+    """Digest lines as Parquet by month, clustered by station, so that files grow with the rows and
+    not with the number of stations. ``line_no`` keeps the order of a station's lines."""
     named = lines.select(*name_parts(F.col("file_name")), "line_no", "line")
-    ordered = named.repartition("data_id", "period").sortWithinPartitions("data_id", "period", "line_no")
-    ordered.drop("line_no").write.partitionBy("data_id", "period").mode(mode).text(path)
+    ordered = named.repartitionByRange("period", "data_id").sortWithinPartitions("period", "data_id", "line_no")
+    ordered.write.partitionBy("period").option("maxRecordsPerFile", file_rows).mode(mode).parquet(path)
 
 
-def read_digest(spark: SparkSession, path: str) -> DataFrame:
+def read_digest(spark: SparkSession, path: str, bad: str = "error") -> DataFrame:
     """All digest files below ``path`` as (22 text fields, data_id, period).
 
-    Station and period come from the file name. A line that has not 22 fields fails the job.
+    Station and period come from the file name; of several issues of a month the newest is read.
+    A line that has not 22 fields fails the job, or is kept in ``_corrupt``.
     """
-    files = spark.read.schema(DIGEST_SCHEMA).options(**WHOLE_LINES).option("pathGlobFilter", "*.csv").csv(path)
-    return files.select("*", *name_parts(F.col("_metadata.file_name")))
+    schema = DIGEST_SCHEMA if bad == "error" else text_schema([*DIGEST_FIELDS, CORRUPT])
+    files = spark.read.schema(schema).options(**_line_options(bad)).option("pathGlobFilter", "*.csv").csv(path)
+    named = files.select("*", F.col("_metadata.file_name").alias("file_name"))
+    return _of_newest(named, path).select(*schema.names, *name_parts(F.col("file_name")))
 
 
-def read_digest_folders(spark: SparkSession, path: str) -> DataFrame:
-    """The layout of ``write_digest``: station and period are partition columns."""
-    lines = spark.read.schema("value string, data_id string, period string").text(path)
-    return parse_digest(lines.withColumnRenamed("value", "line"))
+def read_digest_folders(spark: SparkSession, path: str, bad: str = "error") -> DataFrame:
+    """The layout of ``write_digest``: the period is a partition column."""
+    lines = spark.read.schema("data_id string, line string, period string").parquet(path)
+    return parse_digest(lines, bad=bad)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, bad: str = "error") -> DataFrame:
     """Raw bulletins below ``path`` as the rows of ``read_digest``, with nothing written between."""
-    fields = parse_digest(digest(read_bulletins(spark, path)))
-    return fields.select(*DIGEST_FIELDS, *name_parts(F.col("file_name")))
+    fields = parse_digest(digest(_of_newest(read_bulletins(spark, path), path)), bad=bad)
+    kept = [c for c in fields.columns if c in (*DIGEST_FIELDS, CORRUPT)]
+    return fields.select(*kept, *name_parts(F.col("file_name")))
 
 
 #: What a folder of bulletins may hold: raw files, digest files, or the folders of ``write_digest``.

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from petrichor.operators.joins import drop_existing
+from petrichor.operators.joins import drop_existing, touched_partitions
 from petrichor.schemas import LABEL, STAMP
+from petrichor.session import materialize
 
 
 def read_dim(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -68,16 +69,21 @@ def _absent(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def table_exists(spark: SparkSession, source: str) -> bool:
-    if not is_path(source):
-        return spark.catalog.tableExists(source)
+def path_absent(spark: SparkSession, path: str, kind: str) -> bool:
+    """Whether there is nothing at ``path`` for the reader of this kind."""
     try:
-        spark.read.parquet(source)
+        spark.read.format(kind).load(path)
     except AnalysisException as error:
         if _absent(error):
-            return False
+            return True
         raise
-    return True
+    return False
+
+
+def table_exists(spark: SparkSession, source: str) -> bool:
+    if not is_path(source):
+        return spark.catalog.tableExists(source)
+    return not path_absent(spark, source, "parquet")
 
 
 def stamped(df: DataFrame, day: dt.date | None = None) -> DataFrame:
@@ -92,12 +98,22 @@ def append_new(
     day: dt.date | None = None,
     match: str = "pair",
     partition_by: list[str] | None = None,
+    prune_by: list[str] | None = None,
 ) -> bool:
-    """Append the rows whose key the table does not hold; says whether there were any."""
+    """Append the rows whose key the table does not hold; says whether there were any.
+
+    ``prune_by`` names partition columns whose values follow from the key, as a month does from
+    a date: then the table is only read in the partitions that the delivery touches. The delivery is
+    evaluated once.
+    """
     spark = df.sparkSession
     fresh = stamped(df, day)
     if table_exists(spark, target):
-        fresh = drop_existing(fresh, read_table(spark, target), keys, match)
+        delivery = materialize(fresh, "delivery")
+        held = read_table(spark, target)
+        if prune_by:
+            held = touched_partitions(held, delivery, prune_by)
+        fresh = drop_existing(delivery, held, keys, match)
         if fresh.isEmpty():
             return False
     write_table(fresh, target, "append", partition_by)

@@ -2,8 +2,8 @@
 
 The log is append-only: each micro-batch owns one folder and rewrites it when it is replayed,
 so a restart neither loses nor doubles rows. A refreshed bulletin arrives under a new file name
-and its rows supersede the older ones on reading. Labels are computed on reading too, since a
-late day changes the label of the day before it.
+and its rows supersede the older ones on reading. A late day changes the label of the day before
+it, so labels are computed on reading, or kept in a table whose touched months each batch renews.
 """
 
 from __future__ import annotations
@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from petrichor.operators.joins import touched_partitions
 from petrichor.operators.windows import first_per_group
 from petrichor.plans.daily import label_rain, located, typed
 from petrichor.schemas import DAILY_COLUMNS, DIGEST_SCHEMA
-from petrichor.sources.bulletins import WHOLE_LINES, name_parts
+from petrichor.session import materialize
+from petrichor.sources.bulletins import WHOLE_LINES, issue_of, name_parts, newest_first
 
 
 def digest_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
@@ -30,11 +32,11 @@ def digest_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
-    third = F.split_part(F.col("_metadata.file_name"), F.lit("."), F.lit(3))
+    name = F.col("_metadata.file_name")
     return files.select(
         "*",
-        *name_parts(F.col("_metadata.file_name")),
-        F.when(third == "csv", "").otherwise(third).alias("issue"),
+        *name_parts(name),
+        issue_of(name).alias("issue"),
         F.col("_metadata.file_modification_time").alias("arrived"),
     )
 
@@ -59,18 +61,21 @@ def write_log(stream: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def current_observations(spark: SparkSession, log: str) -> DataFrame:
+def newest_rows(rows: DataFrame) -> DataFrame:
     """The newest row of each station and day.
 
     A refreshed bulletin carries a stamp in its name; the later stamp counts, then the later file,
     then the later batch. So a bulletin and its refresh may arrive together, and all days of a
     bulletin come from one file.
     """
-    rows = spark.read.parquet(log)
     ages = [c for c in ("issue", "arrived", "batch_id") if c in rows.columns]
     measures = [c for c in rows.columns if c not in ("data_id", "period", "Date", *ages)]
-    newest = first_per_group(rows, ["data_id", "period", "Date"], [*[F.desc(c) for c in ages], *measures])
-    return newest.drop(*ages)
+    order = [o for c in ages for o in (newest_first(c) if c == "issue" else [F.desc(c)])]
+    return first_per_group(rows, ["data_id", "period", "Date"], [*order, *measures]).drop(*ages)
+
+
+def current_observations(spark: SparkSession, log: str) -> DataFrame:
+    return newest_rows(spark.read.parquet(log))
 
 
 def labelled_observations(
@@ -79,3 +84,63 @@ def labelled_observations(
     """The daily table as of now."""
     rows = located(current_observations(spark, log), dim, unknown)
     return label_rain(rows, label_scope).select(*DAILY_COLUMNS)
+
+
+#: Groups of stations that a month of the labelled table is parted into.
+BUCKETS = 16
+_PARTS = ["period", "bucket"]
+
+
+def _months_around(parts: DataFrame, *shifts: int) -> DataFrame:
+    """The given (period, bucket) and those some months before or after."""
+    month = F.add_months(F.to_date("period", "yyyyMM"), F.col("shift"))
+    shifted = parts.withColumn("shift", F.explode(F.array(*map(F.lit, shifts))))
+    return shifted.select(F.date_format(month, "yyyyMM").alias("period"), "bucket").distinct()
+
+
+def write_labelled(
+    stream: DataFrame,
+    log: str,
+    table: str,
+    checkpoint: str,
+    dim: DataFrame,
+    label_scope: str = "file",
+    unknown: str = "error",
+    buckets: int = BUCKETS,
+) -> StreamingQuery:
+    """Keep a labelled daily table up to date with what has arrived, and stop.
+
+    The log and the table are partitioned by month and group of stations. A batch is logged first;
+    then the parts it has rows in are read back from the log, labelled anew and put in place of
+    the old ones, so a late day changes the label of the day before it, also if that came in an
+    earlier batch. With ``label_scope='location'`` the month before is labelled anew too, and the
+    month after is looked at. All other parts stay as they are. A batch that is replayed ends the same.
+    """
+    if label_scope not in ("file", "location"):
+        raise ValueError(f"unknown label scope {label_scope!r}")
+    shifts = {"file": ((0,), (0,)), "location": ((-1, 0), (-1, 0, 1))}[label_scope]
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64("data_id"), F.lit(buckets))
+        rows = typed(batch).withColumns({"bucket": bucket, "batch_id": F.lit(batch_id)})
+        dynamic = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dynamic.partitionBy(*_PARTS, "batch_id").parquet(log)
+        logged = spark.read.schema(rows.schema).parquet(log)
+        # Partition columns alone: at most as many rows as there are months and groups of stations.
+        parts = materialize(logged.where(F.col("batch_id") == batch_id).select(*_PARTS).distinct(), "touched")
+        if parts.isEmpty():
+            return
+        renewed, seen = (materialize(_months_around(parts, *s), "months") for s in shifts)
+        held = newest_rows(touched_partitions(logged, seen, _PARTS))
+        labelled = touched_partitions(label_rain(located(held, dim, unknown), label_scope), renewed, _PARTS)
+        # A month stands in few files, however many tasks have labelled it.
+        out = labelled.select(*DAILY_COLUMNS, *_PARTS).repartition(*_PARTS)
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_PARTS).parquet(table)
+
+    return (
+        stream.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -1,19 +1,25 @@
 """Tables, registry, composite jobs and the stream."""
 
 import datetime as dt
+import pathlib
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import weather_files as wf
+from petrichor.operators.dictionary import decoded, new_codes
 from petrichor.plans import jobs, registry, training
 from petrichor.plans.clean import clean
 from petrichor.plans.daily import daily_observations, station_dim
-from petrichor.schemas import CLEAN_KEYS, DATA_ID_SCHEMA, MAPPING_SCHEMA, STATION_SCHEMA
+from petrichor.operators import joins
+from petrichor.schemas import CLEAN_KEYS, DAILY_COLUMNS, DATA_ID_SCHEMA, MAPPING_SCHEMA, STATION_SCHEMA
 from petrichor.session import materialize, scratch_path, shared_dir
-from petrichor.sources import tables
+from petrichor.sources import ledger, tables
 from petrichor.sources.bulletins import digest, read_bulletins, read_digest, write_digest
-from petrichor.streaming.observations import current_observations, digest_stream, labelled_observations, write_log
+from petrichor.streaming.observations import current_observations, digest_stream, labelled_observations, write_labelled, write_log
 
 NAMES = {"ID1": "Albury", "ID2": "Ballarat"}
 PERIODS = ("202301", "202302", "202303")
@@ -102,12 +108,13 @@ def test_ingest_train_predict(spark, places, tmp_path):
     reg = registry.Registry(spark, str(tmp_path / "registry"))
     assert jobs.ingest(spark, table=table, day=dt.date(2025, 9, 6), **places)
     assert not jobs.ingest(spark, table=table, **places)
-    # 168 days, of which the last of each bulletin has no label yet.
-    assert tables.read_table(spark, table).count() == 162
+    # All 168 days are held; the last of each bulletin has no label yet.
+    assert tables.read_table(spark, table).count() == 168
+    assert jobs.warehouse(spark, table).where("RainTomorrow IS NOT NULL").count() == 162
     longer = wf.month("202303", 0) + [wf.line("2023-03-29", "9.0")]
     wf.write_digest_files(places["digest_path"], {("ID1", "202303"): longer})
     assert jobs.ingest(spark, table=table, **places)
-    late = tables.read_table(spark, table).where("Location = 'Albury' AND Date = '2023-03-28'").collect()
+    late = jobs.warehouse(spark, table).where("Location = 'Albury' AND Date = '2023-03-28'").collect()
     assert [r["RainTomorrow"] for r in late] == ["Yes"]
     assert jobs.train(spark, table, reg, numTrees=3, maxDepth=2, seed=42)
     cleaned = jobs.training_table(spark, table, balance=None)
@@ -162,7 +169,11 @@ def test_encoded_store_takes_a_new_location_once(spark, tmp_path):
     wf.write_digest_files(digest, {("ID1", p): wf.month(p, 0) for p in PERIODS})
     assert jobs.ingest(spark, day=dt.date(2025, 9, 7), **paths)
     assert not jobs.ingest(spark, **paths)
-    # Both locations have code 0 in their own runs; neither is taken for the other.
+    # The second location continues the codes of the first.
+    held = jobs.EncodedStore(spark, table)
+    assert sorted(map(tuple, held.mapping().collect())) == [("Albury", 1), ("Ballarat", 0)]
+    named = decoded(held.rows(), held.codes(), ["Location"]).groupBy("Location").count()
+    assert {r["Location"]: r["count"] for r in named.collect()} == {"Ballarat": alone, "Albury": held.rows().count() - alone}
     days = {r["ingestion_date"].day: r["n"] for r in tables.read_table(spark, table).groupBy("ingestion_date").agg(F.count("*").alias("n")).collect()}
     dim = station_dim(tables.read_dim(spark, stations, STATION_SCHEMA), tables.read_dim(spark, ids, DATA_ID_SCHEMA))
     whole = clean(daily_observations(read_digest(spark, str(digest)), dim), balance=None)
@@ -185,6 +196,159 @@ def test_every_layout_fills_the_same_warehouse(spark, tmp_path):
     assert stored["digest"] and stored["raw"] == stored["digest"] and stored["folders"] == stored["digest"]
 
 
+def encoded_paths(tmp_path, **more):
+    stations, ids = wf.write_dims(tmp_path / "dims", NAMES)
+    digest = tmp_path / "digest"
+    paths = dict(digest_path=str(digest), stations_path=stations, ids_path=ids, table=str(tmp_path / "encoded"), store="encoded", balance=None)
+    return digest, paths | more
+
+
+@pytest.mark.parametrize("step", ["codes", "rows", "days", "commit"])
+def test_a_load_that_fails_is_not_seen_and_runs_again(spark, tmp_path, monkeypatch, step):
+    digest, paths = encoded_paths(tmp_path)
+    wf.write_digest_files(digest, {("ID2", p): wf.month(p, 1) for p in PERIODS})
+    assert jobs.ingest(spark, **paths)
+    held = jobs.EncodedStore(spark, paths["table"])
+    before = (held.rows().count(), held.codes().count())
+    wf.write_digest_files(digest, {("ID1", p): wf.month(p, 0) for p in PERIODS})
+
+    class Crash(Exception):
+        pass
+
+    def crash(*args, **kwargs):
+        raise Crash
+
+    with monkeypatch.context() as m:
+        if step == "commit":
+            m.setattr(jobs.Ledger, "commit", crash)
+        elif step == "codes":
+            m.setattr(jobs.CodeBook, "encode", crash)
+        else:
+            write = jobs.write_table
+            m.setattr(jobs, "write_table", lambda df, target, *a, **k: crash() if target.endswith("_days") == (step == "days") else write(df, target, *a, **k))
+        with pytest.raises(Crash):
+            jobs.ingest(spark, **paths)
+    assert (held.rows().count(), held.codes().count()) == before
+    assert jobs.ingest(spark, **paths) and not jobs.ingest(spark, **paths)
+    assert sorted(map(tuple, held.mapping().collect())) == [("Albury", 1), ("Ballarat", 0)]
+    other, whole = encoded_paths(tmp_path, table=str(tmp_path / "whole"))
+    assert jobs.ingest(spark, **whole)
+    assert held.rows().count() == jobs.EncodedStore(spark, whole["table"]).rows().count()
+
+
+def test_a_load_starts_over_when_another_was_faster(spark, tmp_path, monkeypatch):
+    digest, paths = encoded_paths(tmp_path)
+    wf.write_digest_files(digest, {("ID2", p): wf.month(p, 1) for p in PERIODS})
+    commit, calls = jobs.Ledger.commit, []
+
+    def late(self, seen, load):
+        calls.append(load)
+        if len(calls) == 1:  # the same days are loaded by someone else meanwhile
+            assert jobs.ingest(spark, **paths)
+        return commit(self, seen, load)
+
+    monkeypatch.setattr(jobs.Ledger, "commit", late)
+    assert not jobs.ingest(spark, **paths)
+    held = jobs.EncodedStore(spark, paths["table"])
+    assert held.ledger.loads().count() == 1 and len(calls) == 2
+    assert held.rows().count() == held.rows().select(*CLEAN_KEYS).distinct().count()
+
+
+@pytest.mark.parametrize("by, small", [("first", True), ("alphabet", True), ("first", False), ("alphabet", False)])
+def test_new_codes_continue_from_the_highest(spark, monkeypatch, by, small):
+    if not small:
+        monkeypatch.setattr("petrichor.operators.dictionary.is_small", lambda df: False)
+    held = spark.createDataFrame([("a", "x", 0), ("a", "y", 3), ("c", "z", 0)], "column string, value string, code int")
+    rows = spark.createDataFrame([(1, "q", "n"), (2, "x", None), (3, "b", "m"), (4, "q", "n")], "t int, a string, b string")
+    got = {(r["column"], r["value"]): r["code"] for r in new_codes(held, rows, ["a", "b"], ["t"], by).collect()}
+    want = {"first": {("a", "q"): 4, ("a", "b"): 5, ("b", "n"): 0, ("b", "m"): 1}, "alphabet": {("a", "b"): 4, ("a", "q"): 5, ("b", "m"): 0, ("b", "n"): 1}}
+    assert got == want[by]
+
+
+def test_exclusive_numbers(spark, tmp_path):
+    folder = f"file://{tmp_path}/numbers"
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: ledger.next_number(spark, folder, 0, "x"), range(40)))
+    assert sorted(got) == list(range(1, 41))
+    book = ledger.Ledger(spark, str(tmp_path / "loads"))
+    assert book.begin()[0] == 0
+    book.commit(0, "first")
+    with pytest.raises(ledger.Conflict):
+        book.commit(0, "second")
+    ledger.create_exclusive(spark, str(tmp_path / "loads" / f"{2:012d}"), "")  # left by a crash
+    assert [tuple(r) for r in book.loads().collect()] == [(1, "first")]
+
+
+def test_refresh_beside_the_original_is_read_once(spark, places, tmp_path):
+    folder = places["digest_path"]
+    wf.write_digest_files(folder, {("ID1", f"202303.refresh{k}"): wf.month("202303", 0, days=k)[: k + 2] for k in (2, 9, 10)})
+    rows = read_digest(spark, folder).where("data_id = 'ID1' and period = '202303'")
+    assert rows.count() == 10
+    table = str(tmp_path / "warehouse")
+    assert jobs.ingest(spark, table=table, **places)
+    assert jobs.warehouse(spark, table).where("Location = 'Albury' and Date >= '2023-03-01'").count() == 10
+
+
+def test_malformed_lines_go_to_the_reject_table(spark, tmp_path):
+    stations, ids = wf.write_dims(tmp_path / "dims", NAMES)
+    good = wf.month("202301", 0)
+    bad = ["a,b,c", good[0] + ",x,y"]
+    for layout in ("digest", "raw", "folders"):
+        months = {("ID1", "202301"): [*good[:5], bad[0], *good[5:], bad[1]]}
+        if layout == "digest":
+            wf.write_digest_files(tmp_path / layout, months)
+        else:
+            wf.write_bulletins(tmp_path / "raw", months)
+        if layout == "folders":
+            write_digest(digest(read_bulletins(spark, str(tmp_path / "raw"))), str(tmp_path / "folders"))
+        paths = dict(digest_path=str(tmp_path / layout), stations_path=stations, ids_path=ids, table=str(tmp_path / f"t_{layout}"), layout=layout)
+        with pytest.raises((PySparkException, Py4JJavaError), match="MALFORMED"):
+            jobs.ingest(spark, **paths)
+        rejects = str(tmp_path / f"rejects_{layout}")
+        assert jobs.ingest(spark, rejects_path=rejects, **paths)
+        assert jobs.warehouse(spark, paths["table"]).count() == 28
+        assert sorted(tuple(r)[:3] for r in tables.read_table(spark, rejects).select("data_id", "period", "line").collect()) == [
+            ("ID1", "202301", x) for x in sorted(bad)
+        ]
+
+
+def test_digest_files_do_not_grow_with_the_stations(spark, tmp_path):
+    lines = spark.range(2000).select(
+        F.format_string("S%d.20230%d.csv", F.col("id") % 500, 1 + F.col("id") % 2).alias("file_name"),
+        F.col("id").cast("int").alias("line_no"), F.lit(",".join(["", "2023-01-01"] + ["1"] * 20)).alias("line"),
+    )
+    write_digest(lines, str(tmp_path / "d"), file_rows=300)
+    files = [p for p in (tmp_path / "d").rglob("*.parquet")]
+    assert len(files) <= 8 + 2 + 2000 // 300 and {p.parent.name for p in files} == {"period=202301", "period=202302"}
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 2000
+
+
+def test_only_touched_months_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = lambda m, d: dt.date(2023, m, d)
+    make = lambda days: spark.createDataFrame([("x", d) for d in days], "k string, Date date").withColumns(
+        {"Year": F.year("Date"), "Month": F.month("Date")}
+    )
+    months = ["Year", "Month"]
+    add = lambda days: tables.append_new(make(days), path, ["k", "Date"], dt.date(2025, 9, 6), partition_by=months, prune_by=months)
+    assert add([day(m, d) for m in range(1, 13) for d in (1, 2)])
+    assert add([day(3, 2), day(3, 3)]) and not add([day(3, 1), day(3, 3)])
+    assert tables.read_table(spark, path).count() == 25
+    held = joins.touched_partitions(tables.read_table(spark, path), make([day(3, 1), day(4, 1)]), months)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :]
+    assert "Month#" in filters.split("]")[0] and held.inputFiles() and held.count() == 5
+    beyond = joins.touched_partitions(tables.read_table(spark, path), make([day(3, 1), day(4, 1)]), ["Month"], most=1)
+    assert beyond.count() == 5
+
+
+def test_touched_partitions_with_nulls(spark):
+    held = spark.createDataFrame([(1, "a"), (None, "a"), (2, None), (2, "b")], "p int, q string")
+    new = spark.createDataFrame([(None, "a"), (2, None)], "p int, q string")
+    assert {tuple(r) for r in joins.touched_partitions(held, new, ["p", "q"]).collect()} == {(None, "a"), (2, None)}
+    assert {tuple(r) for r in joins.touched_partitions(held, new, ["p"], most=1).collect()} == {(None, "a"), (2, None), (2, "b")}
+
+
 def test_latest_and_first_rows(spark):
     rows = spark.createDataFrame(
         [(0, 2023, 1, 5, 1.0), (0, 2023, 2, 1, 2.0), (0, 2022, 12, 31, 3.0), (1, 2023, 1, 1, 4.0)],
@@ -224,6 +388,34 @@ def test_stream_survives_restart_and_refresh(spark, places, tmp_path):
     assert len(rows) == 85 and rows[0]["RainTomorrow"] is None and rows[1]["RainTomorrow"] == "Yes"
 
 
+@pytest.mark.parametrize("scope", ["file", "location"])
+def test_a_late_day_renews_its_month_only(spark, places, tmp_path, scope):
+    log, table, checkpoint, folder = (str(tmp_path / x) for x in ("log", "table", "cp", "digest"))
+    dim = station_dim(
+        tables.read_dim(spark, places["stations_path"], STATION_SCHEMA),
+        tables.read_dim(spark, places["ids_path"], DATA_ID_SCHEMA),
+    )
+    run = lambda: write_labelled(digest_stream(spark, folder), log, table, checkpoint, dim, scope, buckets=2).awaitTermination()
+    files = lambda: {str(p.relative_to(table)): p.stat().st_mtime_ns for p in pathlib.Path(table).rglob("*.parquet")}
+    rows = lambda: sorted(map(tuple, spark.read.parquet(table).select(*DAILY_COLUMNS).collect()), key=repr)
+    want = lambda: sorted(map(tuple, daily_observations(read_digest(spark, folder), dim, scope).collect()), key=repr)
+    run()
+    assert rows() == want()
+    first = files()
+    run()
+    assert files() == first
+    longer = wf.month("202303", 0) + [wf.line("2023-03-29", "9.0")]
+    wf.write_digest_files(folder, {("ID1", "202303.refresh1"): longer})
+    run()
+    assert rows() == want()
+    albury = spark.read.parquet(table).where("Location = 'Albury' and Date = '2023-03-28'").first()
+    assert albury["RainTomorrow"] == "Yes"
+    changed = {f for f in set(first) ^ set(files())}
+    renewed = {"period=202303"} if scope == "file" else {"period=202302", "period=202303"}
+    assert changed and {f.split("/")[0] for f in changed} == renewed
+    assert all(files()[f] == first[f] for f in first if f.startswith("period=202301"))
+
+
 def test_stream_takes_the_refresh_of_one_batch(spark, places, tmp_path):
     log, checkpoint, folder = str(tmp_path / "log"), str(tmp_path / "cp"), places["digest_path"]
     refreshed = [wf.line("2023-03-01", "8.0"), wf.line("2023-03-02", "9.0")]
