@@ -368,6 +368,23 @@ def i5_draw(spark, sf):
     return class_counts(oversample(Tables(spark, sf).labels, "toxic", ["doc_id"], "draw"), "toxic")
 
 
+@query(
+    "i5_draws_row_by_row",
+    """
+    WITH n AS (SELECT count(*) FILTER (toxic = 0) AS n0, count(*) FILTER (toxic = 1) AS n1 FROM labels),
+         p AS (SELECT *, row_number() OVER (ORDER BY ('0x' || substr(md5('123|' || doc_id), 1, 15))::BIGINT, doc_id) - 1 AS pos
+               FROM labels WHERE toxic = 1)
+    SELECT doc_id, toxic, quality FROM labels WHERE toxic = 0
+    UNION ALL
+    SELECT doc_id, toxic, quality FROM n, LATERAL (SELECT unnest(range(n0)) AS slot) s
+    JOIN p ON pos = ('0x' || substr(md5('123|' || slot), 1, 15))::BIGINT % n1
+    """,
+)
+def i5_drawn_rows(spark, sf):
+    """Every draw is an md5 of its number, so SQL draws the same rows."""
+    return oversample(Tables(spark, sf).labels, "toxic", ["doc_id"], "draw").select("doc_id", "toxic", "quality")
+
+
 @query(
     "i5_balance_many_classes_of_rows",
     """

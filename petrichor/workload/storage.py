@@ -49,6 +49,26 @@ def s8(spark, sf):
     return read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", STAMP)
 
 
+@query(
+    "s8_j4_append_touched_months",
+    """
+    SELECT o_orderkey, o_orderdate, o_totalprice, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,
+           CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN DATE '2025-09-06' ELSE DATE '2025-09-07' END AS ingestion_date
+    FROM orders WHERE o_orderdate < TIMESTAMP '1997-02-01'
+    """,
+)
+def s8_months(spark, sf):
+    """Orders by month. The second delivery overlaps the first by three months, and only these are
+    looked up in what is held."""
+    orders = Tables(spark, sf).orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    orders = orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    path, months = scratch_path(spark, "warehouse"), ["year", "month"]
+    before = lambda day: F.col("o_orderdate") < F.lit(day).cast("timestamp_ntz")
+    for rows, day in ((orders.where(before("1997-01-01")), 6), (orders.where(~before("1996-10-01") & before("1997-02-01")), 7)):
+        append_new(rows, path, ["o_orderkey", "o_orderdate"], dt.date(2025, 9, day), partition_by=months, prune_by=months)
+    return read_table(spark, path).select(*orders.columns, STAMP)
+
+
 @query("s9_replace_table", "SELECT s_suppkey, s_acctbal FROM supplier WHERE s_acctbal > 0")
 def s9(spark, sf):
     rows, path = Tables(spark, sf).supplier.select("s_suppkey", "s_acctbal"), scratch_path(spark, "table")

@@ -5,18 +5,21 @@ Each user stands for a station and each day with events for one line of its mont
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from petrichor.operators.dictionary import decoded
 from petrichor.operators.profile import correlation_matrix
+from petrichor.plans import jobs
 from petrichor.plans.clean import clean
 from petrichor.plans.daily import daily_observations
 from petrichor.schemas import CAPPED_COLUMNS, CLEAN_COLUMNS, DAILY_COLUMNS, DIGEST_FIELDS, MEASURES, WIND_DIRECTIONS
 from petrichor.session import scratch_path
-from petrichor.sources.bulletins import digest, name_parts, parse_digest
-from petrichor.sources.bulletins import read_digest_folders, write_digest
+from petrichor.sources.bulletins import digest, name_parts, parse_digest, read_digest, write_files
+from petrichor.sources.bulletins import quarantine, read_digest_folders, write_digest
+from petrichor.sources.tables import write_csv
 from petrichor.functions.text import cp1252_text
-from petrichor.streaming.observations import labelled_observations, write_log
+from petrichor.streaming.observations import digest_stream, labelled_observations, write_labelled, write_log
 from petrichor.workload.base import Tables, query
 
 COMPASS = ["N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE", "S", "SSW", "SW", "WSW", "W", "WNW", "NW", "NNW"]
@@ -168,6 +171,134 @@ def x1(spark, sf):
     return labelled_observations(spark, log, known, unknown="drop")
 
 
+def _odd(name: str = "file_name") -> Column:
+    """Whether a bulletin is that of a station with an odd number."""
+    return F.regexp_extract(name, r"^ST(\d+)", 1).cast("long") % 2 == 1
+
+
+def _stale(content: Column, sep: str, head: int) -> Column:
+    """A bulletin as issued earlier in its month: the first half of its lines."""
+    lines = F.split(content, sep)
+    days = F.size(lines) - head - 1
+    return F.concat(F.array_join(F.slice(lines, F.lit(1), F.ceil(days / 2).cast("int") + head), sep), F.lit(sep))
+
+
+def _refresh(files: DataFrame) -> DataFrame:
+    return files.withColumn("file_name", F.replace("file_name", F.lit(".csv"), F.lit(".refresh1.csv")))
+
+
+def _as_bytes(files: DataFrame) -> DataFrame:
+    """Bulletins as they are delivered, in Windows-1252; their texts have no other letters than Latin-1."""
+    return files.withColumn("content", F.encode("content", "ISO-8859-1"))
+
+
+def _delivery(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """What arrives first, bulletins of odd stations still incomplete, and the refreshes that follow."""
+    whole = bulletins(spark, sf)
+    early = F.when(_odd(), _stale(F.col("content"), "\r\n", 3)).otherwise(F.col("content"))
+    return whole.withColumn("content", early), _refresh(whole.where(_odd()))
+
+
+def _dims(spark: SparkSession, sf: str, path: str) -> dict[str, str]:
+    """Stations and their data ids as the CSV tables that loads read."""
+    known = stations(spark, sf).withColumn("id", F.substring("data_id", 3, 20))
+    write_csv(known.select(F.col("id").alias("Code"), "Location", F.lit("").alias("Climat")), f"{path}/stations")
+    write_csv(known.select(F.col("id").alias("station_id"), "data_id"), f"{path}/ids")
+    return {"stations_path": f"{path}/stations", "ids_path": f"{path}/ids", "unknown": "drop"}
+
+
+@query("k1_s1_s5_refreshed_bulletins", DAILY_SQL)
+def k1_refreshed(spark, sf):
+    """Bulletin files, loaded when odd stations have half their month, and again with the refreshes
+    beside them; labels follow from the days held in the end."""
+    path = scratch_path(spark, "load")
+    dims, first, later = _dims(spark, sf, path), *_delivery(spark, sf)
+    options = dict(digest_path=f"{path}/raw", layout="raw", table=f"{path}/daily", **dims)
+    for arrived in (first, later):
+        write_files(_as_bytes(arrived), f"{path}/raw")
+        jobs.ingest(spark, **options)
+    return jobs.warehouse(spark, f"{path}/daily")
+
+
+@query("s3_s5_daily_from_csv_files", DAILY_SQL)
+def s3_files(spark, sf):
+    """Digest files beside their refreshes, of which the newest counts."""
+    path = scratch_path(spark, "digest")
+    for arrived in _delivery(spark, sf):
+        write_files(_digest_files(arrived), path)
+    return daily_observations(read_digest(spark, path), stations(spark, sf), unknown="drop")
+
+
+def _digest_files(files: DataFrame) -> DataFrame:
+    """Bulletins (file_name, content) as digest files: the data lines alone, as UTF-8 bytes."""
+    lines = digest(files).groupBy("file_name").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("l"))
+    return lines.select("file_name", F.encode(F.concat(F.array_join("l.line", "\n"), F.lit("\n")), "UTF-8").alias("content"))
+
+
+@query("x1_labels_renewed_by_late_days", DAILY_SQL)
+def x1_renewed(spark, sf):
+    """A stream of digest files; the second delivery brings the rest of the month of odd stations."""
+    path, known = scratch_path(spark, "arrivals"), stations(spark, sf)
+    for arrived in _delivery(spark, sf):
+        write_files(_digest_files(arrived), f"{path}/in")
+        arriving = digest_stream(spark, f"{path}/in")
+        write_labelled(arriving, f"{path}/log", f"{path}/daily", f"{path}/checkpoint", known, unknown="drop").awaitTermination()
+    return spark.read.parquet(f"{path}/daily").select(*DAILY_COLUMNS)
+
+
+def _load_modes(column: str) -> str:
+    return f"""m_{column} AS (SELECT p, "{column}" AS v, row_number() OVER (PARTITION BY p ORDER BY count(*) DESC, "{column}") AS rn
+        FROM lab WHERE "{column}" IS NOT NULL GROUP BY p, "{column}")"""
+
+
+@query(
+    "k1_i6_encoded_store_across_loads",
+    f"""
+    WITH {DAYS_SQL},
+    lab AS (SELECT *, u % 2 AS p FROM daily WHERE "RainTomorrow" IS NOT NULL),
+    {", ".join(_load_modes(c) for c in WIND_DIRECTIONS)}
+    SELECT "Location", {", ".join(f'coalesce("{c}", m_{c}.v) AS "{c}"' for c in WIND_DIRECTIONS)},
+        year("Date")::INTEGER AS "Year", month("Date")::INTEGER AS "Month", day("Date")::INTEGER AS "Day",
+        CASE "RainToday" WHEN 'Yes' THEN 1 ELSE 0 END AS "RainToday", CASE "RainTomorrow" WHEN 'Yes' THEN 1 ELSE 0 END AS "RainTomorrow"
+    FROM lab {" ".join(f"JOIN m_{c} ON lab.p = m_{c}.p AND m_{c}.rn = 1" for c in WIND_DIRECTIONS)}
+    WHERE "WindSpeed9am" <> 'Calm' AND "WindSpeed3pm" <> 'Calm'
+    """,
+)
+def k1_encoded(spark, sf):
+    """Even stations are loaded first, odd ones later, with a stale issue of each beside its refresh;
+    both loads are read back through one code table."""
+    path = scratch_path(spark, "load")
+    dims, first, later = _dims(spark, sf, path), *_delivery(spark, sf)
+    options = dict(digest_path=f"{path}/raw", layout="raw", table=f"{path}/encoded", store="encoded", balance=None, **dims)
+    for arrived in (first.where(~_odd()), first.where(_odd()).unionByName(later)):
+        write_files(_as_bytes(arrived), f"{path}/raw")
+        jobs.ingest(spark, **options)
+    held = jobs.EncodedStore(spark, f"{path}/encoded")
+    named = ["Location", *WIND_DIRECTIONS]
+    return decoded(held.rows(), held.codes(), named).select(*named, "Year", "Month", "Day", "RainToday", "RainTomorrow")
+
+
+@query(
+    "s2_malformed_lines_set_aside",
+    """
+    WITH l AS (SELECT l_orderkey AS k, CASE l_partkey % 10 WHEN 0 THEN 3 WHEN 1 THEN 24 ELSE 22 END AS n FROM lineitem)
+    SELECT n AS fields, CASE n WHEN 22 THEN 'kept' ELSE 'rejected' END AS kind, count(*) AS rows, sum(k)::BIGINT AS keys,
+        (SELECT count(*) FILTER ((x.n = 22) = (l.n = 22)) FROM l AS x) AS counted
+    FROM l GROUP BY n
+    """,
+)
+def s2_quarantine(spark, sf):
+    """Every line item as a digest line of 22, or of too few or too many fields."""
+    n = F.when(F.col("l_partkey") % 10 == 0, 3).when(F.col("l_partkey") % 10 == 1, 24).otherwise(22)
+    line = F.concat(F.col("l_orderkey").cast("string"), F.repeat(F.lit(","), n - 1))
+    found = quarantine(parse_digest(Tables(spark, sf).lineitem.select(line.alias("line")), bad="keep"))
+    kept = found.kept.select(F.lit(22).alias("fields"), F.lit("kept").alias("kind"), F.col(DIGEST_FIELDS[0]).alias("k"), F.lit(found.n_kept).alias("counted"))
+    cells = F.split("line", ",")
+    rejects = found.rejects.select(F.size(cells).alias("fields"), F.lit("rejected").alias("kind"), cells[0].alias("k"), F.lit(found.rejected).alias("counted"))
+    both = kept.unionByName(rejects).groupBy("fields", "kind")
+    return both.agg(F.count("*").alias("rows"), F.sum(F.col("k").cast("long")).alias("keys"), F.max("counted").cast("long").alias("counted"))
+
+
 CLEAN_HASH = """('0x' || substr(md5('123|' || "Location" || '|' || "Date"::VARCHAR), 1, 15))::BIGINT"""
 
 
@@ -175,9 +306,21 @@ def _sql_list(template: str, cols: list[str], sep: str = ",\n") -> str:
     return sep.join(template.format(c=c) for c in cols)
 
 
-def clean_sql(balanced: bool) -> str:
-    """The whole clean job in SQL."""
-    if balanced:
+def clean_sql(balanced: bool, drawn: bool = False) -> str:
+    """The whole clean job in SQL; ``drawn`` resamples with replacement and reads the word Calm as no wind."""
+    calm = "" if drawn else """WHERE "WindSpeed9am" <> 'Calm' AND "WindSpeed3pm" <> 'Calm'"""
+    speed = lambda c: f"""CASE "{c}" WHEN 'Calm' THEN '0' ELSE "{c}" END""" if drawn else f'"{c}"'
+    if drawn:
+        draw = "('0x' || substr(md5('123|' || slot), 1, 15))::BIGINT"
+        source = f"""
+        cnt AS (SELECT count(*) FILTER ("RainTomorrow" = 0) AS n0, count(*) FILTER ("RainTomorrow" = 1) AS n1 FROM lab),
+        pool AS (SELECT *, row_number() OVER (ORDER BY {CLEAN_HASH}) - 1 AS pos FROM lab WHERE "RainTomorrow" = 1),
+        bal AS (SELECT * , 0 AS copy FROM lab WHERE "RainTomorrow" = 0
+                UNION ALL
+                SELECT pool.* EXCLUDE (pos), 1 AS copy
+                FROM cnt, LATERAL (SELECT unnest(range(n0)) AS slot) s JOIN pool ON pos = {draw} % n1)
+        """
+    elif balanced:
         source = f"""
         cnt AS (SELECT count(*) FILTER ("RainTomorrow" = 0) AS n0, count(*) FILTER ("RainTomorrow" = 1) AS n1 FROM lab),
         pool AS (SELECT *, row_number() OVER (ORDER BY {CLEAN_HASH}) - 1 AS pos FROM lab WHERE "RainTomorrow" = 1),
@@ -219,8 +362,9 @@ def clean_sql(balanced: bool) -> str:
         {_sql_list('coalesce("{c}", (SELECT v FROM m_{c})) AS "{c}"', WIND_DIRECTIONS)},
         "WindSpeed9am", "WindSpeed3pm", "RainToday", "RainTomorrow", "Year", "Month", "Day"
         FROM bal JOIN med USING ("Location") JOIN homes USING ("Location")),
-    whole AS (SELECT * REPLACE (try_cast("WindSpeed9am" AS DOUBLE) AS "WindSpeed9am", try_cast("WindSpeed3pm" AS DOUBLE) AS "WindSpeed3pm")
-              FROM filled WHERE "WindSpeed9am" <> 'Calm' AND "WindSpeed3pm" <> 'Calm'),
+    whole AS (SELECT * REPLACE (try_cast({speed("WindSpeed9am")} AS DOUBLE) AS "WindSpeed9am", try_cast({speed("WindSpeed3pm")} AS DOUBLE) AS "WindSpeed3pm")
+              FROM (SELECT * FROM filled {calm}) whole_rows
+              WHERE "WindSpeed9am" IS NOT NULL AND "WindSpeed3pm" IS NOT NULL),
     q AS (SELECT {_sql_list('quantile_cont("{c}", 0.25) AS "{c}_1", quantile_cont("{c}", 0.75) AS "{c}_3"', CAPPED_COLUMNS)} FROM whole),
     capped AS (SELECT whole.* REPLACE (
         {_sql_list('''CASE WHEN "{c}" < "{c}_1" - ("{c}_3" - "{c}_1") * 1.5 THEN "{c}_1" - ("{c}_3" - "{c}_1") * 1.5
@@ -245,6 +389,12 @@ def k1_clean_balanced(spark, sf):
     return _rounded(clean(weather(spark, sf), method="shuffled_cycle").table)
 
 
+@query("k1_i5_clean_drawn_row_by_row", clean_sql(True, drawn=True))
+def k1_clean_drawn_rows(spark, sf):
+    """The draws are hashes that SQL repeats, so the whole clean table is compared."""
+    return _rounded(clean(weather(spark, sf), calm="zero").table)
+
+
 @query("k1_clean_by_draw")
 def k1_clean_drawn(spark, sf):
     return clean(weather(spark, sf), calm="zero").table
