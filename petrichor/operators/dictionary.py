@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from petrichor.operators.joins import is_small
 from petrichor.operators.positions import Codes, encode, first_seen, ordered_positions
 from petrichor.session import materialize
-from petrichor.sources.ledger import LOAD, Ledger
-from petrichor.sources.tables import table_exists, write_table
+from petrichor.sources.ledger import LOAD, Ledger, write_load
+from petrichor.sources.tables import table_exists
 
 BOOK = f"column string, value string, code int, {LOAD} string"
 
@@ -60,7 +60,7 @@ class CodeBook:
     def extend(self, df: DataFrame, cols: list[str], order: list[str], load: str, by: str = "first") -> dict[str, Codes]:
         """Give codes to new values, write them, and return the codes of each column."""
         fresh = new_codes(self.table(), df, cols, order, by)
-        write_table(fresh.withColumn(LOAD, F.lit(load)), self.path, partition_by=[LOAD])
+        write_load(fresh, self.path, load)
         book = materialize(self.table(load), "book")
         return {c: Codes(own := book.where(F.col("column") == c).select("value", "code"), is_small(own)) for c in cols}
 

@@ -20,7 +20,7 @@ from petrichor.plans.training import balanced_split, champion_metrics, compare,
 from petrichor.schemas import CLEAN_KEYS, DAILY_COLUMNS, DATA_ID_SCHEMA, FOREST, LABEL, MIN_GAIN, STATION_SCHEMA, STAMP
 from petrichor.session import materialize
 from petrichor.sources.bulletins import READERS, quarantine
-from petrichor.sources.ledger import LOAD, Conflict, Ledger
+from petrichor.sources.ledger import LOAD, Conflict, Ledger, write_load
 from petrichor.sources.tables import (
     append_new,
     read_dim,
@@ -130,8 +130,8 @@ class EncodedStore:
             return False
         encoder = lambda rows, cols, order, by: self.book.encode(rows, cols, order, load, by)
         cleaned = clean(fresh, stage_input=False, encoder=encoder, **clean_options)
-        write_table(stamped(cleaned.table, day).withColumn(LOAD, F.lit(load)), self.path, partition_by=[LOAD])
-        write_table(fresh.select(*keys).withColumn(LOAD, F.lit(load)), days, partition_by=[LOAD])
+        write_load(stamped(cleaned.table, day), self.path, load)
+        write_load(fresh.select(*keys), days, load)
         self.ledger.commit(seen, load)
         return True
 
@@ -228,3 +228,26 @@ def predict_locations(
         percent_text(F.col("prediction")).alias("prediction_text"),
         F.lit(version).alias("model_version"),
     )
+
+
+def predict_registered(
+    clean_rows: DataFrame,
+    registry: Registry,
+    mapping: DataFrame,
+    by: str = "production",
+    version: str | None = None,
+    pick: str = "latest",
+) -> DataFrame:
+    """Rain tomorrow for every location by a registered version, with what is known of that version.
+
+    ``by`` and ``version`` choose it as ``pick_version`` does; a choice that names no version fails.
+    ``model_info`` is its row of the listing: name, version, status, creation date, run and metrics.
+    """
+    found = registry.pick(by, version)
+    if found is None:
+        raise LookupError(f"no version of {registry.name} for {by} {version or ''}".rstrip())
+    info = registry.info(found["version"])
+    metrics = F.struct(*[F.lit(v).cast("double").alias(k) for k, v in info["metrics"].asDict().items()])
+    told = [F.lit(info[c]).cast("string").alias(c) for c in ("name", "version", "status", "creation_date", "run_id")]
+    scored = predict_locations(clean_rows, PipelineModel.load(found["path"]), mapping, found["version"], pick)
+    return scored.withColumn("model_info", F.struct(*told, metrics.alias("metrics")))

@@ -10,12 +10,13 @@ import time
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from petrichor.functions.dates import epoch_ms_text
 from petrichor.operators.windows import first_per_group
 from petrichor.schemas import MODEL_NAME, VERSION_METRICS
+from petrichor.sources.ledger import next_number
 from petrichor.sources.tables import table_exists
 
 RUNS = "run_id string, status string, params map<string,string>, metrics map<string,double>, started_ms long"
@@ -93,10 +94,13 @@ class Registry:
         path = f"{self.root}/{table}"
         if not table_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        names = [c.split()[0] for c in schema.split(", ")]
+        return self.spark.read.schema(schema).parquet(path).select(*names)
 
     def _append(self, table: str, schema: str, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
+        """Each append has a folder of its own, so that writers do not share one job's temporary files."""
+        path = f"{self.root}/{table}/append=A{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
 
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS)
@@ -120,10 +124,13 @@ class Registry:
         report.coalesce(1).write.mode("overwrite").json(f"{self.root}/schemas/{run_id}")
 
     def register(self, model: PipelineModel, run_id: str) -> str:
-        """Save a model under the next version number."""
+        """Save a model under the next version number, which no other writer gets.
+
+        A number is taken before the model is saved; a run that fails in between leaves a gap.
+        """
         number = F.max(F.col("version").cast("int"))
         last = self._read("versions", VERSIONS).where(F.col("name") == self.name).agg(number).first()[0]
-        version = str((last or 0) + 1)
+        version = str(next_number(self.spark, f"{self.root}/numbers/{self.name}", last or 0, run_id))
         path = f"{self.root}/models/{self.name}/{version}-{run_id}"
         model.write().overwrite().save(path)
         self._append("versions", VERSIONS, [(self.name, version, int(time.time() * 1000), run_id, path)])
@@ -137,6 +144,14 @@ class Registry:
         rows = [(self.name, v, "Archived", now) for v in old] + [(self.name, version, "Production", now)]
         self._append("stages", STAGES, rows)
 
+    def pick(self, by: str = "production", version: str | None = None) -> Row | None:
+        """name, version, path and status of the version asked for, if there is one."""
+        return pick_version(self.versions(), self.runs(), by, version, self.name).first()
+
     def load(self, by: str = "production", version: str | None = None) -> PipelineModel | None:
-        found = pick_version(self.versions(), self.runs(), by, version, self.name).first()
+        found = self.pick(by, version)
         return PipelineModel.load(found["path"]) if found else None
+
+    def info(self, version: str) -> Row | None:
+        """The row of the listing for one version."""
+        return self.listing().where((F.col("name") == self.name) & (F.col("version") == version)).first()

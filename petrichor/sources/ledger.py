@@ -57,6 +57,11 @@ def next_number(spark: SparkSession, folder: str, last: int, text: str = "") ->
     return last + 1
 
 
+def write_load(rows: DataFrame, table: str, load: str) -> None:
+    """The rows of one load as a partition of the table; no two writers share a folder."""
+    rows.write.parquet(f"{table.rstrip('/')}/{LOAD}={load}")
+
+
 class Ledger:
     """The loads that are complete, one small file each, below one folder."""
 
@@ -74,7 +79,7 @@ class Ledger:
     def begin(self) -> tuple[int, str]:
         """The number of the last load seen, and an id for the next one."""
         last = self.loads().agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
-        return last, uuid.uuid4().hex
+        return last, f"L{uuid.uuid4().hex}"
 
     def commit(self, seen: int, load: str) -> int:
         """Make the load ``load`` visible, unless another one became visible since ``seen``."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from petrichor.operators.metrics import classification_metrics, regression_metrics
 from petrichor.plans.clean import Cleaned, clean
-from petrichor.plans.jobs import predict_locations, train_and_promote
+from petrichor.plans.jobs import ingest_and_train, predict_locations, predict_registered, train_and_promote, warehouse
 from petrichor.plans.registry import (
     Registry,
     current_versions,
@@ -33,7 +33,8 @@ from petrichor.operators.split import split
 from petrichor.schemas import BASELINE_FOREST, CLEAN_KEYS, FOLDS, FOREST, LABEL, TREE_GRID
 from petrichor.session import materialize, scratch_path
 from petrichor.workload.base import Tables, query
-from petrichor.workload.weather import weather
+from petrichor.sources.bulletins import write_files
+from petrichor.workload.weather import DAYS_SQL, delivered_whole, load_dims, weather
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,6 +201,88 @@ def m8(spark, sf):
     )
 
 
+@query(
+    "m6_rmse_contest",
+    """
+    WITH s AS (SELECT m.model, avg(power(toxic - CASE m.model WHEN 'new' THEN quality / 4e0 WHEN 'old' THEN quality / 2e0 ELSE doc_id % 2 END, 2)) AS mse
+               FROM labels, (VALUES ('new'), ('old'), ('poor')) m(model) GROUP BY m.model),
+    r AS (SELECT model, sqrt(mse) AS rmse FROM s),
+    p AS (SELECT a.model AS challenger, b.model AS champion, a.rmse AS n, b.rmse AS o FROM r a JOIN r b ON a.model <> b.model)
+    SELECT challenger, champion, round(n, 6) AS new_score, round(o, 6) AS previous_score, round((o - n) / o, 6) AS improvement,
+           (o - n) / o > 0.01 AS promote FROM p
+    """,
+)
+def m6_contest(spark, sf):
+    """Every pair of three models: one is promoted over another if its error is lower by over one percent."""
+    labels = Tables(spark, sf).labels
+    guess = {"new": F.col("quality") / 4, "old": F.col("quality") / 2, "poor": (F.col("doc_id") % 2).cast("double")}
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), p.alias("prediction")) for m, p in guess.items()]))
+    scored = labels.select("toxic", each.alias("g")).select("toxic", "g.*")
+    measured = materialize(regression_metrics(scored, "toxic", "prediction", ["model"]), "errors")
+    out = None
+    for new in guess:
+        for old in guess:
+            if new != old:
+                one = compare(measured, new, old, measure="rmse").select(F.lit(new).alias("challenger"), F.lit(old).alias("champion"), "*")
+                out = one if out is None else out.unionByName(one)
+    rounded = [F.round(c, 6).alias(c) for c in ("new_score", "previous_score", "improvement")]
+    return out.select("challenger", "champion", *rounded, "promote")
+
+
+_SCORED_LOCATIONS = f"""
+    WITH {DAYS_SQL},
+    places AS (SELECT DISTINCT "Location" FROM daily
+               WHERE "RainTomorrow" IS NOT NULL AND "WindSpeed9am" <> 'Calm' AND "WindSpeed3pm" <> 'Calm')
+"""
+
+
+@query(
+    "k4_predictions_with_their_model",
+    f"""
+    {_SCORED_LOCATIONS}
+    SELECT "Location" AS "Location_Name", choice, version AS model_version, status, true AS known, true AS measured
+    FROM places, (VALUES ('production', '1', 'Production'), ('version', '2', 'None'), ('latest', '2', 'None')) v(choice, version, status)
+    """,
+)
+def k4_registered(spark, sf):
+    """Each location by the production version, by a given one and by the latest, with their listing rows."""
+    cleaned, registry = _features(spark, sf), Registry(spark, scratch_path(spark, "registry"))
+    train, test = split(cleaned.table, CLEAN_KEYS)
+    model = train_forest(train, **FOREST)
+    own = champion_metrics({"forest": model}, test).drop("model").first().asDict()
+    for _ in range(2):
+        registry.register(model, registry.log_run(FOREST, own))
+    registry.promote("1")
+    out = None
+    for by, version in (("production", None), ("version", "2"), ("latest", None)):
+        one = predict_registered(cleaned.table, registry, cleaned.mapping, by, version).select(
+            "Location_Name", F.lit(by).alias("choice"), "model_version", "model_info.status",
+            (F.col("prediction").isin(0.0, 1.0) & (F.col("will_rain") == (F.col("prediction") == 1))).alias("known"),
+            (F.col("model_info.metrics.f1_score").between(0, 1) & (F.col("model_info.version") == F.col("model_version"))).alias("measured"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(
+    "k3_m12_ingest_and_train",
+    f"""
+    WITH {DAYS_SQL}
+    SELECT '1' AS version, 'Production' AS status, 'FINISHED' AS run, (SELECT count(*) FROM daily) AS days,
+           (SELECT count(*) FROM daily WHERE "RainTomorrow" IS NOT NULL) AS labelled
+    """,
+)
+def k3(spark, sf):
+    """Bulletin files to the warehouse and a first model in production, in one call."""
+    path = scratch_path(spark, "job")
+    write_files(delivered_whole(spark, sf), f"{path}/raw")
+    registry, table = Registry(spark, f"{path}/registry"), f"{path}/daily"
+    ingest_and_train(spark, registry, table, digest_path=f"{path}/raw", layout="raw", **load_dims(spark, sf, path))
+    held = warehouse(spark, table).agg(F.count("*").alias("days"), F.count(LABEL).alias("labelled")).first()
+    listing = registry.listing().join(registry.runs().select("run_id", F.col("status").alias("run")), "run_id")
+    return listing.select("version", "status", "run", *[F.lit(held[c]).cast("long").alias(c) for c in ("days", "labelled")])
+
+
 def _features(spark, sf) -> Cleaned:
     """The clean weather table, balanced as in training and written once for the models to read."""
     cleaned = clean(weather(spark, sf))

@@ -192,6 +192,11 @@ def _as_bytes(files: DataFrame) -> DataFrame:
     return files.withColumn("content", F.encode("content", "ISO-8859-1"))
 
 
+def delivered_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """All bulletins as files: (file_name, content as bytes)."""
+    return _as_bytes(bulletins(spark, sf))
+
+
 def _delivery(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """What arrives first, bulletins of odd stations still incomplete, and the refreshes that follow."""
     whole = bulletins(spark, sf)
@@ -199,7 +204,7 @@ def _delivery(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return whole.withColumn("content", early), _refresh(whole.where(_odd()))
 
 
-def _dims(spark: SparkSession, sf: str, path: str) -> dict[str, str]:
+def load_dims(spark: SparkSession, sf: str, path: str) -> dict[str, str]:
     """Stations and their data ids as the CSV tables that loads read."""
     known = stations(spark, sf).withColumn("id", F.substring("data_id", 3, 20))
     write_csv(known.select(F.col("id").alias("Code"), "Location", F.lit("").alias("Climat")), f"{path}/stations")
@@ -212,7 +217,7 @@ def k1_refreshed(spark, sf):
     """Bulletin files, loaded when odd stations have half their month, and again with the refreshes
     beside them; labels follow from the days held in the end."""
     path = scratch_path(spark, "load")
-    dims, first, later = _dims(spark, sf, path), *_delivery(spark, sf)
+    dims, first, later = load_dims(spark, sf, path), *_delivery(spark, sf)
     options = dict(digest_path=f"{path}/raw", layout="raw", table=f"{path}/daily", **dims)
     for arrived in (first, later):
         write_files(_as_bytes(arrived), f"{path}/raw")
@@ -268,7 +273,7 @@ def k1_encoded(spark, sf):
     """Even stations are loaded first, odd ones later, with a stale issue of each beside its refresh;
     both loads are read back through one code table."""
     path = scratch_path(spark, "load")
-    dims, first, later = _dims(spark, sf, path), *_delivery(spark, sf)
+    dims, first, later = load_dims(spark, sf, path), *_delivery(spark, sf)
     options = dict(digest_path=f"{path}/raw", layout="raw", table=f"{path}/encoded", store="encoded", balance=None, **dims)
     for arrived in (first.where(~_odd()), first.where(_odd()).unionByName(later)):
         write_files(_as_bytes(arrived), f"{path}/raw")

@@ -224,8 +224,8 @@ def test_a_load_that_fails_is_not_seen_and_runs_again(spark, tmp_path, monkeypat
         elif step == "codes":
             m.setattr(jobs.CodeBook, "encode", crash)
         else:
-            write = jobs.write_table
-            m.setattr(jobs, "write_table", lambda df, target, *a, **k: crash() if target.endswith("_days") == (step == "days") else write(df, target, *a, **k))
+            write = jobs.write_load
+            m.setattr(jobs, "write_load", lambda df, table, load: crash() if table.endswith("_days") == (step == "days") else write(df, table, load))
         with pytest.raises(Crash):
             jobs.ingest(spark, **paths)
     assert (held.rows().count(), held.codes().count()) == before
@@ -279,6 +279,25 @@ def test_exclusive_numbers(spark, tmp_path):
     assert [tuple(r) for r in book.loads().collect()] == [(1, "first")]
 
 
+def test_versions_registered_side_by_side_get_different_numbers(spark, tmp_path):
+    reg = registry.Registry(spark, str(tmp_path / "registry"))
+    rows = spark.createDataFrame([(float(i % 5), i % 2) for i in range(40)], "a double, RainTomorrow int")
+    model = training.train_forest(rows, numTrees=1, maxDepth=1)
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(lambda k: reg.register(model, f"run{k}"), range(3)))
+    assert sorted(got) == ["1", "2", "3"] and reg.versions().select("path").distinct().count() == 3
+    assert reg.pick("version", "2")["version"] == "2" and reg.info("9") is None
+    with pytest.raises(LookupError):
+        jobs.predict_registered(rows, reg, rows)
+
+
+def test_the_lower_error_is_promoted(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("b", 0.9895), ("c", 0.995), ("d", 1.2), ("z", 0.0)], "model string, rmse double")
+    said = lambda new, old: training.compare(rows, new, old, measure="rmse").first()["promote"]
+    assert said("b", "a") and not said("c", "a") and not said("d", "a") and said("a", "d") and said("d", "none")
+    assert said("z", "a") and not said("a", "z") and not said("z", "z")
+
+
 def test_refresh_beside_the_original_is_read_once(spark, places, tmp_path):
     folder = places["digest_path"]
     wf.write_digest_files(folder, {("ID1", f"202303.refresh{k}"): wf.month("202303", 0, days=k)[: k + 2] for k in (2, 9, 10)})
