@@ -20,9 +20,7 @@ from petrichor.llm.arrow import gather, gram_hashes, mixed, slices
 #: Stands for a null id: smaller than all ids.
 NO_ID = -(1 << 63)
 _BASE = 0xD6E8FEB86659FD93
-_RUNS = "anchor long, content long, doc long, part long, place long, copy boolean, loops boolean"
-#: A run's place is its start times this, plus its number of windows.
-PLACE = 128
+_RUNS = "anchor long, content long, doc long, part long, start long, windows int, copy boolean, loops boolean"
 
 #: Turns texts into 64-bit symbols and the offsets at which each text's symbols begin and end.
 Symbols = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -122,13 +120,13 @@ def repeated_runs(rows: DataFrame, symbols: Symbols, window: int, gram: int, wit
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(doc), pa.array(sub),
-                    pa.array(start * PLACE + count), pa.array(copy), pa.array(loops & within_document),
+                    pa.array(start), pa.array(count.astype(np.int32)), pa.array(copy), pa.array(loops & within_document),
                 ],
                 [x.split()[0] for x in _RUNS.split(", ")],
             )
 
     runs = rows.select("doc", "part", "text").mapInArrow(find, _RUNS)
-    ordered = Window.partitionBy("anchor", "copy").orderBy("content", "doc", "part", "place")
+    ordered = Window.partitionBy("anchor", "copy").orderBy("content", "doc", "part", "start")
     all_rows = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     runs = runs.repartition("anchor").withColumns({
         "equal": F.coalesce(F.lag("content").over(ordered) == F.col("content"), F.lit(False)),
@@ -140,8 +138,7 @@ def repeated_runs(rows: DataFrame, symbols: Symbols, window: int, gram: int, wit
         runs = runs.withColumn("earliest", F.min(F.struct("doc", "part")).over(Window.partitionBy("anchor", "copy", "content")))
         repeat = F.col("copy") | (F.struct("doc", "part") != F.col("earliest"))
     found = runs.select(
-        "doc", "part", F.floor(F.col("place") / PLACE).cast("long").alias("start"), (F.col("place") % PLACE).cast("int").alias("windows"),
-        "anchor", F.when(repeat, "copy").when(F.col("several") | F.col("loops"), "first").alias("kind"),
+        "doc", "part", "start", "windows", "anchor", F.when(repeat, "copy").when(F.col("several") | F.col("loops"), "first").alias("kind"),
     )
     return found.where("kind is not null")
 
