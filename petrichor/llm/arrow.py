@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Text that is worked on at once. A longer document is worked on alone.
 SLICE_BYTES = 8 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Text that Spark hands to a Python worker at once; a single longer text still comes whole.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Have Spark bound Arrow batches by bytes too, not by rows alone: ten thousand long texts are far more than short ones."""
+    held = spark.conf.get(_BATCH).removesuffix("b")
+    # A value in other units was chosen by someone, and stays.
+    if held.lstrip("-").isdecimal() and not 0 < int(held) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return memory that is not in use to the system; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the usual C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in parts of a bounded size, a null text as an empty one."""
     for batch in batches:
@@ -26,6 +49,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SL
             high = max(low + 1, int(np.searchsorted(ends, done + most, "right")))
             yield batch.slice(low, high - low)
             low = high
+    give_back()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

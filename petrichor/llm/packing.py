@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from petrichor.llm.arrow import gather, slices, split_words
+from petrichor.llm.arrow import bound_batches, gather, slices, split_words
 from petrichor.session import materialize
 
-CACHED_WORDS = 300_000
-#: Text whose ids are looked up at once; the arrays of a slice take many times as much.
-ENCODED_BYTES = 3 << 20
+#: Stems and other words of which the ids are remembered, and text whose ids are looked up at once.
+CACHED_WORDS, ENCODED_BYTES = 400_000, 4 << 20
 #: Latin letters whose lower case and normal form are single letters, and marks that follow a word.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_PLAIN = "^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!?;:]*)$"
+#: A text that tells whether a vocabulary treats words as ``WordIds`` does: each by itself, in lower case.
+_PROBE = "Ab cd, AB Ünï don't 42 x.y §4 \u00c5ngstr\u00f6m! e.g."
 _PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = "block long, island int, row long, piece int, length long, bin int, bins int"
 
@@ -33,10 +35,11 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordIds:
-    """Token ids of blank-free words; no token of this vocabulary crosses a blank.
+    """Token ids of blank-free words, for vocabularies of which no token crosses a blank.
 
-    A plain Latin word goes straight to the merges of the model; any other word takes the whole
-    way of the tokeniser. A bounded number of words is remembered.
+    A plain Latin word is a stem in lower case and the marks behind it, which go straight to the
+    merges of the model; any other word takes the whole way of the tokeniser. The ids of a bounded number of stems
+    and words lie one after the other in one buffer.
     """
 
     def __init__(self, path: str):
@@ -44,36 +47,55 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._letters = _byte_letters()
-        self._held: dict[str, np.ndarray] = {}
-        self._parts: dict[str, list[int]] = {}
-
-    def _part(self, part: str) -> list[int]:
-        ids = self._parts.get(part)
-        if ids is None:
-            spelled = part if part.isascii() else "".join(self._letters[b] for b in part.encode())
-            ids = self._parts[part] = [t.id for t in self._tokenizer.model.tokenize(spelled)]
-        return ids
-
-    def __call__(self, words: list[str]) -> list[np.ndarray]:
-        held = self._held
-        new = [w for w in words if w not in held]
-        if len(held) + len(new) > CACHED_WORDS:
-            held.clear()
-            self._parts.clear()
-            new = words
-        rest = []
-        for word in new:
-            plain = _PLAIN.fullmatch(word)
-            if plain is None:
-                rest.append(word)
-            else:
-                ids = self._part(plain[1].lower())
-                held[word] = np.array(ids + self._part(plain[2]) if plain[2] else ids, np.uint32)
-        for low in range(0, len(rest), 10_000):
-            part = rest[low : low + 10_000]
-            for word, found in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False)):
-                held[word] = np.array(found.ids, np.uint32)
-        return [held[w] for w in words]
+        self._forget()
+        own = self._tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        starts, lengths = self(pa.array(_PROBE.split()))
+        if self.ids[gather(starts.ravel().astype(np.int64), lengths.ravel().astype(np.int64))].tolist() != own:
+            raise ValueError(f"{path} does not read words one by one in lower case, so they cannot be looked up one by one")
+
+    def _forget(self) -> None:
+        self._unit: dict[str, int] = {"": 0}
+        self._flat, self._ends = array("I"), array("q", [0, 0])
+
+    def _keep(self, text: str, ids: Iterable[int]) -> None:
+        self._unit[text] = len(self._unit)
+        self._flat.extend(ids)
+        self._ends.append(len(self._flat))
+
+    def _learn(self, texts: list[str], plain: bool) -> list[int]:
+        """The unit of each text; unknown ones are encoded."""
+        unit = self._unit
+        new = [t for t in texts if t not in unit]
+        if plain:
+            tokenize, letters = self._tokenizer.model.tokenize, self._letters
+            for text in new:
+                spelled = text if text.isascii() else "".join([letters[b] for b in text.encode()])
+                self._keep(text, [t.id for t in tokenize(spelled)])
+        else:
+            for low in range(0, len(new), 10_000):
+                part = new[low : low + 10_000]
+                for text, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                    self._keep(text, found.ids)
+        return [unit[t] for t in texts]
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the two parts of each word begin in ``ids``, and their lengths; a part may be empty."""
+        if len(self._unit) + len(words) > CACHED_WORDS:
+            self._forget()
+        split = pc.extract_regex(words, _PLAIN)
+        plain = pc.is_valid(split).to_numpy(zero_copy_only=False)
+        units = np.zeros((len(words), 2), np.int64)
+        for column, texts in enumerate((pc.utf8_lower(pc.struct_field(split, "stem")), pc.struct_field(split, "marks"))):
+            coded = texts.filter(pa.array(plain)).dictionary_encode()
+            own = np.array(self._learn(coded.dictionary.to_pylist(), True), np.int64)
+            units[plain, column] = own[coded.indices.to_numpy(zero_copy_only=False)]
+        units[~plain, 0] = self._learn(words.filter(pa.array(~plain)).to_pylist(), False)
+        ends = np.array(self._ends, np.int64)
+        return ends[units], ends[units + 1] - ends[units]
+
+    @property
+    def ids(self) -> np.ndarray:
+        return np.array(self._flat, np.uint32)
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, most: int, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -83,25 +105,27 @@ def token_pieces(docs: DataFrame, vocabulary: str, most: int, end_id: int, id: s
         encode = WordIds(vocabulary)
         for part in slices(batches, most=ENCODED_BYTES):
             codes, offsets, words = split_words(part.column(2))
-            ids = encode(words.to_pylist())
-            sizes = np.array([len(x) for x in ids], np.int64)
-            joined = np.concatenate([*ids, np.empty(0, np.uint32)])
-            lengths = sizes[codes]
-            tokens = joined[gather((np.cumsum(sizes) - sizes)[codes], lengths)]
-            ends = np.concatenate(([0], np.cumsum(lengths)))[offsets]
-            tokens = np.insert(tokens, ends[1:], end_id).astype("<u4")
-            bounds = ends + np.arange(len(ends))
+            starts, lengths = encode(words)
+            ids = np.append(encode.ids, np.uint32(end_id))
+            # Each text ends with one word more, which is the end token.
+            starts = np.concatenate((starts, [[len(ids) - 1, 0]]))
+            lengths = np.concatenate((lengths, [[1, 0]]))
+            codes = np.insert(codes, offsets[1:], len(starts) - 1)
+            lengths = lengths[codes]
+            bounds = np.concatenate(([0], np.cumsum(lengths.sum(axis=1))))[offsets + np.arange(len(offsets))]
+            tokens = ids[gather(starts[codes].ravel(), lengths.ravel())].astype("<u4", copy=False)
             rows, keys = part.column(0).to_pylist(), part.column(1).to_pylist()
             out: list[tuple] = []
             for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                 for k, low in enumerate(range(a, b, most)):
                     high = min(low + most, b)
-                    out.append((rows[i], keys[i], k, low - a, high - low, zlib.crc32(tokens[low:high].tobytes())))
+                    out.append((rows[i], keys[i], k, low - a, high - low, zlib.crc32(tokens[low:high])))
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), kinds)], [x.split()[0] for x in _PIECES.split(", ")]
             )
 
+    bound_batches(docs.sparkSession)
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"), docs[id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")
     )
