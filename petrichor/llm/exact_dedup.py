@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from petrichor.llm.sides import bounded
+from petrichor.llm.sides import bounded, free_name
 from petrichor.session import materialize
 
 #: Rows of a group from which its bytes are compared in several tasks first.
@@ -92,7 +92,7 @@ def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", bits: i
     """
     ids = docs.groupBy(id).count()
     if not ids.where((F.col("count") > 1) | F.col(id).isNull()).isEmpty():
-        row = next(n for k in range(len(docs.columns) + 1) if (n := f"_row{k}") not in docs.columns)
+        row = free_name(docs, "_row")
         return drop_copies(materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row, text, bits).drop(row)
     gone = exact_groups(docs, id, text, bits).where("not kept").select(F.col("doc_id").alias(id))
     return docs.join(bounded(materialize(gone, "gone")), id, "left_anti").select(*docs.columns)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from petrichor.llm.arrow import gram_hashes, mixed, slices, split_words
 from petrichor.llm.components import components
-from petrichor.llm.sides import bounded
+from petrichor.llm.sides import bounded, free_name
 from petrichor.session import materialize
 
 #: Shingles that one task joins at most, and pivots that tell the sets of a larger region apart.
@@ -400,8 +400,10 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", **settin
     """
     ids = docs.groupBy(id).count()
     if not ids.where((F.col("count") > 1) | F.col(id).isNull()).isEmpty():
-        docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-        return keep_first(docs, "_row", text, **settings).drop("_row")
+        row = free_name(docs, "_row")
+        docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        return keep_first(docs, row, text, **settings).drop(row)
     found = materialize(jaccard_components(docs, id=id, text=text, **settings), "components")
-    gone = materialize(found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(bounded(gone), docs[id] == F.col("_gone"), "left_anti")
+    name = free_name(docs, "_gone")
+    gone = materialize(found.where("doc_id != component_id").select(F.col("doc_id").alias(name)), "gone")
+    return docs.join(bounded(gone), docs[id] == F.col(name), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from petrichor.llm.sides import bounded
+from petrichor.llm.sides import bounded, free_name
 from petrichor.session import materialize
 
 BLANKS, _BLANKS = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
@@ -135,23 +135,31 @@ def one_edit(a: Column, b: Column) -> Column:
     )
 
 
-def dedup_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame,
+    least_words: int = 10,
+    id: str = "doc_id",
+    text: str = "text",
+    counts: tuple[str, str] = ("n_lines_with_words", "n_lines_removed"),
+) -> DataFrame:
     """All rows and columns of ``docs``, its text without the lines that go, and two counts more.
 
-    ``n_lines_with_words`` counts the lines of the input that have a word, ``n_lines_removed`` those that went. Lines
+    The first of ``counts`` names the number of lines of the input that have a word, the second that of
+    those that went; neither may be a column of ``docs``. Lines
     without a word stay as they are. A null text stays null. Rows of one id with different texts
     are ordered by a hash of their texts; a row listed twice is one document. A null id counts as
     smaller than all others. An empty table gives no rows.
     """
     gone = removed_lines(docs, least_words, id, text).select("doc", "part", "no").distinct()
+    doc, part, lost = (free_name(docs, n) for n in ("_doc", "_part", "_gone"))
     gone = gone.groupBy("doc", "part").agg(F.collect_set("no").alias("gone"))
-    gone = materialize(gone.select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), F.col("gone").alias("_gone")), "gone")
+    gone = materialize(gone.select(F.col("doc").alias(doc), F.col("part").alias(part), F.col("gone").alias(lost)), "gone")
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
-    match = (F.coalesce(docs[id].cast("long"), F.lit(_NO_ID)) == F.col("_doc")) & (F.xxhash64(body) == F.col("_part"))
-    joined = docs.join(bounded(gone, "_gone"), match, "left")
+    match = (F.coalesce(docs[id].cast("long"), F.lit(_NO_ID)) == F.col(doc)) & (F.xxhash64(body) == F.col(part))
+    joined = docs.join(bounded(gone, lost), match, "left")
     lines = F.split(body, "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(lost, i)), "\n")
     full = F.size(F.filter(lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")).cast("long")
-    columns = [F.when(F.col("_gone").isNull(), docs[text]).otherwise(kept).alias(text) if c == text else docs[c] for c in docs.columns]
-    removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
-    return joined.select(*columns, full.alias("n_lines_with_words"), F.when(F.col("_gone").isNull(), F.lit(0).cast("long")).otherwise(removed).alias("n_lines_removed"))
+    columns = [F.when(F.col(lost).isNull(), docs[text]).otherwise(kept).alias(text) if c == text else docs[c] for c in docs.columns]
+    removed = F.when(F.col(lost).isNull(), F.lit(0)).otherwise(F.size(lost)).cast("long")
+    return joined.select(*columns, full.alias(counts[0]), removed.alias(counts[1]))

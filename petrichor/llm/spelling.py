@@ -69,10 +69,14 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     vocabulary too lead to candidates, which the original words then confirm or not. A pair of
     reduced words is followed from its smaller one only.
     """
-    words = materialize(words.select("word", reduced(F.col("word"), symbols).alias("r")), "reduced")
-    kinds = materialize(words.select("r").distinct(), "kinds")
-    around = kinds.select("r", F.explode(neighbourhood(F.col("r"), symbols)).alias("s")).where("r <= s")
-    pairs = materialize(around.join(bounded(kinds.select(F.col("r").alias("s"))), "s", "left_semi"), "kind_pairs")
+    # A reduced word travels as its hash; two of one hash only make candidates that are not confirmed.
+    named = words.select("word", reduced(F.col("word"), symbols).alias("reduced"))
+    named = materialize(named.withColumn("r", F.xxhash64("reduced")), "reduced")
+    kinds = materialize(named.select("r", "reduced").distinct(), "kinds")
+    words = named.select("word", "r")
+    around = F.transform(neighbourhood(F.col("reduced"), symbols), lambda k: F.xxhash64(k))
+    around = kinds.select("r", F.explode(around).alias("s")).where("r <= s")
+    pairs = materialize(around.join(bounded(kinds.select(F.col("r").alias("s")).distinct()), "s", "left_semi").distinct(), "kind_pairs")
     mine, theirs = words.select("r", F.col("word").alias("a")), words.select(F.col("r").alias("s"), F.col("word").alias("b"))
     both = pairs.join(bounded(mine), "r").join(bounded(theirs), "s")
     # Of one reduced word, each pair is met twice.

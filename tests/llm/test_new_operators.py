@@ -3,11 +3,12 @@
 import random
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from petrichor.llm import exact_dedup, queries, spelling, whitening
+from petrichor.llm import exact_dedup, packing, queries, spelling, substring_dedup, suffix_dedup, whitening
 
 CLASHING = "doc_id long, text string, hash string, row long, held long, first string, body string, sha string, word string, n long, r string"
 
@@ -187,6 +188,47 @@ class TestWhitening:
         check(got.collect(), [tuple(r) for r in rows])
 
 
+def long_runs():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passages = [prose(n) for n in (300, 700, 1300)]
+    texts = [prose(40) + " " + rng.choice(passages) + " " + prose(30) for _ in range(14)] + [passages[1][40:], "ab " * 900, "na" * 900]
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("window", [158, 159, 200, 256, 300, 600])
+def test_suffixes_of_long_windows(spark, window):
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(long_runs(), "doc_id long, text string"), window=window)
+    found = [(r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), r.n_spans, brute.sha(bytes(r.kept))) for r in got.collect()]
+    assert keys(found) == keys(brute.suffix_dedup(long_runs(), window)) and any(r[2] for r in found)
+
+
+@pytest.mark.parametrize("window", [128, 150, 160, 220, 600])
+def test_substrings_of_long_windows(spark, window):
+    got = substring_dedup.substring_dedup(spark.createDataFrame(long_runs(), "doc_id long, text string"), window=window)
+    found = [(r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept_text)) for r in got.collect()]
+    assert keys(found) == keys(brute.substring_dedup(long_runs(), window)) and any(r[2] for r in found)
+
+
+def test_stages_take_clashing_columns(spark):
+    docs = clashing(spark, copies() + [(2000, "a line of its own\nhot copy\nhot copy")])
+    for name in ("_gone", "_doc", "_part", "_row", "n_lines_removed", "n_lines_with_words", "n_chars"):
+        docs = docs.withColumn(name, F.lit(7).cast("long"))
+    for rows in (docs, docs.unionAll(docs), docs.where("doc_id < 0")):
+        lines = corpus_pipeline.fresh_lines(spark, rows, "")
+        assert lines.columns == docs.columns
+        assert lines.where("_gone = 7 and n_lines_removed = 7").count() == lines.count()
+        kept = corpus_pipeline.distinct_documents(spark, rows, "")
+        assert kept.columns == docs.columns and kept.count() <= rows.count()
+        assert exact_dedup.drop_copies(rows).columns == docs.columns
+
+
+def test_packing_refuses_vocabularies_that_it_would_misread():
+    with pytest.raises(ValueError):
+        packing.WordIds(queries.vocabulary("byte_bpe_50k.json"))
+
+
 def test_spelling_query_on_the_smallest_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     got = queries.QUERIES["op12_spelling_variants"](spark, "/root/testdata/sf0.001").where(F.col("n") >= 40)
