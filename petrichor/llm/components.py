@@ -56,6 +56,13 @@ def contracted(edges: DataFrame) -> DataFrame:
     return edges.where("a != b").select("a", "b").mapInArrow(contract, "a long, b long")
 
 
+def _nodes(stars: DataFrame) -> DataFrame:
+    """node, root: the nodes that hang below a root, and the roots themselves."""
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
+        stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node that each node reaches; nodes without edges are not listed.
 
@@ -63,15 +70,16 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours, and then its smaller ones, below its smallest neighbour. Minima are aggregated
     before they are shuffled, and a node with very many edges is one side of an ordinary join.
     Before each round every task contracts the edges it holds, a bounded number at a time, which
-    saves most of the rounds that long chains would take.
+    saves most of the rounds that long chains would take, and edges that one task may contract at
+    once are finished there.
     """
     stars, known = materialize(contracted(edges).distinct(), "edges"), None
     while True:
+        if stars.count() <= CONTRACTED:
+            return _nodes(materialize(contracted(stars.coalesce(1)), "forest"))
         state = stars.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
         if known == state:
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
-                stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
+            return _nodes(stars)
         known = state
         both = stars.unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
