@@ -18,7 +18,7 @@ from petrichor.llm.arrow import bound_batches, gather, slices, split_words
 from petrichor.session import materialize
 
 #: Stems and other words of which the ids are remembered, and text whose ids are looked up at once.
-CACHED_WORDS, ENCODED_BYTES = 400_000, 4 << 20
+CACHED_WORDS, ENCODED_BYTES = 800_000, 4 << 20
 #: Latin letters whose lower case and normal form are single letters, and marks that follow a word.
 _PLAIN = "^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!?;:]*)$"
 #: A text that tells whether a vocabulary treats words as ``WordIds`` does: each by itself, in lower case.
