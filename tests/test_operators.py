@@ -121,7 +121,7 @@ def test_quantiles_overall(values, buffered):
 
 def test_brackets_narrow_large_groups(spark):
     df = spark.range(0, 200_000, 1, 16).select((F.col("id") * 48_271 % 200_003).cast("double").alias("v"))
-    ends = order_stats._brackets(df, ["v"], [0.25, 0.5], [], 2000, 500).first()["_b0"]
+    ends = order_stats._brackets(df, ["v"], [0.25, 0.5], [], 2000).first()["_b0"]
     ordered = sorted(r["v"] for r in df.collect())
     for share, low, high in ((0.25, ends[0], ends[1]), (0.5, ends[2], ends[3])):
         assert low <= ordered[int(share * 200_000)] <= high
@@ -132,6 +132,24 @@ def test_brackets_narrow_large_groups(spark):
     )
 
 
+def test_sketches_hold_no_more_than_the_rows(spark):
+    df = spark.range(5000).selectExpr("if(id < 4000, 'large', cast(id as string)) as g", "id / 7D as v")
+    plan = df.groupBy("g").agg(F.kll_sketch_agg_double("v", order_stats._sketch_size(order_stats.ACCURACY)).alias("s"), F.count("v").alias("n"))
+    held = plan.selectExpr("n", "length(s) / 8 as doubles").collect()
+    assert len(held) == 1001 and all(r["doubles"] <= r["n"] + 8 for r in held)
+    brackets = order_stats._brackets(df, ["v"], [0.5], ["g"], order_stats.ACCURACY)
+    assert brackets.count() == 1001 and "Window" not in brackets._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("buffered", [0, 10**6])
+def test_not_a_number_is_the_largest(spark, buffered):
+    numbers = [float(i) for i in range(600)] + [float("nan")] * 300 + [float("inf")] * 100 + [None] * 50
+    df = spark.createDataFrame([(x,) for x in numbers], "v double").repartition(5)
+    got = order_stats.quantiles(df, ["v"], [0.0, 0.25, 0.65, 0.9, 1.0], accuracy=2000, buffered=buffered).first()["v"]
+    assert got[0] == 0.0 and got[1] == pytest.approx(249.75) and got[2] == float("inf")
+    assert got[3] != got[3] and got[4] != got[4]
+
+
 @pytest.mark.parametrize("buffered", [0, 10**6])
 def test_value_at_rank(values, buffered):
     df, pdf = values
