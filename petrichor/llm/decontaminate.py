@@ -37,6 +37,11 @@ def _hashes(found: str, size: int) -> Column:
     return _each(found, size, lambda run: F.xxhash64(*run), "bigint")
 
 
+def _runs(made: Callable[[str, int], Column], size: int, shorter: list[int]) -> Column:
+    """The runs of ``size`` words and the distinct ones of each shorter length."""
+    return F.concat(made("words", size), *[F.array_distinct(made("words", n)) for n in shorter]) if shorter else made("words", size)
+
+
 def containments(
     docs: DataFrame,
     items: DataFrame,
@@ -56,14 +61,16 @@ def containments(
     items and long documents alike. Documents with fewer shingles than the item needs are left
     out. Candidates are verified on their shingles themselves.
 
-    Both sides are compared on distinct shingles of ``size`` words, A-Z in lower case; an item of
-    fewer words is one shingle. Items without words are in no document. Null ids pair like any
+    Both sides are compared on distinct shingles of ``size`` words, A-Z in lower case. An item of
+    fewer words is one shingle, looked up among the runs of its own length, each distinct run of a
+    document once; no work is done for lengths that no item has. Items without words are in no document. Null ids pair like any
     other id; repeated rows give one pair if any of them holds the item; other columns are not
     read. Empty tables give no pairs.
     """
     missed = round((1 - threshold) * 1_000_000)
     wanted = items.select(F.xxhash64(items[item_id], items[item_text]).alias("item"), items[item_id].alias("item_id"), words(items[item_text]).alias("words"))
     wanted = materialize(wanted, "item_words").where(F.size("words") > 0)
+    lengths = wanted.select(F.size("words").alias("length"))
     wanted = wanted.select("item", "item_id", F.array_distinct(shingles("words", size)).alias("shingles"), _hashes("words", size).alias("hashes"))
     wanted = wanted.withColumn("n", F.size("shingles"))
     widest = F.pow(F.lit(2), F.length(F.bin("n"))) - 1
@@ -72,6 +79,7 @@ def containments(
     least = F.ceil(F.col("n") * (1_000_000 - missed) / 1_000_000)
     wanted = materialize(wanted.select("item", "item_id", "shingles", "n", least.alias("least"), F.slice(hashes, F.lit(1), k).alias("sketch")), "items")
     keys = bounded(wanted.select("item", "least", F.explode("sketch").alias("key")))
+    shorter = [r["length"] for r in lengths.where(F.col("length") < size).distinct().collect()]  # at most size - 1 numbers
 
     texts = docs.select(docs[doc_id].alias("doc_id"), docs[doc_text].alias("text"))
     held = texts.select(F.xxhash64("doc_id", "text").alias("row"), words(F.col("text")).alias("words"))
@@ -79,13 +87,13 @@ def containments(
     # The size is taken from the words: from the array of keys it would keep that array beside each of its
     # elements. The outer explode keeps Spark from testing the array first, which would compute it once more.
     n_keys = F.greatest(F.size("words") - size + 1, F.lit(1)).alias("n_keys")
-    held = held.select("row", n_keys, _hashes("words", size).alias("keys")).select("row", "n_keys", F.explode_outer("keys").alias("key"))
+    held = held.select("row", n_keys, _runs(_hashes, size, shorter).alias("keys")).select("row", "n_keys", F.explode_outer("keys").alias("key"))
     pairs = held.join(keys, "key").where(F.col("n_keys") >= F.col("least")).select("row", "item").distinct()
     pairs = materialize(pairs, "candidates")
 
     rows = bounded(materialize(pairs.select("row").distinct(), "candidate_rows"))
     texts = texts.withColumn("row", F.xxhash64("doc_id", "text")).join(rows, "row", "left_semi").dropDuplicates(["row"])
-    owned = texts.select("row", "doc_id", words(F.col("text")).alias("words")).select("row", "doc_id", shingles("words", size).alias("found"))
+    owned = texts.select("row", "doc_id", words(F.col("text")).alias("words")).select("row", "doc_id", _runs(shingles, size, shorter).alias("found"))
     shared = F.size(F.array_intersect("shingles", "found"))
     judged = pairs.join(owned, "row").join(wanted.select("item", "item_id", "shingles", "n", "least"), "item").withColumn("n_shared", shared)
     judged = judged.where(F.col("n_shared") >= F.col("least"))

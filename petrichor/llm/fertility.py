@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import base64
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from petrichor.llm.arrow import gather, gram_hashes, mixed, owners, slices, split_words, sums
+from petrichor.llm.sides import bounded
 from petrichor.session import materialize
 
 #: Characters that count as symbols, and the window of words that may not repeat (fixed values).
@@ -22,9 +26,11 @@ SCRIPTS = {
     "hangul": r"\p{Hangul}", "thai": r"\p{Thai}",
 }
 #: The least distance of a band's ends from the middle half of its group, by measure.
-SLACK = {"chars_per_token": 0.4, "byte_share": 0.02, "token_evenness": 0.06}
+SLACK = {"chars_per_token": 0.05, "byte_share": 0.02, "token_evenness": 0.02}
 MEASURES = tuple(SLACK)
 CACHED_WORDS = 300_000
+#: What a rank vocabulary cuts words into before it merges bytes.
+PIECES = r"\p{L}+|\p{N}+|[^\p{L}\p{N}]+"
 _SCHEMA = (
     "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_tokens long, n_byte_tokens long, token_entropy double, script string"
@@ -54,6 +60,26 @@ class Encoder:
         return [self._held[w] for w in words]
 
 
+class Ranks:
+    """Tokens of words by a vocabulary of byte ranks."""
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self._model = tiktoken.Encoding("ranks", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        self._held: dict[str, int] = {}
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        if len(self._held) > CACHED_WORDS:
+            self._held.clear()
+        for word in words:
+            if word not in self._held:
+                self._held[word] = len(self._model.encode_ordinary(" " + word))
+        return np.array([self._held[w] for w in words], np.int64)
+
+
 def repeated_words(codes: np.ndarray, offsets: np.ndarray, window: int = REPEAT_WINDOW) -> np.ndarray:
     """Words of each text that lie in a window of words found twice or more in the text."""
     n, doc = len(codes), owners(offsets)
@@ -108,17 +134,24 @@ def main_script(codes: np.ndarray, offsets: np.ndarray, words: pa.Array) -> list
     return [names[i] if n else "other" for i, n in zip(found.argmax(0), found.max(0))]
 
 
-def fertility_measures(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The counts of the base rules and the tokeniser's measures of every row, in one pass without a shuffle."""
+def fertility_measures(
+    docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", lang: str = "lang", others: Sequence[str] = ()
+) -> DataFrame:
+    """The counts of the base rules and the tokenisers' measures of every row, in one pass without a shuffle.
+
+    ``others`` are vocabularies of byte ranks; ``n_tokens_2`` and so on count their tokens.
+    """
+    schema = _SCHEMA + "".join(f", n_tokens_{k} long" for k, _ in enumerate(others, 2))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder, counters = Encoder(vocabulary), [Ranks(path) for path in others]
         for part in slices(batches):
             texts = part.column(2)
             codes, offsets, words = split_words(texts)
             chars = pc.utf8_length(words).to_numpy(zero_copy_only=False)
             symbols = pc.count_substring_regex(words, SYMBOLS).to_numpy(zero_copy_only=False)
-            n_tokens, n_bytes, entropy = token_measures(encoder(words.to_pylist()), codes, offsets, encoder)
+            listed = words.to_pylist()
+            n_tokens, n_bytes, entropy = token_measures(encoder(listed), codes, offsets, encoder)
             columns = [
                 np.diff(offsets), sums(chars[codes], offsets), sums(symbols[codes], offsets), repeated_lines(texts),
                 repeated_words(codes, offsets), n_tokens, n_bytes,
@@ -127,24 +160,25 @@ def fertility_measures(docs: DataFrame, vocabulary: str, id: str = "doc_id", tex
                 [
                     part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in columns),
                     pa.array(entropy, pa.float64()), pa.array(main_script(codes, offsets, words), pa.string()),
+                    *(pa.array(sums(count(listed)[codes], offsets), pa.int64()) for count in counters),
                 ],
-                [x.split()[0] for x in _SCHEMA.split(", ")],
+                [x.split()[0] for x in schema.split(", ")],
             )
 
     code = docs[lang].cast("string") if lang in docs.columns else F.lit(None).cast("string")
     kept = docs.select(docs[id].cast("long").alias("doc_id"), code.alias("lang"), docs[text].cast("string").alias("text"))
-    return kept.mapInArrow(measure, _SCHEMA)
+    return kept.mapInArrow(measure, schema)
 
 
-def _bands(measured: DataFrame, keys: list[str], width: float) -> DataFrame:
+def _bands(measured: DataFrame, keys: list[str], measures: Sequence[str], width: float) -> DataFrame:
     """Ends of each measure's band in each group: the quartiles, moved outwards by ``width`` quartile ranges."""
-    quartiles = [F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in MEASURES]
+    quartiles = [F.percentile_approx(m, [0.25, 0.75], 10_000).alias(m) for m in measures]
     found = measured.where("n_words >= 20").groupBy(*keys).agg(F.count("*").alias("group_size"), *quartiles)
-    out = [F.col(k) for k in keys] + [F.col("group_size")]
-    for m in MEASURES:
-        reach = F.greatest(F.lit(width) * (F.col(m)[1] - F.col(m)[0]), F.lit(SLACK[m]))
-        out += [(F.col(m)[0] - reach).alias(f"{m}_low"), (F.col(m)[1] + reach).alias(f"{m}_high")]
-    return found.select(*out)
+    ends = []
+    for m in measures:
+        reach = F.greatest(F.lit(width) * (F.col(m)[1] - F.col(m)[0]), F.lit(SLACK.get(m, SLACK["chars_per_token"])))
+        ends.append(F.struct((F.col(m)[0] - reach).alias("low"), (F.col(m)[1] + reach).alias("high")).alias(m))
+    return found.select(*keys, "group_size", F.struct(*ends).alias("band"))
 
 
 def fertility_rules(
@@ -153,42 +187,49 @@ def fertility_rules(
     id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    width: float = 4.0,
-    least_group: int = 200,
+    width: float = 1.5,
+    blend: float = 200.0,
+    others: Sequence[str] = (),
 ) -> DataFrame:
     """Base rules and the fertility verdict of every row.
 
-    Measures: characters per token, the share of byte-fallback tokens, and the entropy of the
-    tokens as a share of its greatest value for so many tokens (``token_evenness``). A row is kept
-    when it passes the base rules and each measure lies in the band of its language and script.
-    The bands come from all rows of at least 20 words: quartiles, widened on both sides by
-    ``width`` quartile ranges. A group of fewer than ``least_group`` such rows takes the band of
-    its script, and without one only the base rules hold.
+    Measures: characters per token, by ``vocabulary`` and by each of ``others``; the share of
+    byte-fallback tokens; and the entropy of the tokens as a share of its greatest value for so many
+    tokens (``token_evenness``). A row is kept when it passes the base rules and each measure lies
+    in its band. Bands come from all rows of at least 20 words: the quartiles, widened on both
+    sides by ``width`` quartile ranges. As evenness falls with length, rows are compared with rows
+    of their language, script and length class (the power of two of their tokens). The ends are a
+    mean of that group's band, weighing its number of rows, and the band of the script and
+    class over all languages, weighing ``blend`` rows, so that no verdict turns at a group size.
 
     Null and empty texts have no words and fail the base rules. A null language is a group of its
     own. Repeated rows and null ids are judged row by row; other columns are not read.
     """
-    rows = fertility_measures(docs, vocabulary, id, text, lang)
+    rows = fertility_measures(docs, vocabulary, id, text, lang, others)
     tokens = F.greatest(F.col("n_tokens"), F.lit(1))
+    more = {f"chars_per_token_{k}": F.col("word_chars") / F.greatest(F.col(f"n_tokens_{k}"), F.lit(1)) for k, _ in enumerate(others, 2)}
+    measures = (*MEASURES, *more)
     rows = rows.withColumns({
         "chars_per_token": F.col("word_chars") / tokens,
         "byte_share": F.col("n_byte_tokens") / tokens,
         "token_evenness": F.col("token_entropy") / F.log2(F.greatest(F.col("n_tokens"), F.lit(2))),
         "lang": F.coalesce("lang", F.lit("")),
+        "length_class": F.length(F.bin("n_tokens")),
         "base_failed": (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30),
+        **more,
     })
     rows = materialize(rows, "fertility")
-    fine = _bands(rows.where("not base_failed"), ["lang", "script"], width).where(F.col("group_size") >= least_group)
-    coarse = _bands(rows.where("not base_failed"), ["script"], width)
-    renamed = coarse.select("script", *[F.col(c).alias(f"script_{c}") for c in coarse.columns if c not in ("script", "group_size")])
-
-    def inside(m: str) -> Column:
-        low, high = (F.coalesce(f"{m}_{end}", f"script_{m}_{end}") for end in ("low", "high"))
-        return F.coalesce(F.col(m).between(low, high), F.lit(True))
-
-    passed = inside(MEASURES[0]) & inside(MEASURES[1]) & inside(MEASURES[2])
-    judged = rows.join(fine, ["lang", "script"], "left").join(renamed, "script", "left")
+    fine = _bands(rows, ["lang", "script", "length_class"], measures, width)
+    coarse = _bands(rows, ["script", "length_class"], measures, width).select("script", "length_class", F.col("band").alias("wide"))
+    weight = F.col("group_size") / (F.col("group_size") + F.lit(blend))
+    ends = [
+        (weight * F.col(f"band.{m}.{end}") + (1 - weight) * F.col(f"wide.{m}.{end}")).alias(f"{m}_{end}") for m in measures for end in ("low", "high")
+    ]
+    keys = ["lang", "script", "length_class"]
+    bands = bounded(materialize(fine.join(coarse, ["script", "length_class"]).select(*keys, *ends), "bands"))
+    passed = reduce(and_, [F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")) for m in measures])
+    judged = rows.join(bands, keys, "left")
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & passed).alias("kept"), "script", "n_tokens", *MEASURES,
+        (~F.col("base_failed") & F.coalesce(passed, F.lit(False))).alias("kept"), "script", "n_tokens", *measures,
     )

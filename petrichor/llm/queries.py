@@ -55,8 +55,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base rules and the verdict on the tokeniser's fertility of every document."""
-    return fertility.fertility_rules(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    """Base rules and the verdict on the fertility of two tokenisers of every document."""
+    others = [vocabulary("byte_bpe_multi_50k.tiktoken")]
+    return fertility.fertility_rules(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), others=others)
 
 
 @_query

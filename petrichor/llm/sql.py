@@ -4,7 +4,7 @@ from __future__ import annotations
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
-#: Item and document shingles of five words, compared exactly.
+#: Item and document shingles of five words, compared exactly; shorter items against all runs of their length.
 _DECONTAMINATION = f"""
 WITH item_words AS (
   SELECT item_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
@@ -16,9 +16,10 @@ item_sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id
 doc_words AS (
   SELECT doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
   FROM documents),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS n FROM item_words WHERE len(w) > 0),
 doc_shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM doc_words)),
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, lengths WHERE len(w) >= n)),
 shared AS (
   SELECT doc_id, item_id, count(*) AS n_shared FROM doc_shingles JOIN item_shingles USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n AS n_item_shingles, n_shared, n_shared / n AS containment

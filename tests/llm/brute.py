@@ -146,7 +146,7 @@ def containments(docs, items, size=5, threshold=0.8):
     out = set()
     held = [(i, shingles(t, size)) for i, t in items]
     for key, text in docs:
-        own = shingles(text, size)
+        own = set().union(*(shingles(text, n) for n in range(1, size + 1)))
         out |= {(key, i, len(s), len(s & own)) for i, s in held if s and len(s & own) >= threshold * len(s) - 1e-9}
     return out
 
@@ -182,6 +182,47 @@ def entropy(tokens):
     return -sum(c / n * math.log2(c / n) for c in Counter(tokens).values()) if n else 0.0
 
 
+def _script(found, scripts):
+    import regex
+
+    counts = {name: sum(bool(regex.search(pattern, w)) for w in found) for name, pattern in scripts.items()}
+    best = max(counts, key=lambda name: counts[name])
+    return best if counts[best] else "other"
+
+
+def fertility_kept(docs, pieces, ranks, scripts, slack, width=1.5, blend=200.0):
+    """{doc_id: kept} of (doc_id, text, lang): every word encoded by itself, quartiles by sorting."""
+    rows = []
+    for key, text, lang in docs:
+        found = words(text)
+        ids = [i for w in found for i in pieces.encode(w)]
+        n, chars = len(ids), sum(map(len, found))
+        measures = [
+            chars / max(n, 1), sum(map(pieces.is_byte, ids)) / max(n, 1), entropy(ids) / math.log2(max(n, 2)),
+            chars / max(sum(len(ranks.encode_ordinary(" " + w)) for w in found), 1),
+        ]
+        rows.append((key, lang or "", _script(found, scripts), n.bit_length(), base_rules(text), measures))
+
+    def band(group, i):
+        ordered = sorted(r[5][i] for r in group)
+        low, high = (ordered[math.ceil(p * len(ordered)) - 1] for p in (0.25, 0.75))
+        reach = max(width * (high - low), slack[i])
+        return low - reach, high + reach
+
+    out = {}
+    fit = [r for r in rows if r[4][0] >= 20]
+    for key, lang, script, size, base, measures in rows:
+        wide = [r for r in fit if r[2:4] == (script, size)]
+        fine = [r for r in wide if r[1] == lang]
+        share = len(fine) / (len(fine) + blend)
+        inside = bool(fine)
+        for i in range(len(measures) if fine else 0):
+            low, high = (share * a + (1 - share) * b for a, b in zip(band(fine, i), band(wide, i)))
+            inside &= low - 1e-12 <= measures[i] <= high + 1e-12
+        out[key] = inside and not base[-1]
+    return out
+
+
 def exact_groups(rows):
     """(doc_id, keep_id, group_size, kept, sha256) of each (doc_id, text); rows without an id come last."""
     told = [(i, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for i, t in rows]

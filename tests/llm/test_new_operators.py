@@ -235,3 +235,46 @@ def test_spelling_query_on_the_smallest_tables(spark):
     words = {r.word: r for r in got.collect()}
     assert words and all(words[r.form].n == r.form_n for r in words.values() if r.form)
     assert docs.count() == 200
+
+
+def test_fertility_verdicts(spark):
+    import sentencepiece
+
+    from petrichor.llm import fertility
+
+    rng = random.Random(3)
+    bags = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(300)] for lang, letters in (
+        ("xx", "abcdefghijklmnop"), ("yy", "eiouzvwk"), (None, "абвгдежзи"))}
+    rows = []
+    for i in range(360):
+        lang = rng.choice([*bags])
+        found = [rng.choice(bags[lang]) for _ in range(rng.choice((10, 60, 90, 400)))]
+        if i % 12 == 0:
+            found = [w if rng.random() < 0.6 else rng.choice(("$$#|", "x9&q%", "中文", "<>")) for w in found]
+        rows.append((i, " ".join(found), lang))
+    rows += [(900, None, "xx"), (901, "", None), (902, "one two " * 40, "xx"), (903, "z" * 5000 + " q" * 30, "yy")]
+    paths = queries.vocabulary("piece_bpe_32k.model"), queries.vocabulary("byte_bpe_multi_50k.tiktoken")
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, lang string, script string, band int").repartition(5)
+    want = brute.fertility_kept(
+        rows, sentencepiece.SentencePieceProcessor(model_file=paths[0]), fertility.Ranks(paths[1])._model, fertility.SCRIPTS,
+        [*fertility.SLACK.values(), fertility.SLACK["chars_per_token"]],
+    )
+    found = fertility.fertility_rules(docs, paths[0], others=[paths[1]]).collect()
+    assert {r.doc_id: r.kept for r in found} == want
+    assert sum(not r.base_failed and not r.kept for r in found) > 10 and sum(r.kept for r in found) > 150
+
+
+def test_short_items_inside_documents(spark):
+    from petrichor.llm import decontaminate
+
+    items = [(1, "What is photosynthesis"), (2, "oxygen"), (3, "the light of day"), (4, "a b c d e f"), (5, ""), (6, None), (7, "b b")]
+    docs = [
+        (1, "He asked: what is photosynthesis and why"), (2, "what is  photosynthesis?"), (3, "Oxygen"), (4, "in the light\tof day " * 50 + "oxygen oxygen"),
+        (5, "what is"), (6, None), (7, "x a b c d e f b b b"), (8, "oxygenated light of day"),
+    ]
+    held = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, words int")
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    found = {tuple(r)[:4] for r in decontaminate.containments(held, wanted).collect()}
+    assert found == brute.containments(docs, items)
+    assert {(a, b) for a, b, *_ in found} == {(1, 1), (3, 2), (4, 2), (4, 3), (7, 4), (7, 7)}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(held, wanted).collect()} == {2, 5, 6, 8}
