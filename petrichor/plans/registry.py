@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from petrichor.functions.dates import epoch_ms_text
+from petrichor.operators.joins import lookup_join
 from petrichor.operators.windows import first_per_group
 from petrichor.schemas import MODEL_NAME, VERSION_METRICS
 from petrichor.sources.ledger import next_number
@@ -32,8 +33,11 @@ def current_versions(versions: DataFrame, stages: DataFrame) -> DataFrame:
 
 
 def version_listing(versions: DataFrame, runs: DataFrame) -> DataFrame:
-    """Versions with creation date and seven metrics, in numeric version order."""
-    found = versions.join(runs.select("run_id", F.col("metrics").alias("_m")), "run_id", "left")
+    """Versions with creation date and seven metrics, in numeric version order.
+
+    Many versions may name one run that is gone; such a run id meets no single task.
+    """
+    found = lookup_join(versions, runs.select("run_id", F.col("metrics").alias("_m")), ["run_id"], "left")
     metrics = F.struct(*[F.try_element_at("_m", F.lit(m)).alias(m) for m in VERSION_METRICS])
     return found.select(
         "name",

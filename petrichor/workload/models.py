@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from petrichor.operators.metrics import classification_metrics, regression_metrics
+from petrichor.operators.positions import written_positions
 from petrichor.plans.clean import Cleaned, clean
 from petrichor.plans.jobs import ingest_and_train, predict_locations, predict_registered, train_and_promote, warehouse
 from petrichor.plans.registry import (
@@ -119,6 +120,19 @@ def m11(spark, sf):
     )
 
 
+@query(
+    "o3_version_order",
+    f"""
+    WITH {VERSIONS_SQL}
+    SELECT name, version, row_number() OVER (ORDER BY version::INTEGER, name) - 1 AS position FROM current
+    """,
+)
+def o3(spark, sf):
+    """Where each version stands in the listing as written: numbers, not texts, decide."""
+    listing = version_listing(current_versions(versions(spark, sf), stages(spark, sf)), runs(spark, sf))
+    return written_positions(listing.select("name", "version"), "position")
+
+
 @query(
     "m13_run_listing",
     f"""

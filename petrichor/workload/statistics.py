@@ -9,6 +9,7 @@ from petrichor.operators.impute import cap_iqr, impute_group_median, impute_mode
 from petrichor.operators.metrics import classification_metrics, classification_report, confusion, regression_metrics
 from petrichor.operators.modes import modes
 from petrichor.operators.order_stats import medians, quantiles
+from petrichor.operators.positions import written_positions
 from petrichor.operators.profile import class_counts, correlation, correlation_matrix, null_shares, profile
 from petrichor.operators.split import ranges_of, scale, split, with_fold
 from petrichor.workload.base import Tables, query
@@ -194,6 +195,21 @@ def a6(spark, sf):
     return null_shares(_gaps(spark, sf)).withColumn("null_share", F.round("null_share", 6))
 
 
+@query(
+    "o5_null_share_order",
+    f"""
+    WITH g AS ({GAPS_SQL}), s AS (
+      SELECT 'event_id' AS "column", count(*) FILTER (event_id IS NULL) AS n FROM g
+      UNION ALL SELECT 'value', count(*) FILTER (value IS NULL) FROM g
+      UNION ALL SELECT 'event_type', count(*) FILTER (event_type IS NULL) FROM g)
+    SELECT "column", row_number() OVER (ORDER BY n DESC, "column") - 1 AS position FROM s
+    """,
+)
+def o5(spark, sf):
+    """Where each column stands in the listing as written."""
+    return written_positions(null_shares(_gaps(spark, sf)).select("column"), "position")
+
+
 @query("a7_distinct_values", "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem")
 def a7(spark, sf):
     return Tables(spark, sf).lineitem.select("l_suppkey", "l_returnflag").distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from petrichor.functions.text import text_between
@@ -14,6 +15,7 @@ from petrichor.sources.tables import (
     read_or_create,
     read_table,
     run_sql,
+    schema_report,
     snapshot,
     write_csv,
     write_table,
@@ -36,6 +38,50 @@ def s7_sorted(spark, sf):
     return read_dim(spark, path, rows.schema)
 
 
+def in_file_order(rows: DataFrame, name: str) -> DataFrame:
+    """0-based positions of rows read from files, by file name and place in the file."""
+    block = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    placed = rows.select("*", *block).withColumn("_id", F.monotonically_increasing_id())
+    sizes = placed.groupBy("_file", "_block").agg(F.count("*").alias("_size"))
+    # One row per block of a file; the sizes of the blocks before it shift its rows.
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_file", "_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    place = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_id")) - 1
+    numbered = placed.withColumn("_place", place).join(shifts, ["_file", "_block"])
+    return numbered.select(*rows.columns, (F.col("_place") + F.col("_shift")).alias(name))
+
+
+@query(
+    "o1_sorted_file_order",
+    "SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS position FROM orders",
+)
+def o1(spark, sf):
+    """Where each row stands in sorted files, taken in the order of their names."""
+    rows, path = Tables(spark, sf).orders.select("o_orderkey", "o_custkey"), scratch_path(spark, "csv")
+    write_csv(rows, path, ["o_custkey", "o_orderkey"])
+    return in_file_order(read_dim(spark, path, rows.schema), "position")
+
+
+_TYPES_SQL = """
+    SELECT *, CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS kind
+    FROM information_schema.columns WHERE table_name = 'lineitem'
+"""
+
+
+@query(
+    "s14_schema_report",
+    f"""
+    WITH c AS ({_TYPES_SQL})
+    SELECT '{{' || string_agg('"' || column_name || '": "' || kind || '"', ', ' ORDER BY ordinal_position)
+             FILTER (column_name <> 'l_returnflag') || '}}' AS input_schema,
+           '{{' || string_agg('"' || column_name || '": "' || kind || '"', ', ') FILTER (column_name = 'l_returnflag') || '}}' AS output_schema
+    FROM c
+    """,
+)
+def s14(spark, sf):
+    return schema_report(Tables(spark, sf).lineitem, "l_returnflag")
+
+
 @query(
     "s8_s10_append_new_rows",
     "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, DATE '2025-09-06' AS ingestion_date FROM orders",
