@@ -1,8 +1,7 @@
-"""Lookups and existence tests that neither trust a hint nor stall on a hot key.
+"""Lookups and existence tests that never trust a hint.
 
-Sides are broadcast only after their row count was checked. Above the bound the fact side is
-shuffled, except for its hot keys: at most ``1 / HOT_SHARE`` keys can each hold more than
-``HOT_SHARE`` of the rows, so their lookup rows are few by construction and can be broadcast.
+Sides are broadcast only after their rows and bytes were measured. Above the bound both sides are
+shuffled in one join, whose skewed partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -10,29 +9,29 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from petrichor.session import materialize
 
-BROADCAST_ROWS = 200_000
-HOT_SHARE = 1e-3
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+#: What a row, and a column of it beside its text, is counted as.
+_ROW, _COLUMN = 32, 16
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame holds at most ``max_rows`` rows; stops counting beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows: never more than ``1 / share`` keys."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    return counts.where(F.col("_n") > total * share).select(*keys)
-
-
-def _any_null(keys: list[str]) -> Column:
-    return reduce(or_, [F.col(k).isNull() for k in keys])
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame holds at most ``max_rows`` rows and ``max_bytes`` bytes; stops counting beyond as many rows."""
+    wide = []
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            wide.append(F.octet_length(F.col(f"`{field.name}`")))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            wide.append(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))))
+    # Longs, not integers, are added up, and a null has no bytes.
+    sums = [F.coalesce(F.sum(w.cast("long")), F.lit(0)) for w in wide]
+    rows, *held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), *sums).first()
+    return rows <= max_rows and rows * (_ROW + _COLUMN * len(df.columns)) + sum(held) <= max_bytes
 
 
 def lookup_join(
@@ -44,24 +43,14 @@ def lookup_join(
 ) -> DataFrame:
     """Attach the columns of ``dim``, unique on ``keys``, to every row of ``facts``.
 
-    ``small`` says that the caller has already checked the size of ``dim``.
+    ``small`` says that the caller has already checked the size of ``dim``. ``facts`` is read once;
+    rows without a key match nothing and stay in a left join.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join does left and inner joins, not {how!r}")
     if small is None:
         small = is_small(dim)
-    if small:
-        return facts.join(F.broadcast(dim), keys, how)
-    hot = materialize(hot_keys(facts, keys), "hot")
-    hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
-    keyed = facts.where(~_any_null(keys))
-    warm = keyed.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_dim), keys, how)
-    cold = keyed.join(F.broadcast(hot), keys, "left_anti").join(dim, keys, how)
-    parts = [warm, cold]
-    if how == "left":
-        # Rows without a key match nothing; they skip the shuffle instead of piling up in it.
-        parts.append(facts.where(_any_null(keys)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return facts.join(F.broadcast(dim) if small else dim, keys, how)
 
 
 def unknown_keys(facts: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from petrichor.operators.joins import BROADCAST_ROWS, lookup_join
+from petrichor.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
 from petrichor.session import materialize
 
 
@@ -95,10 +95,12 @@ class Codes:
 
 def _code_tables(seen: DataFrame, cols: list[str], order: list[str]) -> dict[str, Codes]:
     """Split (item, value, ...) into one numbered table per column."""
-    sizes = {r["item"]: r["n"] for r in seen.groupBy("item").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = seen.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value").cast("long")).alias("bytes")).collect()
+    sizes = {r["item"]: (r["n"], r["bytes"] or 0) for r in found}
     out = {}
     for i, c in enumerate(cols):
-        small = sizes.get(i, 0) <= BROADCAST_ROWS
+        n, held = sizes.get(i, (0, 0))
+        small = n <= BROADCAST_ROWS and held <= BROADCAST_BYTES
         out[c] = Codes(_numbered(seen.where(F.col("item") == i), order, small), small)
     return out
 

@@ -39,9 +39,44 @@ def test_lookup_join(skewed, dim, how, small):
     assert pairs(got, "id", "k", "v") == pairs(want, "id", "k", "v")
 
 
-def test_hot_keys_are_few(skewed):
-    assert joins.hot_keys(skewed, ["k"], 0.3).collect()[0]["k"] == "hot"
-    assert joins.hot_keys(skewed, ["k"], 0.3).count() == 1
+def test_small_counts_rows_and_bytes(spark):
+    table = spark.range(100).select("id", F.lit("x" * 1000).alias("t"), F.array(F.lit("y" * 500)).alias("a"), F.lit(None).cast("binary").alias("b"))
+    assert joins.is_small(table) and not joins.is_small(table, max_rows=99)
+    assert joins.is_small(table, max_bytes=200_000) and not joins.is_small(table, max_bytes=150_000)
+    assert joins.is_small(table.where("id < 0"), max_rows=0)
+
+
+def test_lookup_join_reads_the_facts_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 7 AS k").write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    dim = spark.range(7).selectExpr("id AS k", "id * 2 AS v")
+    for small in (True, False):
+        plan = joins.lookup_join(facts, dim, ["k"], "left", small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
+
+
+def test_lookup_join_splits_a_hot_key(spark):
+    """A key of most rows, and rows without a key, give the rows of the plain join when partitions are split."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    held = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        facts = spark.range(0, 60_000, 1, 12).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 3 = 1 THEN NULL ELSE id END AS k")
+        dim = spark.range(0, 60_000, 1, 4).selectExpr("id AS k", "id * 2 AS v").where("k % 5 != 0")
+        got = joins.lookup_join(facts, dim, ["k"], "left", small=False)
+        rows = got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+        found = [r.v for r in rows if r.v is not None]
+        known = [1 if i % 3 == 0 else i for i in range(60_000) if i % 3 != 1]
+        known = [k for k in known if k % 5]
+        assert (len(rows), len(found), sum(found)) == (60_000, len(known), 2 * sum(known))
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_lookup_join_beyond_the_bound(skewed, dim, monkeypatch):
