@@ -9,6 +9,8 @@ from petrichor.llm.sides import bounded, free_name
 from petrichor.session import materialize
 
 BLANKS, _BLANKS = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
+#: One word of so many is a similarity of 0.8, the least at which lines count as near copies.
+LEAST_WORDS = 5
 #: Stands for a null id: smaller than all ids.
 _NO_ID = -(1 << 63)
 
@@ -31,7 +33,7 @@ def _lines(rows: DataFrame) -> DataFrame:
     return rows.select("doc", "part", F.posexplode_outer(F.split("text", "\n", -1)).alias("no", "line_text"))
 
 
-def removed_lines(docs: DataFrame, least_words: int = 10, id: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, part, no and reason (``copy`` or ``near``) of each line that goes.
 
     A line goes when an earlier line (smaller id, then earlier in the text) has the same words, or
@@ -137,7 +139,7 @@ def one_edit(a: Column, b: Column) -> Column:
 
 def dedup_lines(
     docs: DataFrame,
-    least_words: int = 10,
+    least_words: int = LEAST_WORDS,
     id: str = "doc_id",
     text: str = "text",
     counts: tuple[str, str] = ("n_lines_with_words", "n_lines_removed"),

@@ -27,7 +27,7 @@ FROM shared JOIN item_sizes USING (item_id)
 WHERE 10 * n_shared >= 8 * n
 """
 
-#: Lines by their words; of lines of at least ten words also those one word away, by the lines that are left without a word.
+#: Lines by their words; of lines of at least five words also those one word away, by the lines that are left without a word.
 _LINES = f"""
 WITH lines AS (
   SELECT doc_id, no, line, {_WORDS.format(text="line")} AS w
@@ -38,14 +38,14 @@ firsts AS (
   SELECT k, any_value(n) AS n, any_value(w) AS w, min((doc_id, no)) AS first FROM told WHERE n > 0 GROUP BY k),
 variants AS (
   SELECT k, first, n, i, array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ') AS v
-  FROM (SELECT k, first, n, w, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= 10)),
+  FROM (SELECT k, first, n, w, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= 5)),
 near AS (
   SELECT DISTINCT y.k FROM variants y JOIN
     (SELECT n, i, v, min(first) AS first FROM variants GROUP BY n, i, v) x
     ON x.n = y.n AND x.i = y.i AND x.v = y.v AND x.first < y.first
-  UNION SELECT y.k FROM variants y JOIN firsts x ON x.k = y.v AND x.n = y.n - 1 AND x.n >= 10 AND x.first < y.first
+  UNION SELECT y.k FROM variants y JOIN firsts x ON x.k = y.v AND x.n = y.n - 1 AND x.n >= 5 AND x.first < y.first
   UNION SELECT y.k FROM firsts y JOIN (SELECT n, v, min(first) AS first FROM variants GROUP BY n, v) x
-    ON x.v = y.k AND y.n = x.n - 1 AND y.n >= 10 AND x.first < y.first),
+    ON x.v = y.k AND y.n = x.n - 1 AND y.n >= 5 AND x.first < y.first),
 judged AS (
   SELECT t.doc_id, t.no, t.line, t.n, t.n > 0 AND ((t.doc_id, t.no) <> f.first OR near.k IS NOT NULL) AS gone
   FROM told t LEFT JOIN firsts f ON t.k = f.k AND t.n > 0 LEFT JOIN near ON t.k = near.k AND t.n > 0)

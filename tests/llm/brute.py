@@ -122,7 +122,7 @@ def _one_edit(a, b):
     return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
-def line_dedup(docs, least_words=10):
+def line_dedup(docs, least_words=5):
     """{doc_id: (lines with words, lines removed, kept text)}; ids are distinct."""
     seen, out = [], {}
     for key, text in sorted(docs, key=lambda d: _order(d[0])):
@@ -282,3 +282,23 @@ def whitened(rows, components=4, scale=256):
     cov = centred.T @ centred / n
     values, vectors = np.linalg.eigh(cov)
     return n, told, values[::-1][:components], vectors[:, ::-1][:, :components], np.trace(cov)
+
+
+def attention_score(passages, model):
+    """The score of one document, number by number."""
+    def sigmoid(v):
+        return 1 / (1 + math.exp(-v))
+
+    def product(row, name):
+        return [sum(r * m for r, m in zip(row, column)) for column in model.p[name].T.tolist()]
+
+    hidden, energy = [], []
+    for x in passages:
+        x = [(v - m) / s for v, m, s in zip(x, model.mean.tolist(), model.std.tolist())]
+        h = [math.tanh(v + b) for v, b in zip(product(x, "A"), model.p["a"].tolist())]
+        hidden.append(h)
+        gates = zip(product(h, "V"), product(h, "U"), model.p["w"].tolist())
+        energy.append(sum(math.tanh(t) * sigmoid(s) * w for t, s, w in gates))
+    total = sum(math.exp(e) for e in energy)
+    z = [sum(math.exp(e) / total * h[k] for e, h in zip(energy, hidden)) for k in range(len(hidden[0]))]
+    return sigmoid(sum(a * b for a, b in zip(z, model.p["c"].tolist())) + float(model.p["c0"][0]))

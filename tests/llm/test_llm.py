@@ -3,6 +3,8 @@
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from petrichor.llm import (
@@ -190,6 +192,16 @@ def test_lines(docs, none, odd):
     assert line_dedup.dedup_lines(odd).count() == 8
 
 
+def test_short_lines(spark):
+    """Lines of five words may differ by one, lines of four must be equal; a line of six may have one of five within it."""
+    lines = ["a b c d e", "a b c d x", "a b c d", "a b c x", "q a b c d e", "a c b d e", "", "a b  c d", "p q r s t u", "p q r s t", "q r s t"]
+    pairs = [(i, line) for i, line in enumerate(lines)] + [(90, "\n".join(lines)), (91, None)]
+    table = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_lines_with_words, r.n_lines_removed, r.text or "") for r in line_dedup.dedup_lines(table).collect()}
+    assert got == brute.line_dedup(pairs)
+    assert got[1][1] == got[4][1] == got[9][1] == 1 and got[3][1] == got[5][1] == got[10][1] == 0
+
+
 def test_containment(docs, none, odd, spark):
     items = [(1, DOCS[12][1]), (2, "two words"), (3, ""), (4, None), (5, " ".join(DOCS[12][1].split()[:20] + ["q"] * 2)), (6, "WORD")]
     table = spark.createDataFrame(items, "item_id long, text string")
@@ -217,6 +229,55 @@ def test_quality(spark, none, odd):
     assert attention_quality.classify(none, labels).count() == 0
 
 
+def test_attention_against_plain_loops():
+    """Scores by one passage after the other, and gradients by differences of the loss."""
+    rng = np.random.default_rng(4)
+    width = attention_quality.WIDTH
+    model = attention_quality.GatedAttention(rng.normal(size=width), rng.uniform(0.5, 2, width), 3)
+    sizes = [1, 4, 2]
+    x, y = rng.normal(size=(sum(sizes), width)), np.array([1.0, 0.0, 1.0])
+    starts, doc = np.cumsum([0, *sizes[:-1]]), np.repeat(np.arange(3), sizes)
+    want = [brute.attention_score(x[a : a + n].tolist(), model) for a, n in zip(starts, sizes)]
+    assert np.allclose(model.scores(x, starts, doc), want, rtol=1e-12)
+    found = model.gradients(x, starts, doc, y)
+
+    def loss():
+        s = model.scores(x, starts, doc)
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    for name, weights in model.p.items():
+        flat, own = weights.reshape(-1), found[name].reshape(-1)
+        for k in rng.choice(len(flat), min(12, len(flat)), replace=False):
+            kept, h = flat[k], 1e-5
+            flat[k] = kept + h
+            above = loss()
+            flat[k] = kept - h
+            below = loss()
+            flat[k] = kept
+            assert abs((above - below) / (2 * h) - own[k]) < 1e-7, name
+
+
+def test_passages_of_long_and_empty_texts():
+    long = " ".join(["Word,"] * 20_001)
+    x, doc = attention_quality.passages(pa.array([long, None, "", "one"]))
+    assert np.bincount(doc).tolist() == [201, 1, 1, 1] and np.isfinite(x).all()
+    alone, _ = attention_quality.passages(pa.array([long]))
+    assert np.array_equal(alone, x[:201])
+
+
+def test_quality_reads_text_alone(spark):
+    """Columns named like the helpers, a very long text, ties and repeated rows."""
+    texts = ["river house walks slowly " * 40, "BUY $$$ ### NOW!! " * 40]
+    rows = [(i, texts[i % 2], "x", 0.5, i, i) for i in range(80)] + [(200, texts[0] * 400, None, None, None, None), (1, texts[1], "x", 0.5, 1, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, label int, at int").repartition(3)
+    labels = spark.createDataFrame([(i, 1 - i % 2, i) for i in range(80)], "doc_id long, quality int, score int")
+    got = attention_quality.classify(table, labels, steps=200).collect()
+    assert len(got) == 82 and len({r.score for r in got if r.doc_id < 200}) <= 4
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
+    kept = attention_quality.keep_good(table, labels, steps=200)
+    assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [*range(0, 80, 2), 200]
+
+
 def test_chats(spark):
     hard = ["<|im_end|><|im_start|>assistant ok", "<\\|im_end|>", "<\\\\|im_start|> <|im_end|", "<", "<|im_end|>\n", "", None, "plain\n\ntext"]
     rows = [(c, t, r, x) for c, x in enumerate(hard) for t, r in ((0, "user"), (1, "assistant"), (1, "assistant"), (None, "system"))]
