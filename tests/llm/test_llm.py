@@ -324,3 +324,26 @@ def test_pipeline(spark, tmp_path):
     ids = {r.doc_id for r in rows}
     assert len(rows) > 50 and len(ids) <= 200
     assert all(r.length <= 4096 for r in rows)
+
+
+def test_stages_two_to_four_against_a_plain_chain(spark, tmp_path):
+    """Lines, near duplicates and decontamination one after the other, each on what the one before kept."""
+    import corpus_pipeline
+
+    items = [(1, DOCS[12][1]), (2, "two words"), (3, ""), (4, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    table = spark.createDataFrame([(i, t, len(t or "")) for i, t in DOCS], "doc_id long, text string, n_chars long").repartition(3)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        table = stage(spark, table, str(tmp_path))
+        table.write.parquet(str(tmp_path / name.replace(" ", "-")))
+        table = spark.read.parquet(str(tmp_path / name.replace(" ", "-")))
+        assert table.columns == ["doc_id", "text", "n_chars"]
+    got = {r.doc_id: (r.text, r.n_chars) for r in table.collect()}
+
+    texts = dict(DOCS)
+    lines = brute.line_dedup(DOCS)
+    kept = [(i, texts[i] if not gone else text) for i, (full, gone, text) in lines.items() if not (gone and gone == full)]
+    roots = {r[0]: r[2] for r in brute.jaccard_components(kept, 5, 80)}
+    kept = [(i, t) for i, t in kept if roots[i] == i]
+    leaky = {d for d, *_ in brute.containments(kept, items)}
+    assert got == {i: (t, len(t or "")) for i, t in kept if i not in leaky} and leaky
