@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import weather_files as wf
@@ -388,6 +389,23 @@ def test_tuning(spark):
     assert out["report"].where("class = 'accuracy'").first()["f1_score"] > 0.8
 
 
+def _rainy(spark):
+    return spark.range(300).select(
+        F.col("id"), (F.col("id") % 13).cast("double").alias("a"), ((F.col("id") % 13) > 6).cast("int").alias("RainTomorrow")
+    )
+
+
+def test_forests_score_after_observed_metrics(spark):
+    counts = Observation()
+    spark.range(3).observe(counts, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert counts.get["n"] == 3
+    model = training.train_forest(_rainy(spark), features=["a"], numTrees=2, maxDepth=2, seed=1)
+    assert not model.stages[-1].hasSummary
+    scored = training.score(model, _rainy(spark))
+    assert scored.where("prediction = RainTomorrow").count() == 300
+    assert training.champion_metrics({"forest": model}, _rainy(spark)).first()["accuracy"] == 1
+
+
 def test_stream_survives_restart_and_refresh(spark, places, tmp_path):
     log, checkpoint, folder = str(tmp_path / "log"), str(tmp_path / "cp"), places["digest_path"]
     run = lambda: write_log(digest_stream(spark, folder), log, checkpoint).awaitTermination()
