@@ -406,6 +406,14 @@ def test_forests_score_after_observed_metrics(spark):
     assert training.champion_metrics({"forest": model}, _rainy(spark)).first()["accuracy"] == 1
 
 
+def test_rows_remember_their_nodes(spark, monkeypatch):
+    assert training.train_regressor(_rainy(spark), features=["a"], numTrees=2, maxDepth=2).stages[-1].getCacheNodeIds()
+    kept, fit = [], training._fit
+    monkeypatch.setattr(training, "_fit", lambda *a: (kept.append(model := fit(*a)), model)[1])
+    training.grid_scores(_rainy(spark), ["id"], "RainTomorrow", ["a"], [1, 2], 2, 1, 3)
+    assert len(kept) == 4 and all(m.getCacheNodeIds() for m in kept)
+
+
 def test_stream_survives_restart_and_refresh(spark, places, tmp_path):
     log, checkpoint, folder = str(tmp_path / "log"), str(tmp_path / "cp"), places["digest_path"]
     run = lambda: write_log(digest_stream(spark, folder), log, checkpoint).awaitTermination()
