@@ -19,7 +19,7 @@ from petrichor.sources.bulletins import digest, name_parts, parse_digest, read_d
 from petrichor.sources.bulletins import quarantine, read_digest_folders, write_digest
 from petrichor.sources.tables import write_csv
 from petrichor.functions.text import cp1252_text
-from petrichor.streaming.observations import digest_stream, labelled_observations, write_labelled, write_log
+from petrichor.streaming.observations import digest_folder_stream, digest_stream, labelled_observations, write_labelled, write_log
 from petrichor.workload.base import Tables, query
 
 COMPASS = ["N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE", "S", "SSW", "SW", "WSW", "W", "WNW", "NW", "NNW"]
@@ -159,14 +159,9 @@ def s3(spark, sf):
 def x1(spark, sf):
     """Digest files arrive, are streamed into the log and read back labelled."""
     path = scratch_path(spark, "arrivals")
-    lines = digest(bulletins(spark, sf)).select(*name_parts(F.col("file_name")), "line")
-    lines.write.partitionBy("data_id", "period").text(f"{path}/in")
+    write_digest(digest(bulletins(spark, sf)), f"{path}/in")
     log = f"{path}/log"
-    stream = (
-        spark.readStream.schema("value string, data_id string, period string").text(f"{path}/in")
-    )
-    fields = parse_digest(stream.withColumnRenamed("value", "line"))
-    write_log(fields, log, f"{path}/checkpoint").awaitTermination()
+    write_log(digest_folder_stream(spark, f"{path}/in"), log, f"{path}/checkpoint").awaitTermination()
     known = stations(spark, sf)
     return labelled_observations(spark, log, known, unknown="drop")
 

@@ -19,8 +19,8 @@ from petrichor.operators import joins
 from petrichor.schemas import CLEAN_KEYS, DAILY_COLUMNS, DATA_ID_SCHEMA, MAPPING_SCHEMA, STATION_SCHEMA
 from petrichor.session import materialize, scratch_path, shared_dir
 from petrichor.sources import ledger, tables
-from petrichor.sources.bulletins import digest, read_bulletins, read_digest, write_digest
-from petrichor.streaming.observations import current_observations, digest_stream, labelled_observations, write_labelled, write_log
+from petrichor.sources.bulletins import digest, read_bulletins, read_digest, read_digest_folders, write_digest
+from petrichor.streaming.observations import current_observations, digest_folder_stream, digest_stream, labelled_observations, write_labelled, write_log
 
 NAMES = {"ID1": "Albury", "ID2": "Ballarat"}
 PERIODS = ("202301", "202302", "202303")
@@ -461,6 +461,39 @@ def test_a_late_day_renews_its_month_only(spark, places, tmp_path, scope):
     assert all(files()[f] == first[f] for f in first if f.startswith("period=202301"))
 
 
+def test_a_batch_lists_and_logs_its_files_in_few_tasks(spark, places, tmp_path):
+    log, folder, listing = str(tmp_path / "log"), places["digest_path"], "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    dim = station_dim(
+        tables.read_dim(spark, places["stations_path"], STATION_SCHEMA),
+        tables.read_dim(spark, places["ids_path"], DATA_ID_SCHEMA),
+    )
+    cost, listers = "spark.sql.files.openCostInBytes", spark.conf.get(listing)
+    spark.conf.set(cost, spark.conf.get("spark.sql.files.maxPartitionBytes"))  # every file is a task
+    spark.conf.set(listing, "10000")
+    try:
+        stream = digest_stream(spark, folder)
+        assert int(spark.conf.get(listing)) <= 4 * spark.sparkContext.defaultParallelism
+        write_labelled(stream, log, str(tmp_path / "table"), str(tmp_path / "cp"), dim, buckets=1).awaitTermination()
+    finally:
+        spark.conf.unset(cost)
+        spark.conf.set(listing, listers)
+    assert len(list(pathlib.Path(log).rglob("*.parquet"))) == len(PERIODS)
+
+
+def test_folders_as_a_stream(spark, places, tmp_path):
+    wf.write_bulletins(tmp_path / "raw", {(i, p): wf.month(p, s) for s, i in enumerate(NAMES) for p in PERIODS})
+    folder, log = str(tmp_path / "folders"), str(tmp_path / "log")
+    dim = station_dim(
+        tables.read_dim(spark, places["stations_path"], STATION_SCHEMA),
+        tables.read_dim(spark, places["ids_path"], DATA_ID_SCHEMA),
+    )
+    write_digest(digest(read_bulletins(spark, str(tmp_path / "raw"))), folder)
+    for _ in range(2):
+        write_log(digest_folder_stream(spark, folder), log, str(tmp_path / "cp")).awaitTermination()
+    want = daily_observations(read_digest_folders(spark, folder), dim).collect()
+    assert want and sorted(map(tuple, labelled_observations(spark, log, dim).collect()), key=repr) == sorted(map(tuple, want), key=repr)
+
+
 def test_stream_takes_the_refresh_of_one_batch(spark, places, tmp_path):
     log, checkpoint, folder = str(tmp_path / "log"), str(tmp_path / "cp"), places["digest_path"]
     refreshed = [wf.line("2023-03-01", "8.0"), wf.line("2023-03-02", "9.0")]
