@@ -362,6 +362,19 @@ def test_only_touched_months_are_read(spark, tmp_path):
     assert beyond.count() == 5
 
 
+def test_loads_write_few_files(spark, tmp_path):
+    dates = F.date_add(F.lit(dt.date(2023, 1, 1)), (F.col("id") % 50).cast("int"))
+    make = lambda a, b: spark.range(a, b, 1, 40).select(F.col("id").alias("k"), dates.alias("Date")).withColumn("Month", F.month("Date"))
+    for match, by in (("pair", ["Month"]), ("independent", None)):
+        path, before = str(tmp_path / match), 0
+        for a, b in ((0, 400), (200, 800)):
+            assert tables.append_new(make(a, b), path, ["k"], dt.date(2025, 9, 6), match, by, by)
+            files = len(list(pathlib.Path(path).rglob("*.parquet")))
+            assert files - before <= 4
+            before = files
+        assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == list(range(800))
+
+
 def test_touched_partitions_with_nulls(spark):
     held = spark.createDataFrame([(1, "a"), (None, "a"), (2, None), (2, "b")], "p int, q string")
     new = spark.createDataFrame([(None, "a"), (2, None)], "p int, q string")
