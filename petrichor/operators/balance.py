@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from petrichor.functions.hashing import row_hash
 from petrichor.operators.order_stats import BUFFERED_VALUES, value_at_rank
-from petrichor.operators.positions import ordered_positions, written_positions
+from petrichor.operators.positions import hashed_positions, written_positions
 from petrichor.schemas import OVERSAMPLE_SEED
 from petrichor.session import materialize
 
@@ -82,7 +82,8 @@ def _drawn(minority: DataFrame, key: list[str], n_out: int, n_in: int, seed: int
         .agg(F.count(F.lit(1)).alias("_times"))
     )
     # Written before the copies are made: later passes repeat rows without joining again.
-    numbered = ordered_positions(minority.withColumn("_order", row_hash(key, seed)), ["_order", *key], "_pos").drop("_order")
+    hashed = minority.withColumn("_order", row_hash(key, seed))
+    numbered = hashed_positions(hashed, "_order", key, n_in, "_pos").drop("_order")
     placed = materialize(numbered.join(draws, "_pos"), "drawn")
     # Draws per row scatter around n_out / n_in; this only chooses how the copies are written.
     most = 4 * (n_out // n_in) + 100

@@ -7,9 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from petrichor.functions.hashing import HASH_SPACE
 from petrichor.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
 from petrichor.session import materialize
 
+#: About as many rows are numbered together by ``hashed_positions``.
+RANGE_ROWS = 10_000
+
 
 def ordered_positions(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     """0-based position in a total order, for frames too long for one sorted partition.
@@ -30,6 +34,27 @@ def ordered_positions(df: DataFrame, order: list[str | Column], name: str) -> Da
     )
 
 
+def hashed_positions(df: DataFrame, hashed: str, ties: list[str], rows: int, name: str) -> DataFrame:
+    """0-based position in the order of ``hashed``, a row hash, and ``ties``; ``rows`` is about their number.
+
+    Hashes are spread evenly, so ranges of one width hold about as many rows each. They follow from the
+    hash alone: no rows are sampled to find them, and the split need not be written out.
+    """
+    width = HASH_SPACE // (rows // RANGE_ROWS + 1) + 1
+    split = df.withColumn("_part", F.expr(f"`{hashed}` div {width}"))
+    sizes = split.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    # One row per range: a bounded, small frame.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(hashed, *ties))
+    return (
+        split.withColumn(name, local)
+        .join(F.broadcast(shift), "_part")
+        .withColumn(name, F.col(name) + F.col("_shift") - 1)
+        .drop("_part", "_shift")
+    )
+
+
 def written_positions(df: DataFrame, name: str) -> DataFrame:
     """0-based dense positions in the order in which the rows happen to be written.
 

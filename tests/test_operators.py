@@ -360,6 +360,27 @@ def test_draw_does_not_depend_on_the_partitioning(spark):
     assert drawn[0] == drawn[1]
 
 
+@pytest.mark.parametrize("range_rows", [10_000, 4])
+def test_draw_numbers_rows_without_sorting_ranges(spark, monkeypatch, range_rows):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from petrichor.functions.hashing import row_hash
+
+    def refuse(*_):
+        raise AssertionError("rows are sampled and written to find ranges")
+
+    monkeypatch.setattr(DataFrame, "repartitionByRange", refuse)
+    monkeypatch.setattr(positions, "RANGE_ROWS", range_rows)
+    rows = classes(spark, 300, 50)
+    hashed = rows.where("y = 1").withColumn("h", row_hash(["id"], 7))
+    numbered = positions.hashed_positions(hashed, "h", ["id"], 50, "pos").orderBy("h").collect()
+    assert [r["pos"] for r in numbered] == list(range(50))
+    got = balance.oversample(rows, "y", ["id"], "draw", 7).where("y = 1").groupBy("id").count()
+    by_hash = [r["id"] for r in numbered]
+    draws = spark.range(300).select((row_hash(["id"], 7) % 50).alias("pos")).groupBy("pos").count()
+    assert pairs(got, "id", "count") == sorted([(by_hash[r["pos"]], r["count"]) for r in draws.collect()], key=repr)
+
+
 def test_rows_without_a_class_are_not_split_silently(spark):
     with pytest.raises(ValueError):
         split.with_fold(classes(spark, 20, 10), ["id"], "y")
