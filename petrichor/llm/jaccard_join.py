@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,11 +21,14 @@ from petrichor.session import materialize
 
 #: Shingles that one task joins at most, and pivots that tell the sets of a larger region apart.
 REGION_SHINGLES, PIVOTS = 8_000_000, 16
-#: Times that the sets of large families are first tied to one set of each of their shingles.
+#: Times that the sets of large families are first tied to one set of each of their signatures.
 TIES = 2
 #: Members that meet their pivots in one part, and the distance up to which a set belongs to its nearest pivot.
 MEMBERS, NEAR = 4096, 0.5
-_SETS = "doc_id long, n long, k1 long, k2 long, chosen array<long>, n_common long"
+#: Sets of which a task remembers that it has told their signatures.
+REMEMBERED = 1_000_000
+_SETS = "doc_id long, n long, k1 long, k2 long, chosen array<long>"
+_PART, _CLASS = np.uint64(0xD1B54A32D192ED03), 0x8CB92BA72F3D8DD7
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -60,61 +65,98 @@ def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _classes(percent: int, most: int) -> list[tuple[int, int, int]]:
+    """(least size, differences, parts) of each class of sizes up to ``most``; a set's partners lie in its own or an adjacent class.
+
+    A set of the class and a partner as large or larger differ in at most ``differences`` elements,
+    those of both sides added up. Into one more part than that its elements are dealt, and into some
+    more for parts that stay empty.
+    """
+    largest = lambda n: 100 * n // percent
+    out, low = [], 1
+    while low <= most:
+        high = max(largest(largest(low)), 5 * low // 4) + 1
+        differences = (high - 1) * (100 - percent) // percent
+        parts, empty = differences + 1, 0.0
+        while parts < 2 * low:
+            empty = parts * math.exp(-low / parts)
+            if parts - empty - 2 * math.sqrt(empty) >= differences + 1:
+                break
+            parts += max(1, parts // 20)
+        out.append((low, differences, parts))
+        low = high
+    return out
+
+
+def _signatures(found: np.ndarray, percent: int, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Hashes of which two sets that are similar enough, but not equal, share one.
+
+    The hash of an element says in which of the parts of a class it lies. Two partners differ in
+    fewer parts than there are, so one part that is not empty is the same on both sides; its
+    elements, added up, are a signature. If too many parts of a set are empty to be sure of that,
+    the elements of its prefix are signatures too: partners of which this holds share one of them.
+    """
+    n, tag = len(found), lambda x: np.uint64(x * _CLASS % (1 << 64))
+    at = bisect.bisect_right(classes, (n, math.inf, math.inf)) - 1
+    out = []
+    for k in (at, at - 1):
+        if k < 0 or not classes[k][1] or k < at and -(-percent * n // 100) >= classes[at][0]:
+            continue
+        low, differences, parts = classes[k]
+        part = (found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        starts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1))
+        out.append(mixed(np.add.reduceat(found, starts)) + part[starts] * _PART + tag(2 * low))
+        if len(starts) <= differences:
+            out.append(mixed(found[: _prefix(n, percent)]) + tag(2 * low + 1))
+    return mixed(np.concatenate(out)) if out else np.empty(0, np.uint64)
+
+
 def _described(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """One row per document: its set's size and name, and the shingles by which partners are sought.
+    """One row per document: its set's size and name, and the signatures by which partners are sought.
 
-    ``chosen`` holds all shingles of one hash class, and if these are fewer than the prefix needs,
-    the smallest of the others behind them; ``n_common`` counts the former.
+    They are told once per task for equal sets, as far as these are remembered.
     """
-    classes = max(1, int(100 / (1.6 * max(1, 100 - percent))))
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, told = [], set()
         for part in slices(batches):
             sets = shingle_sets(part.column(1), size)
-            chosen, n_common = [], []
-            for found in sets:
-                inside = found % np.uint64(classes) == 0
-                common = found[inside]
-                more = max(0, _prefix(len(found), percent) - len(common)) if len(found) else 0
-                chosen.append(common)
-                if more:
-                    chosen.append(found[~inside][:more])
-                n_common.append((len(common), more))
-            counts = np.array(n_common, np.int64).reshape(-1, 2)
-            ends = pa.array(np.concatenate(([0], np.cumsum(counts.sum(axis=1)))).astype(np.int32))
+            widest = max(map(len, sets), default=0)
+            if not classes or widest >= classes[-1][0]:
+                classes = _classes(percent, 2 * widest)
+            k1, k2 = _names(sets)
+            chosen = []
+            for found, *name in zip(sets, k1.to_pylist(), k2.to_pylist()):
+                if len(found) and (*name,) not in told:
+                    chosen.append(_signatures(found, percent, classes))
+                    told.add((*name,))
+                else:
+                    chosen.append(np.empty(0, np.uint64))
+            if len(told) > REMEMBERED:
+                told.clear()
+            ends = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in chosen]))).astype(np.int32))
             flat = np.concatenate(chosen) if chosen else np.empty(0, np.uint64)
-            columns = [part.column(0), pa.array([len(x) for x in sets], pa.int64()), *_names(sets)]
-            columns += [pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64))), pa.array(counts[:, 0])]
+            columns = [part.column(0), pa.array([len(x) for x in sets], pa.int64()), k1, k2]
+            columns += [pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64)))]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SETS.split(", ")])
 
     return docs.mapInArrow(describe, _SETS)
 
 
-def _families(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """set, family: sets that may have a partner, and what they may be linked with; shingle, set: by which shingles.
+def _families(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """name, family: sets that may have a partner, and what they may be linked with; signature, name: by which signatures.
 
-    In the order (rarer shingles first) two similar sets share a shingle of their prefixes. A
-    shingle that no other set has needs no region, and it still counts in the prefix: a set whose
-    prefix is used up by its own shingles has no partner. The rest is joined by shared shingles,
-    each to the smallest set of the shingle, so that no pairs arise.
+    Two similar sets share a signature, which stands for several shingles at once, so that sets of
+    unlike texts hardly ever share one by chance, however many there are. Sets go by the first half
+    of their names: if two of them had it in common, their families would be one. Sets of one
+    signature are tied to its smallest, so that no pairs arise.
     """
-    n, common = F.col("n"), F.col("n_common")
-    prefix = n - F.ceil(n * percent / 100) + 1
-    rows = classes.where("n > 0").select(
-        "set", prefix.cast("long").alias("prefix"), "n_common", F.posexplode("chosen").alias("i", "shingle")
-    )
-    rows = rows.select("set", "prefix", "n_common", (F.col("i") >= common).alias("late"), "shingle")
-    shared = rows.withColumn("held", F.count("*").over(Window.partitionBy("shingle"))).where("held > 1")
-    mine = Window.partitionBy("set")
-    shared = shared.withColumns({
-        "rank": F.row_number().over(mine.orderBy("late", "held", "shingle")),
-        "n_shared": F.sum(F.when(F.col("late"), 0).otherwise(1)).over(mine),
-    })
-    shared = shared.where(F.col("late") | (common - F.col("n_shared") + F.col("rank") <= F.col("prefix")))
-    shared = materialize(shared.select("shingle", "set"), "prefixes")
-    least = shared.groupBy("shingle").agg(F.min("set").alias("b"), F.count("*").alias("held")).where("held > 1").select("shingle", "b")
-    edges = shared.join(least, "shingle").where(F.col("set") != F.col("b")).select(F.col("set").alias("a"), "b").distinct()
-    return components(edges).select(F.col("node").alias("set"), F.col("root").alias("family")), shared
+    rows = sets.select(F.col("k1").alias("name"), F.explode("chosen").alias("signature"))
+    held = Window.partitionBy("signature")
+    shared = rows.withColumns({"least": F.min("name").over(held), "most": F.max("name").over(held)}).where("least != most")
+    shared = materialize(shared.select("signature", "name", "least").distinct(), "signatures")
+    edges = shared.where("name != least").select(F.col("name").alias("a"), F.col("least").alias("b")).distinct()
+    return components(edges).select(F.col("node").alias("name"), F.col("root").alias("family")), shared.select("signature", "name")
 
 
 class Region:
@@ -275,20 +317,20 @@ def _block_pairs(rows: DataFrame, found: DataFrame, percent: int, most: int) ->
 def _large_links(held: DataFrame, rows: DataFrame, percent: int, most: int) -> list[DataFrame]:
     """Tables of a, b: edges that connect the same sets as all links of the sets in ``held``.
 
-    Two linked sets share a shingle of their prefixes (``rows``), so each shingle is a region;
-    shingles of the same sets are one. First every set is compared with one set of each of its
+    Two linked sets share a signature (``rows``), so each signature is a region; signatures of the
+    same sets are one. First every set is compared with one set of each of its
     regions, the same one for many regions of a dense family, and regions whose sets are then
     all connected are settled. What is left is joined in one task per region, or per pair of
     blocks of a region that is too large for that.
     """
     held = materialize(held, "held")
     hashes = (F.xxhash64("set"), F.xxhash64("set", F.lit(1)))
-    named = rows.join(held.select("set"), "set", "left_semi").groupBy("shingle").agg(
+    named = rows.join(held.select("set"), "set", "left_semi").groupBy("signature").agg(
         F.count("*").alias("n"), *[F.bit_xor(h).alias(f"h{k}") for k, h in enumerate(hashes)]
     )
-    named = named.where("n > 1").groupBy("n", "h0", "h1").agg(F.min("shingle").alias("shingle")).select("shingle")
-    rows = rows.join(named, "shingle", "left_semi").join(held.select("set", (F.length("shingles") / 8).cast("long").alias("weight")), "set")
-    rows = materialize(rows.select(F.col("shingle").alias("region"), "set", "weight", F.col("set").alias("known")), "members")
+    named = named.where("n > 1").groupBy("n", "h0", "h1").agg(F.min("signature").alias("signature")).select("signature")
+    rows = rows.join(named, "signature", "left_semi").join(held.select("set", (F.length("shingles") / 8).cast("long").alias("weight")), "set")
+    rows = materialize(rows.select(F.col("signature").alias("region"), "set", "weight", F.col("set").alias("known")), "members")
     edges = held.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(TIES):
         first = F.min(F.struct(F.xxhash64("set", F.lit(turn)), "set", "known")).alias("p")
@@ -318,7 +360,7 @@ def _tasks(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("task").applyInPandas(lambda rows: _joined(percent)(rows), "a long, b long")
 
 
-def _links(regions: DataFrame, prefixes: DataFrame, percent: int, most: int) -> DataFrame:
+def _links(regions: DataFrame, signatures: DataFrame, percent: int, most: int) -> DataFrame:
     """a, b: edges that connect the same sets as all links of all families."""
     sizes = regions.groupBy("region").agg(F.sum(F.length("shingles") / 8).alias("weight"))
     large = materialize(sizes.where(F.col("weight") > most).select("region"), "large")
@@ -328,7 +370,7 @@ def _links(regions: DataFrame, prefixes: DataFrame, percent: int, most: int) ->
     else:
         large = large.withColumnRenamed("region", "task")
         edges = [_tasks(tasks.join(large, "task", "left_anti"), percent)]
-        edges += _large_links(tasks.join(large, "task", "left_semi").select("set", "shingles"), prefixes, percent, most)
+        edges += _large_links(tasks.join(large, "task", "left_semi").select("set", "shingles"), signatures, percent, most)
     out = edges[0]
     for more in edges[1:]:
         out = out.unionAll(more)
@@ -346,10 +388,10 @@ def jaccard_components(
 
     Equal sets are one set. In sparse text the Jaccard distance from nearly every document to any
     other is one, so documents as pivots would tell nothing apart; the first regions therefore
-    hang on single shingles, the rarest first, and a set belongs to those of its prefix, which no
-    partner can miss. Sets that such shingles chain are a family. Families of up to
+    hang on signatures: the shingles of a set are dealt into more parts than two partners can
+    differ in, so no partner can miss all of them. Sets that signatures chain are a family. Families of up to
     ``region_shingles`` are joined in one task each, exactly, pivot by pivot. In a larger family
-    every set goes to the regions of its own shingles instead, and a region that is still larger
+    every set goes to the regions of its own signatures instead, and a region that is still larger
     is joined by pairs of bounded blocks, which the distances to pivots spare by the triangle
     inequality. No task holds more. Links are not listed as pairs: each set is tied to the root of
     its task's sets, and components are taken over these ties.
@@ -360,14 +402,15 @@ def jaccard_components(
     """
     texts = docs.select(docs[id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     sets = materialize(_described(texts, size, percent), "sets")
-    classes = sets.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("n_common").alias("n_common"), F.first("chosen").alias("chosen")
-    )
+    classes = sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id"))
     classes = materialize(classes.withColumn("set", F.monotonically_increasing_id()), "classes")
-    families, prefixes = _families(classes, percent)
+    families, signatures = _families(sets)
     families = materialize(families, "families")
-    wanted = classes.join(families, "set").select("set", "family", "k1", "k2", F.coalesce("first_id", F.lit(-(1 << 63))).alias("first_id"))
+    wanted = classes.join(families, F.col("k1") == F.col("name")).select(
+        "set", "family", "k1", "k2", F.coalesce("first_id", F.lit(-(1 << 63))).alias("first_id")
+    )
     wanted = materialize(wanted, "wanted")
+    signatures = signatures.join(wanted.select(F.col("k1").alias("name"), "set"), "name").select("signature", "set")
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -380,7 +423,7 @@ def jaccard_components(
     held = held.select("first_id", "text").mapInArrow(collect, "k1 long, k2 long, shingles binary")
     regions = held.join(wanted.select("k1", "k2", "set", F.col("family").alias("region")), ["k1", "k2"]).dropDuplicates(["set"])
     regions = materialize(regions.select("region", "set", "shingles"), "regions")
-    roots = components(_links(regions, prefixes, percent, region_shingles))
+    roots = components(_links(regions, signatures, percent, region_shingles))
 
     tied = classes.select("k1", "k2", "set", "first_id").join(roots, F.col("set") == F.col("node"), "left")
     tied = tied.select("k1", "k2", "first_id", F.coalesce("root", "set").alias("root"))

@@ -347,3 +347,36 @@ def test_stages_two_to_four_against_a_plain_chain(spark, tmp_path):
     kept = [(i, t) for i, t in kept if roots[i] == i]
     leaky = {d for d, *_ in brute.containments(kept, items)}
     assert got == {i: (t, len(t or "")) for i, t in kept if i not in leaky} and leaky
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_similar_sets_share_a_signature(percent):
+    rng = np.random.default_rng(5)
+    classes, pairs = jaccard_join._classes(percent, 2000), 0
+    for n in [*range(1, 130), 400, 1000]:
+        x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        for less in {0, 1, int(rng.integers(0, n)), n * (100 - percent) // 100, n * (100 - percent) // (100 + percent)}:
+            for more in {0, 1, int(rng.integers(0, n)), less, n * (100 - percent) // percent}:
+                y = np.concatenate((rng.choice(x, n - less, replace=False), rng.integers(0, 1 << 63, more).astype(np.uint64) * np.uint64(2)))
+                y = np.unique(y)
+                shared = len(np.intersect1d(x, y))
+                if np.array_equal(x, y) or 100 * shared < percent * (len(x) + len(y) - shared):
+                    continue
+                pairs += 1
+                a, b = (jaccard_join._signatures(s, percent, classes) for s in (x, y))
+                assert np.intersect1d(a, b).size, (n, less, more)
+    assert pairs > 100
+
+
+def test_unlike_texts_of_common_passages_are_no_family(spark, monkeypatch):
+    rng = random.Random(3)
+    passages = [[f"w{rng.randrange(10**6)}" for _ in range(8)] for _ in range(100)]
+    texts = [(k, " ".join(w for p in rng.sample(passages, 10) for w in p)) for k in range(80)]
+    texts += [(100 + k, t + " end") for k, t in texts[:5]]
+
+    def large(*_):
+        raise AssertionError("unlike texts were chained to a large family")
+
+    monkeypatch.setattr(jaccard_join, "_large_links", large)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"), 3, 90, region_shingles=2000)
+    assert rows_of(got) == brute.jaccard_components(texts, 3, 90)
