@@ -20,6 +20,7 @@ from petrichor.schemas import CLEAN_KEYS, DAILY_COLUMNS, DATA_ID_SCHEMA, MAPPING
 from petrichor.session import materialize, scratch_path, shared_dir
 from petrichor.sources import ledger, tables
 from petrichor.sources.bulletins import digest, read_bulletins, read_digest, read_digest_folders, write_digest
+from petrichor.streaming import observations
 from petrichor.streaming.observations import current_observations, digest_folder_stream, digest_stream, labelled_observations, write_labelled, write_log
 
 NAMES = {"ID1": "Albury", "ID2": "Ballarat"}
@@ -541,3 +542,35 @@ def test_model_queries_use_production_settings(spark, monkeypatch, name):
         want = {(40, 30, 42, "entropy")} | {(n, 30, 42, "gini") for n in grid}
         assert len(fitted) == 1 + 5 * len(grid) + 1
     assert set(fitted) == want and set(balances) == {"before"}
+
+
+def test_many_batches_renew_a_part_once(spark, places, tmp_path, monkeypatch):
+    log, table, checkpoint, folder = (str(tmp_path / x) for x in ("log", "table", "cp", "digest"))
+    dim = station_dim(
+        tables.read_dim(spark, places["stations_path"], STATION_SCHEMA),
+        tables.read_dim(spark, places["ids_path"], DATA_ID_SCHEMA),
+    )
+    renewals, label = [], observations.label_rain
+
+    def counted(*args):
+        renewals.append(1)
+        return label(*args)
+
+    monkeypatch.setattr(observations, "label_rain", counted)
+    run = lambda: write_labelled(digest_stream(spark, folder, 2), log, table, checkpoint, dim, buckets=2).awaitTermination()
+    rows = lambda: sorted(map(tuple, spark.read.parquet(table).select(*DAILY_COLUMNS).collect()), key=repr)
+    want = lambda: sorted(map(tuple, daily_observations(read_digest(spark, folder), dim).collect()), key=repr)
+    run()
+    assert spark.read.parquet(log).select("batch_id").distinct().count() > 2
+    assert len(renewals) == 1 and rows() == want()
+    # A run that ends between the log and the renewal: the next one makes up for it, though nothing new arrives.
+    wf.write_digest_files(folder, {("ID1", "202303.refresh1"): wf.month("202303", 0) + [wf.line("2023-03-29", "9.0")]})
+    monkeypatch.setattr(observations, "label_rain", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run()
+    monkeypatch.setattr(observations, "label_rain", counted)
+    assert rows() != want()
+    run()
+    assert rows() == want()
+    run()
+    assert len(renewals) == 2
